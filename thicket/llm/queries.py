@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality
+from . import chat, langid, media, mixing, packing, quality
 from .shared import fold, table
 
 
@@ -31,7 +31,28 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op3_chat": op3_chat}
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit_on(docs)
+    return langid.predict(docs.drop("lang"), model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("_key").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    described = media.describe_images(media.encode_images(docs, "text"), tiles=False)
+    return described.select("doc_id", F.col("note").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.col("dhash").alias("feature"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("_key", "doc_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op3_chat": op3_chat, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op7_media": op7_media, "op8_packing": op8_packing}
 
 _OP3 = r"""
 WITH t AS (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one key that are ranked together at most, about.
-RANK_CELL = 20_000
+RANK_CELL = 1000
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
