@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, media, mixing, packing, quality
+from . import chat, jaccard, langid, media, mixing, packing, quality
 from .shared import fold, table
 
 
@@ -42,6 +42,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("_key").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     described = media.describe_images(media.encode_images(docs, "text"), tiles=False)
@@ -52,7 +56,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("_key", "doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op3_chat": op3_chat, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op7_media": op7_media, "op8_packing": op8_packing}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op3_chat": op3_chat, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_jaccard": op6_jaccard, "op7_media": op7_media, "op8_packing": op8_packing}
 
 _OP3 = r"""
 WITH t AS (
@@ -73,4 +77,23 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_chat": _OP3}
+_OP6 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), o AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)
+), r AS (
+  SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_chat": _OP3, "op6_jaccard": _OP6}
