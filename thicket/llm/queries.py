@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, langid, media, mixing, neardup, packing, quality
+from . import chat, jaccard, langid, lm, media, mixing, neardup, packing, quality
 from .shared import fold, table
 
 
@@ -56,11 +56,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("_key", "doc_id")
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op3_chat": op3_chat, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_jaccard": op6_jaccard, "op7_media": op7_media, "op8_packing": op8_packing, "op10_neardup": op10_neardup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op3_chat": op3_chat, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_jaccard": op6_jaccard, "op7_media": op7_media, "op8_packing": op8_packing, "op9_lm": op9_lm, "op10_neardup": op10_neardup}
 
 _OP3 = r"""
 WITH t AS (
