@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, langid, lm, media, mixing, neardup, packing, quality
+from . import chat, jaccard, langid, lm, media, mixing, neardup, packing, pii, quality
 from .shared import fold, table
 
 
@@ -18,6 +18,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+#: The key of the queries; whoever uses the operator brings a key of their own.
+DEMO_KEY = "an open key, for demonstration"
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), DEMO_KEY)
+    return named.select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), "pii")
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -64,7 +73,7 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op3_chat": op3_chat, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_jaccard": op6_jaccard, "op7_media": op7_media, "op8_packing": op8_packing, "op9_lm": op9_lm, "op10_neardup": op10_neardup}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op2_pii": op2_pii, "op3_chat": op3_chat, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_jaccard": op6_jaccard, "op7_media": op7_media, "op8_packing": op8_packing, "op9_lm": op9_lm, "op10_neardup": op10_neardup}
 
 _OP3 = r"""
 WITH t AS (
