@@ -139,7 +139,7 @@ def pieces(docs: DataFrame, key: str, text: str, room: int, end_id: int, path: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = tokens.Ids(path)
         for batch in batches:
-            for i, j, data, offsets in tx.slices(batch.column(1), 2 * tx.SLICE):
+            for i, j, data, offsets in tx.slices(batch.column(1)):
                 ids, first = ids_of.encode(data, offsets)
                 rows: tuple[list, ...] = ([], [], [], [], [], [])
                 for at in range(j - i):

@@ -8,6 +8,7 @@ The ids are those of encoding the whole text.
 
 from __future__ import annotations
 
+import os
 from itertools import chain, repeat
 
 import numpy as np
@@ -18,7 +19,9 @@ from . import text as tx
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: Distinct cuts that are remembered, at most; then remembering starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Cuts that are encoded at once; the library's results are large.
+AT_ONCE = 1000
 
 #: Bytes that are or may begin white space of any kind.
 _BLANK = tx.byte_set(b"\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\xc2\xe1\xe2\xe3")
@@ -51,6 +54,7 @@ class Ids:
     """Encodes slices of texts; holds the tokenizer and what it has encoded."""
 
     def __init__(self, path: str = BYTE_BPE) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.powers = tx.Powers()
@@ -63,7 +67,7 @@ class Ids:
     def _learn(self, hashes: list[int], strings: list[str]) -> None:
         if len(self.rows) + len(hashes) > REMEMBERED:
             self.forget()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        found = [e.ids for i in range(0, len(strings), AT_ONCE) for e in self.tokenizer.encode_batch_fast(strings[i : i + AT_ONCE], add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         row, total = len(self.rows), int(sizes.sum())
         while len(self.starts) < row + len(found) + 1:
