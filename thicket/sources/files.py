@@ -125,8 +125,8 @@ def read_names(spark: SparkSession, path: str | None) -> DataFrame:
     if not path:
         return spark.createDataFrame([], NAMES_SCHEMA)
     texts = spark.read.text(path, wholetext=True)
-    kinds = texts.select(F.schema_of_variant(F.try_parse_json("value")).alias("k")).first()
-    if not kinds or not kinds["k"] or not kinds["k"].startswith("OBJECT<") or texts.select(F.exists(F.map_values(F.variant_get(F.parse_json("value"), "$", "map<string,variant>")), lambda v: F.schema_of_variant(v) != "STRING")).first()[0]:
+    values = F.map_values(F.from_json("value", "map<string,variant>"))  # NULL for anything but an object
+    if texts.filter(values.isNull() | F.exists(values, lambda v: v.isNull() | (F.schema_of_variant(v) != "STRING"))).limit(1).count():
         raise ValueError("names must be a JSON object of texts")
     return names_from_json(texts)
 

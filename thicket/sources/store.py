@@ -64,9 +64,9 @@ class Store:
         fs.delete(target, True)
         fs.rename(p, target)
 
-    def apply(self, batch: DataFrame, order: list | None = None, check: Callable[[DataFrame], None] | None = None, **state: object) -> int:
-        """Upsert a batch as a new snapshot; the number of rows it had before equal keys met."""
-        counted, seen = observed(batch)
+    def apply(self, rows: DataFrame, order: list | None = None, check: Callable[[DataFrame], None] | None = None, **state: object) -> int:
+        """Upsert rows as a new snapshot, with entries of the state; the number of rows before equal keys met."""
+        counted, seen = observed(rows)
         new = upsert(self.read(), counted, order=order)
         if check:
             check(new)
