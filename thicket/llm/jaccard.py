@@ -6,9 +6,12 @@ num/den. The join is exact, up to collisions of 64-bit hashes of shingles:
 1. Documents with equal sets form one class; copies are never expanded into pairs.
 2. Linked classes of sizes a and b differ in d = (a + b)(den - num)/(den + num) shingles at
    most. The hash range is cut into more than d segments, so two linked sets agree on a
-   whole segment; a segment's content is a signature. Signatures are packed into binary
-   columns, one of a kind for each batch (hot signatures shrink before the shuffle), and
-   classes that share one are put into one block by connected components.
+   whole segment; a segment's content is a signature. Shingles of very many documents
+   (by counters of fixed size over all of them) are left out of segments, so that passages
+   in common use make no candidates; sets that are left with too few segments are cut whole,
+   by other hashes, as well. Signatures are packed into binary columns, one of a kind for
+   each batch (hot signatures shrink before the shuffle), and classes that share one are put
+   into one block by connected components.
 3. Inside a block an inverted index from shingles to classes answers T-occurrence searches:
    the short lists of a query are merged with a heap, classes that occur often enough are
    probed in the long lists by binary search, and those that reach the overlap are linked.
@@ -43,10 +46,16 @@ from .components import components, local_components
 from .shared import checkpoint
 
 #: Classes that are indexed together, at most about.
-BLOCK_SIZE = 4096
+BLOCK_SIZE = 2048
 #: Signatures that one bucket holds, about, and that a batch gathers before it is sent.
-BUCKET = 2_000_000
+BUCKET = 1_000_000
 _SEED = np.uint64(0xA0761D6478BD642F)
+#: Counters of shingles (powers of two), the pieces they are sent in, and the groups in which they are added up first.
+COUNTERS, PIECES, SALTS = 18, 16, 256
+
+
+def counter_of(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - COUNTERS)).astype(np.int64)
 
 
 def needed(a: int, b: int, num: int, den: int) -> int:
@@ -78,17 +87,19 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 class Signatures:
     """Signatures of sets, such that linked sets of different content share one."""
 
-    def __init__(self, num: int, den: int) -> None:
+    def __init__(self, num: int, den: int, heavy: np.ndarray | None = None) -> None:
         self.num, self.den, self.firsts = num, den, size_classes(num, den, 1)
+        self.heavy = heavy if heavy is not None else np.zeros(1 << COUNTERS, bool)
 
     def of(self, s: np.ndarray) -> np.ndarray:
         n = len(s)
         if n > self.firsts[-2]:
             self.firsts = size_classes(self.num, self.den, 2 * n)
         own = int(np.searchsorted(self.firsts, n, "right")) - 1
-        return np.concatenate([self._tagged(s, tag) for tag in (own - 1, own) if tag >= 0])
+        light = s[~self.heavy[counter_of(s)]]
+        return np.concatenate([self._tagged(s, light, tag) for tag in (own - 1, own) if tag >= 0])
 
-    def _tagged(self, s: np.ndarray, tag: int) -> np.ndarray:
+    def _tagged(self, s: np.ndarray, light: np.ndarray, tag: int) -> np.ndarray:
         """For pairs of class tag, or of it and the next: one signature for each segment with content."""
         top = self.firsts[tag + 1] - 1
         d = (self.den - self.num) * (top + top * self.den // self.num) // (self.den + self.num)
@@ -97,13 +108,12 @@ class Signatures:
         segments = d + 2 + d // 16
         edges = (np.arange(segments + 1, dtype=np.float64) * (2.0**64 / segments)).clip(0, 2.0**64 - 2048).astype(np.uint64)
         out = []
-        # a set with few filled segments might agree on empty ones only: it is cut anew by other hashes as well
+        # a set with few filled segments might agree on empty ones only: it is cut anew, whole and by other hashes, as well
         for turn in range(8):
-            if turn:
-                s = np.sort(tx.mix(s + _SEED))
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tx.mix(s ^ _SEED))])
-            at = np.searchsorted(s, edges)
-            at[-1] = len(s)
+            cut = light if not turn else np.sort(tx.mix(s + np.uint64(turn)))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tx.mix(cut ^ _SEED))])
+            at = np.searchsorted(cut, edges)
+            at[-1] = len(cut)
             filled = np.flatnonzero(at[1:] > at[:-1])
             out.append(tx.mix((sums[at[filled + 1]] - sums[at[filled]]) + filled.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.uint64(tag * 8 + turn)))
             if len(filled) > d:
@@ -118,8 +128,7 @@ class Index:
         self.num, self.den, self.sizes = num, den, np.array([len(s) for s in sets], np.int64)
         owners = np.repeat(np.arange(len(sets)), self.sizes)
         self.tokens, at = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_inverse=True)
-        order = np.lexsort((owners, at))
-        self.members = owners[order]
+        self.members = memoryview(np.ascontiguousarray(owners[np.argsort(at, kind="stable")]))  # ascending in each list
         self.begin = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(self.tokens)))]).astype(np.int64)
 
     def search(self, s: np.ndarray, label: np.ndarray, own: int, share: float = 0.0085) -> list[int]:
@@ -137,18 +146,18 @@ class Index:
         lens = self.begin[at + 1] - self.begin[at]
         order = np.argsort(-lens, kind="stable")
         many = min(least - 1, int(least / (share * log2(max(2, int(lens.max()))) + 1)))
-        lists = [self.members[self.begin[i] : self.begin[i + 1]].tolist() for i in at[order]]
+        lists = [(int(self.begin[i]), int(self.begin[i + 1])) for i in at[order]]
         long, short = lists[:many], lists[many:]
         found = []
-        for c, run in groupby(heapq.merge(*short)):
+        for c, run in groupby(heapq.merge(*(self.members[i:j] for i, j in short))):
             if not wanted[c] or (count := sum(1 for _ in run)) < least - many:
                 continue
             need, left = needed(n, int(self.sizes[c]), self.num, self.den), len(long)
-            for members in long:
+            for i, j in long:
                 if count >= need or count + left < need:
                     break
-                i = bisect_left(members, c)
-                count += i < len(members) and members[i] == c
+                k = bisect_left(self.members, c, i, j)
+                count += k < j and self.members[k] == c
                 left -= 1
             if count >= need:
                 found.append(c)
@@ -180,10 +189,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
 
     Keys are integers. The similarity is at least num/den.
     """
-    light = checkpoint(_classes(docs, key, text, words))
-    total = light.agg(F.sum("n")).first()[0] or 0
+    found = checkpoint(_classes(docs, key, text, words))
+    light = found.filter("piece IS NULL").drop("piece", "packed")
+    heavy, total = _heavy(found.filter("piece IS NOT NULL").select("piece", "packed"))
     nodes = light.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("key").alias("node"))
-    blocks = components(_candidates(docs, text, words, num, den, max(1, int(total * 0.4 / BUCKET))))
+    blocks = components(_candidates(docs, text, words, Signatures(num, den, heavy), max(1, int(total * 0.4 / BUCKET))))
     # one member of a class stands for it: its text is read again, once
     active = nodes.filter("node IS NOT NULL").join(blocks.withColumnRenamed("node", "f1"), "f1")
     active = active.select("node", F.col("component").alias("block"))
@@ -207,14 +217,41 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
 
 
 def _classes(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """A row for each document with its set's hashes and size, and rows with pieces of the task's counters of shingles."""
+    names = ["key", "f1", "f2", "n", "piece", "packed"]
+    types = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = tx.Powers()
+        powers, counters = tx.Powers(), np.zeros(1 << COUNTERS, np.int64)
         for batch in batches:
-            rows = [(*fingerprint(s), len(s)) for _, _, data, offsets in tx.slices(batch.column(1)) for s in shingle_sets(data, offsets, words, powers)]
+            rows = []
+            for _, _, data, offsets in tx.slices(batch.column(1)):
+                sets = list(shingle_sets(data, offsets, words, powers))
+                counters += np.bincount(counter_of(np.concatenate(sets)), minlength=1 << COUNTERS)
+                rows += [(*fingerprint(s), len(s)) for s in sets]
             f1, f2, n = np.array(rows, np.int64).reshape(-1, 3).T
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f1), pa.array(f2), pa.array(n)], names=["key", "f1", "f2", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f1), pa.array(f2), pa.array(n), *(pa.nulls(len(n), t) for t in types[4:])], names=names)
+        if counters.any():
+            packed = [c.tobytes() for c in np.split(counters, PIECES)]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(PIECES, t) for t in types[:4]), pa.array(range(PIECES), pa.int32()), pa.array(packed, pa.binary())], names=names)
+
+    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, "key long, f1 long, f2 long, n long, piece int, packed binary")
 
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, "key long, f1 long, f2 long, n long")
+
+def _heavy(pieces: DataFrame) -> tuple[np.ndarray, int]:
+    """Which counters stand out, twice the mean and more, and the number of shingles. The counters have a fixed size."""
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.int64) for x in part["packed"])
+        return pd.DataFrame({"piece": part["piece"].iloc[:1], "packed": [total.tobytes()]})
+
+    salted = pieces.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    some = salted.groupBy("piece", "salt").applyInPandas(add, "piece int, packed binary")
+    counters = np.zeros((PIECES, (1 << COUNTERS) // PIECES), np.int64)
+    for r in some.groupBy("piece").applyInPandas(add, "piece int, packed binary").collect():
+        counters[r["piece"]] = np.frombuffer(r["packed"], np.int64)
+    counters = counters.ravel()
+    return counters > 2 * counters.mean() + 100, int(counters.sum())
 
 
 def _pack(a: np.ndarray, b: np.ndarray) -> bytes:
@@ -237,11 +274,11 @@ def _stars(tokens: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return tokens[new], owners[new], centre[other], owners[other]
 
 
-def _candidates(docs: DataFrame, text: str, words: int, num: int, den: int, buckets: int) -> DataFrame:
+def _candidates(docs: DataFrame, text: str, words: int, signatures: Signatures, buckets: int) -> DataFrame:
     """Edges between (first hashes of) classes that share a signature: src, dst."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, signatures = tx.Powers(), Signatures(num, den)
+        powers = tx.Powers()
         tokens, owners, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
