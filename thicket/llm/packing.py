@@ -137,7 +137,7 @@ def pieces(docs: DataFrame, key: str, text: str, room: int, end_id: int, path: s
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = tokens.Ids(path)
+        ids_of = tokens.worker_ids(path)
         for batch in batches:
             for i, j, data, offsets in tx.slices(batch.column(1)):
                 ids, first = ids_of.encode(data, offsets)

@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .shared import fold
+from .shared import fold, hash_sample
 
-#: Labelled rows that the model is fitted on, at most (those with the least hash of their key).
+#: Labelled rows that the model is fitted on, about (those with the least hashes of their keys).
 FIT_ROWS = 8000
 
 
@@ -97,14 +97,10 @@ def fit(texts: list[str | None], labels: list[int], bits: int = 18, epochs: int
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5, held_out: int = 0, fit_rows: int = FIT_ROWS) -> QualityModel:
-    """Fit on at most fit_rows labelled rows whose crc32(key) mod folds is not held_out."""
-    chosen = (
-        labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y"))
-        .filter(F.col("_y").isin(0, 1) & F.col("_k").isNotNull() & (fold("_k", folds) != held_out))
-        .orderBy(F.xxhash64("_k", F.lit(11)), "_k", "_y")
-        .limit(fit_rows)
-    )
-    # chosen has fit_rows rows at most, so that it can be broadcast whatever the input's size
+    """Fit on about fit_rows labelled rows, those with the least hashes of their keys, whose crc32(key) mod folds is not held_out."""
+    known = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).filter(F.col("_y").isin(0, 1) & F.col("_k").isNotNull() & (fold("_k", folds) != held_out))
+    chosen = hash_sample(known, "_k", fit_rows, 11)
+    # chosen has about fit_rows rows, so that it can be broadcast whatever the input's size
     rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_k").orderBy(F.xxhash64("_k", F.lit(11)), "_k", "_y", "_t").limit(fit_rows).collect()
     return fit([r["_t"] for r in rows], [r["_y"] for r in rows])
 

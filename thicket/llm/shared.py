@@ -32,6 +32,13 @@ def fold(key: str | Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def hash_sample(df: DataFrame, key: str, rows: int, salt: int = 29) -> DataFrame:
+    """About rows of the rows (all, if there are no more), chosen by a hash of the key; nothing is sorted or gathered."""
+    n = df.select(key).count()
+    share = 1.0 if n <= rows else rows / n
+    return df.filter(F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def hot_rank(df: DataFrame, keys: list[str], n: str, order: list[str], salt: str, out: str) -> DataFrame:
     """Rank rows from 0 within keys, where a key may hold any share of the rows.
 

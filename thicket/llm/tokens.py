@@ -8,16 +8,23 @@ The ids are those of encoding the whole text.
 
 from __future__ import annotations
 
+import base64
 import os
+import sys
+from collections.abc import Callable
 from itertools import chain, repeat
+from types import ModuleType
 
 import numpy as np
 import public_tokenizers
+import tiktoken
 from tokenizers import Tokenizer
 
 from . import text as tx
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary as ranks, for a library that is faster on single words.
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Distinct cuts that are remembered, at most; then remembering starts anew.
 REMEMBERED = 250_000
 #: Cuts that are encoded at once; the library's results are large.
@@ -50,13 +57,25 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
+def _by_tokenizer(path: str) -> Callable[[list[str]], list[list[int]]]:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return lambda strings: [e.ids for i in range(0, len(strings), AT_ONCE) for e in tokenizer.encode_batch_fast(strings[i : i + AT_ONCE], add_special_tokens=False)]
+
+
+def _by_ranks(path: str) -> Callable[[list[str]], list[list[int]]]:
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return lambda strings: [encode(s) for s in strings]
+
+
 class Ids:
     """Encodes slices of texts; holds the tokenizer and what it has encoded."""
 
     def __init__(self, path: str = BYTE_BPE) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.encode_strings = _by_ranks(path) if path.endswith(".tiktoken") else _by_tokenizer(path)
         self.powers = tx.Powers()
         self.forget()
 
@@ -67,7 +86,7 @@ class Ids:
     def _learn(self, hashes: list[int], strings: list[str]) -> None:
         if len(self.rows) + len(hashes) > REMEMBERED:
             self.forget()
-        found = [e.ids for i in range(0, len(strings), AT_ONCE) for e in self.tokenizer.encode_batch_fast(strings[i : i + AT_ONCE], add_special_tokens=False)]
+        found = self.encode_strings(strings)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         row, total = len(self.rows), int(sizes.sum())
         while len(self.starts) < row + len(found) + 1:
@@ -103,3 +122,11 @@ class Ids:
         starts = cuts(data, offsets)
         ids, out = self.encode_spans(data, starts, np.append(starts[1:], len(data)).astype(np.int64))
         return ids, out[np.searchsorted(starts, offsets)]
+
+
+def worker_ids(path: str = BYTE_BPE) -> Ids:
+    """The Ids of this Python worker. Spark uses workers again, so that tasks that follow know what has been encoded."""
+    kept = sys.modules.setdefault("_thicket_worker", ModuleType("_thicket_worker")).__dict__
+    if path not in kept:
+        kept[path] = Ids(path)
+    return kept[path]
