@@ -235,7 +235,7 @@ def _classes(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             packed = [c.tobytes() for c in np.split(counters, PIECES)]
             yield pa.RecordBatch.from_arrays([*(pa.nulls(PIECES, t) for t in types[:4]), pa.array(range(PIECES), pa.int32()), pa.array(packed, pa.binary())], names=names)
 
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, "key long, f1 long, f2 long, n long, piece int, packed binary")
+    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(tx.giving_back(run), "key long, f1 long, f2 long, n long, piece int, packed binary")
 
 
 def _heavy(pieces: DataFrame) -> tuple[np.ndarray, int]:
@@ -312,7 +312,7 @@ def _candidates(docs: DataFrame, text: str, words: int, signatures: Signatures,
         other = nodes != roots
         return pd.DataFrame({"src": nodes[other].view(np.int64), "dst": roots[other].view(np.int64)})
 
-    return docs.select(text).mapInArrow(sign, "bucket int, edges boolean, packed binary").groupBy("bucket").applyInPandas(meet, "src long, dst long")
+    return docs.select(text).mapInArrow(tx.giving_back(sign), "bucket int, edges boolean, packed binary").groupBy("bucket").applyInPandas(meet, "src long, dst long")
 
 
 def _link(docs: DataFrame, key: str, text: str, members: DataFrame, words: int, num: int, den: int) -> DataFrame:

@@ -168,4 +168,4 @@ def predict(docs: DataFrame, model: LangModel, text: str = "text", out: str = "l
             labels = pa.array([*model.langs, "und"], pa.string()).take(pa.array(np.where(best < 0, len(model.langs), best)))
             yield pa.RecordBatch.from_arrays([*batch.columns, labels, pa.array(sure)], names=[*names, out, score])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tx.giving_back(run), schema)

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import text as tx
+
 #: Payloads are padded with 255 to a multiple of this: 24 rows of 24 bytes.
 UNIT = 576
 ROW = 24
@@ -111,7 +113,7 @@ def encode_images(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
             stored = [encode_image(x.as_buffer().to_pybytes() if x.is_valid else b"") for x in batch.column(len(names))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(stored, pa.binary())], names=[*names, out])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tx.giving_back(run), schema)
 
 
 def describe_images(df: DataFrame, media: str = "media", side: int = 16, tiles: bool = True) -> DataFrame:
@@ -138,4 +140,4 @@ def describe_images(df: DataFrame, media: str = "media", side: int = 16, tiles:
             columns = zip(*rows, strict=True) if rows else [[]] * 8
             yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(list(c), arrow[t]) for c, t in zip(columns, types, strict=True)]], names=[*names, *[c.split()[0] for c in added.split(", ")]])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tx.giving_back(run), schema)

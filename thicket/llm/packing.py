@@ -154,7 +154,7 @@ def pieces(docs: DataFrame, key: str, text: str, room: int, end_id: int, path: s
                     out.append(pa.array(rows[5], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(out, names=["_key", "piece", "start", "length", "ids_crc32", "ids"][: len(out)])
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, f"_key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return docs.select(F.col(key), F.col(text)).mapInArrow(tx.giving_back(run), f"_key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", room: int = 1024, end_id: int = 2, path: str = tokens.BYTE_BPE, with_ids: bool = False, seed: int = 5) -> DataFrame:
@@ -190,4 +190,4 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", room: int = 1
     # sizes has one row for each length, room at most
     ranked = hot_rank(salted.join(F.broadcast(sizes), "length"), ["length"], "_n", ["_salt", "_key", "piece", "ids_crc32"], "_salt", "_rank")
     schema = cut.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
-    return ranked.select(*names, "_rank").mapInArrow(place, schema)
+    return ranked.select(*names, "_rank").mapInArrow(tx.giving_back(place), schema)

@@ -25,6 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import text as tx
+
 ROUNDS = 10
 _FIRST_DAY, _DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 
@@ -214,4 +216,4 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text", spans: str = "pii"
                 columns[at] = pc.coalesce(pa.array(texts, column.type), column)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, kind)], names=[*names, spans])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tx.giving_back(run), schema)

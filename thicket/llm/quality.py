@@ -122,4 +122,4 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", out: str = "
             columns = [*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(scores, -35, 35))))]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, out])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tx.giving_back(run), schema)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, jaccard, langid, lm, media, mixing, neardup, packing, pii, quality
-from .shared import fold, table
+from .shared import fold, small_batches, table
+
+Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +76,17 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality": op1_quality, "op2_pii": op2_pii, "op3_chat": op3_chat, "op4_langid": op4_langid, "op5_mixing": op5_mixing, "op6_jaccard": op6_jaccard, "op7_media": op7_media, "op8_packing": op8_packing, "op9_lm": op9_lm, "op10_neardup": op10_neardup}
+def _batched(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_ALL = [op1_quality, op2_pii, op3_chat, op4_langid, op5_mixing, op6_jaccard, op7_media, op8_packing, op9_lm, op10_neardup]
+QUERIES: dict[str, Query] = {f.__name__: _batched(f) for f in _ALL}
 
 _OP3 = r"""
 WITH t AS (

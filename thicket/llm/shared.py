@@ -22,6 +22,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts go to Python workers in batches of so many rows, which bounds what a batch takes in either."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
