@@ -69,29 +69,27 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int, powers: tx.Powers
 
 
 def fit(texts: list[str | None], labels: list[int], bits: int = 18, epochs: int = 4, alpha: float = 0.3, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-3, seed: int = 7) -> QualityModel:
-    """FTRL-proximal over the examples in a seeded order, epochs times."""
+    """FTRL-proximal over the examples in a seeded order, epochs times; features are made anew for a slice of texts at a time."""
     powers, z, n = tx.Powers(), np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
-    examples = []
-    column = pa.array(texts, pa.string())
-    for _, _, data, offsets in tx.slices(column):
-        buckets, first = features(data, offsets, bits, powers)
-        for a, b in zip(first[:-1], first[1:], strict=True):
-            at, counts = np.unique(buckets[:, a:b], return_counts=True)
-            examples.append((np.append(at, 1 << bits).astype(np.int32), np.append(counts / max(1, b - a), 1.0).astype(np.float32)))
+    rng = np.random.default_rng(seed)
+    order = rng.permutation(len(texts))
+    column, known = pa.array([texts[i] for i in order], pa.string()), np.array(labels, np.float64)[order]
 
     def weights(at: np.ndarray | slice) -> np.ndarray:
         zs = z[at]
         return np.where(np.abs(zs) <= l1, 0.0, (np.sign(zs) * l1 - zs) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
-    rng = np.random.default_rng(seed)
     for _ in range(epochs):
-        for i in rng.permutation(len(examples)):
-            at, x = examples[i]
-            w = weights(at)
-            g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - labels[i]) * x
-            grown = n[at] + g * g
-            z[at] += g - (np.sqrt(grown) - np.sqrt(n[at])) / alpha * w
-            n[at] = grown
+        for i, _, data, offsets in tx.slices(column):
+            buckets, first = features(data, offsets, bits, powers)
+            for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
+                at, counts = np.unique(buckets[:, a:b], return_counts=True)
+                at, x = np.append(at, 1 << bits), np.append(counts / max(1, b - a), 1.0)
+                w = weights(at)
+                g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - known[i + k]) * x
+                grown = n[at] + g * g
+                z[at] += g - (np.sqrt(grown) - np.sqrt(n[at])) / alpha * w
+                n[at] = grown
     final = weights(slice(None))
     return QualityModel(bits, final[:-1].astype(np.float32), float(final[-1]))
 
