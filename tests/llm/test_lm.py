@@ -88,3 +88,9 @@ def test_training_lowers_the_loss():
         m = nn.train(ids, first, steps=steps)
         losses.append(-nn.score(m, ids, first, np.zeros(nn.VOCAB)).sum())
     assert losses[0] > losses[1] > losses[2]
+
+
+def test_model_keeps_its_size():
+    """The context, classes and hidden units that the model was designed with, whatever the CPU budget."""
+    assert (nn.WINDOW, nn.STRIDE, nn.SINGLE, nn.GROUPS) == (32, 26, 48, 48)
+    assert nn.train(np.zeros(0, np.int64), np.zeros(1, np.int64)).parts["up"].shape[1] == 32

@@ -15,8 +15,8 @@ import numpy as np
 #: Vocabulary of the tokenizer; its last id stands for the start and the end of a text.
 VOCAB = 50257
 END = VOCAB - 1
-WINDOW, STRIDE = 24, 20
-SINGLE, GROUPS = 32, 32
+WINDOW, STRIDE = 32, 26
+SINGLE, GROUPS = 48, 48
 
 
 @dataclass
@@ -145,7 +145,7 @@ def classes(ids: np.ndarray, seed: int) -> np.ndarray:
     return class_of
 
 
-def train(ids: np.ndarray, first: np.ndarray, d: int = 16, hidden: int = 24, batch: int = 80, steps: int = 600, rate: float = 0.03, seed: int = 3) -> Model:
+def train(ids: np.ndarray, first: np.ndarray, d: int = 16, hidden: int = 32, batch: int = 80, steps: int = 600, rate: float = 0.03, seed: int = 3) -> Model:
     """Fit by Adam on seeded batches of windows."""
     rng = np.random.default_rng(seed)
     class_of = classes(ids, seed) if len(ids) else np.zeros(VOCAB, np.int64)
