@@ -94,3 +94,24 @@ def test_model_keeps_its_size():
     """The context, classes and hidden units that the model was designed with, whatever the CPU budget."""
     assert (nn.WINDOW, nn.STRIDE, nn.SINGLE, nn.GROUPS) == (32, 26, 48, 48)
     assert nn.train(np.zeros(0, np.int64), np.zeros(1, np.int64)).parts["up"].shape[1] == 32
+
+
+def test_learning_grows_with_the_input(spark, monkeypatch):
+    """Words that the first fit does not see are learnt from all training documents; ids that none has are a class apart."""
+    monkeypatch.setattr(lm, "hash_sample", lambda rows, key, n: rows.filter("t LIKE 'the cat%'"))
+    rows = [(i, "the cat sat on a mat") for i in range(40)] + [(100 + i, "zebra quartz " * 30) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    of = tokens.Ids()
+    _, _, data, offsets = next(tx.slices(pa.array([t for _, t in rows])))
+    ids, first = lm.word_ids(data, offsets, of)
+    counts = np.bincount(ids, minlength=nn.VOCAB)
+    known = np.unique(ids)
+    fits = [lm.learn(df, "doc_id", "text", 7, 7, 20, tokens.BYTE_RANKS, counts, every=every, shard=4000) for every in (10**9, 1)]
+    for model in fits:
+        assert (model.class_of[known] != nn.UNSEEN).all()
+        assert (np.delete(model.class_of, known) == nn.UNSEEN).all()
+    before, after = (nn.score(m, ids, first, nn.shares(m.class_of, counts))[-1] for m in fits)
+    assert after > 0.8 * before  # logs are negative
+    part = df.repartition(5)
+    again = lm.learn(part, "doc_id", "text", 7, 7, 20, tokens.BYTE_RANKS, counts, every=1, shard=4000)
+    assert all(np.allclose(again.parts[k], fits[1].parts[k], atol=1e-5) for k in again.parts)

@@ -2,12 +2,14 @@
 
 The next subword id is predicted as a class, from one causal attention layer over a
 window of ids, times the id's share of its class. Frequent ids are classes of their own;
-the others are grouped by the ids they follow. Long sequences are scored in overlapping
+the others are grouped by the ids they follow, and those that training documents don't have
+are a class of their own, whose probability is add-one's. Long sequences are scored in overlapping
 windows, each id once, with at least window - stride ids before it where there are any.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,12 +19,17 @@ VOCAB = 50257
 END = VOCAB - 1
 WINDOW, STRIDE = 32, 26
 SINGLE, GROUPS = 48, 48
+#: Class of the ids that no training document has, and the number of ids whose followers are counted.
+UNSEEN, COLUMNS = SINGLE + GROUPS, 256
+_OUTSIDE = 65535
 
 
 @dataclass
 class Model:
     parts: dict[str, np.ndarray]
     class_of: np.ndarray
+    unseen: float  # probability of the unseen class
+    squares: np.ndarray  # sums of squared gradients of the embedding
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,8 +95,7 @@ def class_logs(p: dict[str, np.ndarray], hidden: np.ndarray) -> np.ndarray:
 
 def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarray, batch: int = 256) -> np.ndarray:
     """Natural log probability of each text; ids are those of all texts, each with its end id."""
-    before = np.roll(ids, 1)
-    before[first[:-1][np.diff(first) > 0]] = END
+    before = befores(ids, first)
     places, scored = windows(first)
     logs = np.zeros(len(ids))
     room, weights, n = Room(), model.parts["classes"], model.parts["classes"].shape[1]
@@ -102,8 +108,10 @@ def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarr
         z += model.parts["bias"]
         if z.max(initial=0) > 60:
             np.minimum(z, 60, out=z)
-        right = z[np.arange(len(z)), model.class_of[ids[target]]]
-        logs[target] = right - np.log(np.exp(z, out=z) @ ones)
+        own = model.class_of[ids[target]]
+        right = z[np.arange(len(z)), np.minimum(own, n - 1)]
+        with np.errstate(divide="ignore"):
+            logs[target] = np.where(own == UNSEEN, np.log(model.unseen), right - np.log(np.exp(z, out=z) @ ones) + np.log1p(-model.unseen))
     logs += share_logs[ids]
     sums = np.concatenate([[0], np.cumsum(logs)])
     return sums[first[1:]] - sums[first[:-1]]
@@ -115,25 +123,45 @@ def shares(class_of: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.log(n / np.bincount(class_of, n)[class_of])
 
 
-def classes(ids: np.ndarray, seed: int) -> np.ndarray:
+def columns(counts: np.ndarray) -> np.ndarray:
+    """Place of each of the most frequent ids, -1 for the others."""
+    column = np.full(VOCAB, -1)
+    column[np.argsort(-counts, kind="stable")[:COLUMNS]] = np.arange(COLUMNS)
+    return column
+
+
+def befores(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The id before each id; the end before the first of a text."""
+    before = np.roll(ids, 1)
+    before[first[:-1][np.diff(first) > 0]] = END
+    return before
+
+
+def contexts(ids: np.ndarray, first: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells (id * COLUMNS + place of the id before it) and how often each occurs."""
+    at = column[befores(ids, first)]
+    return np.unique(ids[at >= 0] * COLUMNS + at[at >= 0], return_counts=True)
+
+
+def classes(counts: np.ndarray, cells: np.ndarray, often: np.ndarray, seed: int = 3) -> np.ndarray:
     """Class of each id: the most frequent ones alone, the others by k-means over what they follow."""
-    counts = np.bincount(ids, minlength=VOCAB)
     order = np.argsort(-counts, kind="stable")
-    class_of = np.full(VOCAB, SINGLE)
-    class_of[order[:SINGLE]] = np.arange(SINGLE)
-    rest = order[SINGLE:][counts[order[SINGLE:]] > 0]
+    order = order[counts[order] > 0]
+    class_of = np.full(VOCAB, UNSEEN)
+    class_of[order[:SINGLE]] = np.arange(len(order[:SINGLE]))
+    rest = order[SINGLE:]
     if not len(rest):
         return class_of
-    column = np.full(VOCAB, -1)
-    column[order[:256]] = np.arange(256)
     row = np.full(VOCAB, -1)
     row[rest] = np.arange(len(rest))
-    a, b = column[ids[:-1]], row[ids[1:]]
-    both = (a >= 0) & (b >= 0)
-    table = np.zeros((len(rest), 256), np.float32)
-    np.add.at(table, (b[both], a[both]), 1)
+    at = row[cells // COLUMNS]
+    table = np.zeros((len(rest), COLUMNS), np.float32)
+    table[at[at >= 0], cells[at >= 0] % COLUMNS] = often[at >= 0]
     total = table.sum(0, keepdims=True) / max(1.0, float(table.sum()))
-    table = np.sqrt((table + 4 * total) / (table.sum(1, keepdims=True) + 4))  # few sightings lean on the whole
+    sums = table.sum(1, keepdims=True) + 4
+    table += 4 * total  # few sightings lean on the whole
+    table /= sums
+    np.sqrt(table, out=table)
     rng = np.random.default_rng(seed)
     centres = table[rng.permutation(len(rest))[:GROUPS]]
     for _ in range(8):
@@ -145,27 +173,56 @@ def classes(ids: np.ndarray, seed: int) -> np.ndarray:
     return class_of
 
 
-def train(ids: np.ndarray, first: np.ndarray, d: int = 16, hidden: int = 32, batch: int = 80, steps: int = 600, rate: float = 0.03, seed: int = 3) -> Model:
-    """Fit by Adam on seeded batches of windows."""
-    rng = np.random.default_rng(seed)
-    class_of = classes(ids, seed) if len(ids) else np.zeros(VOCAB, np.int64)
-    n = SINGLE + GROUPS
+def sequences(ids: np.ndarray, first: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
+    """Windows as rows of 16-bit numbers: whether it is a text's first, the id before it, its ids."""
+    places, scored = windows(first)
+    if chosen is not None:
+        places, scored = places[chosen], scored[chosen]
+    out = np.full((len(places), WINDOW + 2), _OUTSIDE, np.uint16)
+    out[:, 0] = scored[:, 0]
+    out[:, 1] = befores(ids, first)[places[:, 0]] if len(places) else 0
+    out[:, 2:] = np.where(places >= 0, ids[places] if len(ids) else 0, _OUTSIDE)
+    return out
+
+
+def start(class_of: np.ndarray, counts: np.ndarray, d: int = 16, hidden: int = 32, seed: int = 3) -> Model:
+    """A model that knows the classes' frequencies alone."""
+    rng, n = np.random.default_rng(seed), SINGLE + GROUPS
     shape = {"embed": (VOCAB, d), "place": (WINDOW, d), "qkv": (d, 3 * d), "out": (d, d), "up": (d, hidden), "down": (hidden, d), "classes": (d, n)}
     p = {k: (rng.standard_normal(s) * (0.3 if k == "embed" else s[0] ** -0.5 * 0.5)).astype(np.float32) for k, s in shape.items()}
-    share = np.bincount(class_of[ids], minlength=n) if len(ids) else np.ones(n)
+    share = np.bincount(class_of, counts, UNSEEN + 1)[:n]
     p["bias"] = np.log((share + 1) / (share + 1).sum()).astype(np.float32)
-    before = np.roll(ids, 1)
-    before[first[:-1][np.diff(first) > 0]] = END
-    places, scored = windows(first)
-    moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items()}
+    return Model(p, class_of, 1 / (counts.sum() + 1), np.zeros((VOCAB, d), np.float32))
+
+
+def train(ids: np.ndarray, first: np.ndarray, d: int = 16, hidden: int = 32, batch: int = 80, steps: int = 600, rate: float = 0.03, seed: int = 3, counts: np.ndarray | None = None, class_of: np.ndarray | None = None) -> Model:
+    """Fit by Adam on seeded batches of windows. Counts and classes are those of the ids where none are given."""
+    if counts is None:
+        counts = np.bincount(ids, minlength=VOCAB)
+    if class_of is None:
+        class_of = classes(counts, *contexts(ids, first, columns(counts)), seed)
+    model, rows, rng = start(class_of, counts, d, hidden, seed), sequences(ids, first), np.random.default_rng(seed)
+    if len(rows):
+        fit(model, rows, (rng.integers(0, len(rows), batch) for _ in range(steps)), steps, rate)
+    return model
+
+
+def fit(model: Model, rows: np.ndarray, picks: Iterable[np.ndarray], steps: int, rate: float) -> np.ndarray:
+    """Change the model by one step of Adam for each pick of rows; how often each id was used."""
+    p, class_of = model.parts, model.class_of
+    d, used = p["embed"].shape[1], np.zeros(VOCAB, np.int64)
+    moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items() if k != "embed"}
     room = Room()
-    for step in range(1, steps + 1 if len(places) else 1):
-        pick = rng.integers(0, len(places), batch)
-        at, mine = places[pick], scored[pick]
-        into = before[at]
+    for step, pick in enumerate(picks, 1):
+        ids = rows[pick].astype(np.int64)
+        into, aim = np.minimum(ids[:, 1:-1], END), ids[:, 2:]
+        mine = (aim != _OUTSIDE) & ((ids[:, :1] == 1) | (np.arange(WINDOW) >= WINDOW - STRIDE))
+        mine &= class_of[np.minimum(aim, END)] != UNSEEN
+        if not mine.any():
+            continue
         g, x, q, k, v, a, total, y, h, t = forward(p, into, room)
         a /= total
-        gs, target = g[mine], class_of[ids[at[mine]]]
+        gs, target = g[mine], class_of[aim[mine]]
         dz = np.exp(class_logs(p, gs))
         dz[np.arange(len(target)), target] -= 1
         dz /= len(target)
@@ -191,10 +248,10 @@ def train(ids: np.ndarray, first: np.ndarray, d: int = 16, hidden: int = 32, bat
             m += 0.1 * (gr - m)
             s += 0.01 * (gr * gr - s)
             p[name] -= (now * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-        rows, inverse = np.unique(into, return_inverse=True)
-        gr = np.zeros((len(rows), d), np.float32)
+        own, inverse, many = np.unique(into, return_inverse=True, return_counts=True)
+        gr = np.zeros((len(own), d), np.float32)
         np.add.at(gr, inverse.ravel(), dx.reshape(-1, d))
-        s = moments["embed"][1]
-        s[rows] += gr * gr  # rare ids get larger steps
-        p["embed"][rows] -= 10 * now * gr / (np.sqrt(s[rows]) + 1e-6)
-    return Model(p, class_of)
+        model.squares[own] += gr * gr  # rare ids get larger steps
+        p["embed"][own] -= 10 * now * gr / (np.sqrt(model.squares[own]) + 1e-6)
+        used[own] += many
+    return used

@@ -3,8 +3,10 @@
 Texts are lower-cased (A-Z) and cut into words; an end follows the last word. The base
 score is the add-one unigram score with counts over all training documents. The model's
 score is the log10 probability of the subword ids of " word" for each word and of the end,
-by attention.py: its parameters are fitted on a bounded sample of training documents
-(fit_docs), its shares of ids within their classes come from all training documents.
+by attention.py: ids' counts, shares and classes come from all training documents. Its
+parameters start from a fit on a few of them (fit_docs) and are then fitted on every
+EVERY-th window of all, in shards whose number grows with the input; each round's
+parameters are averaged over shards, an id's embedding by how often a shard uses it.
 
 Counting sends no row for each word. A batch packs the distinct words of each document
 into binary columns by ranges of their hash; each range counts its words, adds up the
@@ -17,7 +19,7 @@ with equal key and text get equal results, each its own row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,8 +33,12 @@ from . import text as tx
 from . import tokens
 from .shared import checkpoint, fold, hash_sample
 
-#: Training documents that the attention model is fitted on, about (those with the least hashes of their keys).
+#: Training documents that the attention model is first fitted on, about (those with the least hashes of their keys).
 FIT_DOCS = 800
+#: Of the windows of all training documents one in EVERY is learnt from after that, in shards of about SHARD, in so many rounds.
+EVERY, SHARD, ROUNDS = 8, 40_000, 3
+#: Parts of tables that are added up apart, and groups in which they are added up first.
+PIECES, SALTS = 32, 64
 #: Distinct words of documents that a batch gathers before it is sent, about, and that a hash range holds.
 GATHERED, RANGE = 1_000_000, 2_000_000
 _END_HASH = np.uint64(0xE7037ED1A0B428DB)
@@ -46,7 +52,7 @@ def word_ids(data: np.ndarray, offsets: np.ndarray, ids_of: tokens.Ids) -> tuple
     return np.insert(ids.astype(np.int64), borders[1:], nn.END), borders + np.arange(len(borders))
 
 
-def fit_on(docs: DataFrame, key: str, text: str, folds: int, held_out: int, fit_docs: int = FIT_DOCS, path: str = tokens.BYTE_RANKS) -> nn.Model:
+def fit_on(docs: DataFrame, key: str, text: str, folds: int, held_out: int, fit_docs: int = FIT_DOCS, path: str = tokens.BYTE_RANKS, counts: np.ndarray | None = None, class_of: np.ndarray | None = None) -> nn.Model:
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).filter((fold("k", folds) != held_out) & F.col("t").isNotNull())
     texts = sorted(r["t"] for r in hash_sample(rows, "k", fit_docs).select("t").collect())
     ids_of, ids, first = tokens.Ids(path), [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
@@ -54,7 +60,153 @@ def fit_on(docs: DataFrame, key: str, text: str, folds: int, held_out: int, fit_
         own, at = word_ids(data, offsets, ids_of)
         ids.append(own)
         first.append(first[-1][-1] + at[1:])
-    return nn.train(np.concatenate(ids), np.concatenate(first))
+    return nn.train(np.concatenate(ids), np.concatenate(first), counts=counts, class_of=class_of)
+
+
+_LEARNT = "kind int, part int, salt int, packed binary"
+
+
+def _merged(cells: list[np.ndarray], often: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique(np.concatenate(cells), return_inverse=True)
+    return found, np.bincount(at, np.concatenate(often), len(found)).astype(np.int64)
+
+
+def _lessons(docs: DataFrame, column: np.ndarray, shards: int, every: int, path: str) -> DataFrame:
+    """docs has _seed, _text. Kinds: 0 counts of ids after frequent ids, by piece, 1 windows, by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids_of, part = tokens.worker_ids(path), TaskContext.get().partitionId()
+        cells, often, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        rows, places, waiting = [], [], 0
+
+        def sent(kind: int, parts: list[int], packed: list[bytes]) -> pa.RecordBatch:
+            n = len(parts)
+            return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), pa.array(parts, pa.int32()), pa.array([part % SALTS] * n, pa.int32()), pa.array(packed, pa.binary())], names=["kind", "part", "salt", "packed"])
+
+        def flush() -> pa.RecordBatch:
+            all_rows, shard = np.concatenate(rows), np.concatenate(places)
+            own = np.unique(shard)
+            return sent(1, own.tolist(), [all_rows[shard == s].tobytes() for s in own])
+
+        for batch in batches:
+            seeds = batch.column(0).to_numpy().view(np.uint64)
+            for i, j, data, offsets in tx.slices(batch.column(1)):
+                ids, first = word_ids(data, offsets, ids_of)
+                c, n = nn.contexts(ids, first, column)
+                cells.append(c)
+                often.append(n)
+                held += len(c)
+                if held > GATHERED:
+                    c, n = _merged(cells, often)
+                    cells, often, held = [c], [n], 0
+                sizes = np.diff(first)
+                many = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - nn.WINDOW) // nn.STRIDE)), 0)
+                nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                h = tx.mix(np.repeat(seeds[i:j], many) + nth.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+                chosen = np.flatnonzero(h % np.uint64(every) == 0)
+                rows.append(nn.sequences(ids, first, chosen))
+                places.append(_split(h[chosen], shards).astype(np.int64))
+                waiting += len(chosen)
+                if waiting > SHARD:
+                    yield flush()
+                    rows, places, waiting = [], [], 0
+        if waiting:
+            yield flush()
+        c, n = _merged(cells, often)
+        piece = c // nn.COLUMNS % PIECES
+        own = np.unique(piece)
+        if len(own):
+            yield sent(0, own.tolist(), [c[piece == p].tobytes() + n[piece == p].tobytes() for p in own])
+
+    return docs.select("_seed", "_text").mapInArrow(tx.giving_back(run), _LEARNT)
+
+
+def _summed(df: DataFrame, add: Callable[[list[bytes]], bytes]) -> dict[int, bytes]:
+    """Add up the packed values of each part, in groups first; add must not mind the order of its values."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": part["part"].iloc[:1], "packed": [add(sorted(part["packed"]))]})
+
+    some = df.groupBy("part", "salt").applyInPandas(run, "part int, packed binary")
+    return {r["part"]: r["packed"] for r in some.groupBy("part").applyInPandas(run, "part int, packed binary").collect()}
+
+
+def _add_cells(packed: list[bytes]) -> bytes:
+    pairs = [np.frombuffer(raw, np.int64).reshape(2, -1) for raw in packed]
+    return b"".join(x.tobytes() for x in _merged([c for c, _ in pairs], [n for _, n in pairs]))
+
+
+def _add_changes(packed: list[bytes]) -> bytes:
+    """Values are rows of doubles, the first an id (or a place) and the others summed."""
+    width = int.from_bytes(packed[0][:8], "little")
+    rows = np.concatenate([np.frombuffer(raw, np.float64, -1, 8).reshape(-1, width) for raw in packed])
+    ids, at = np.unique(rows[:, 0], return_inverse=True)
+    sums = np.zeros((len(ids), width))
+    np.add.at(sums, at, rows)
+    sums[:, 0] = ids
+    return width.to_bytes(8, "little") + sums.tobytes()
+
+
+def _round(model: nn.Model, lessons: DataFrame, nth: int, rounds: int, salts: int, batch: int = 80) -> None:
+    """Fit the model on one part of each shard's windows, and take the average over shards."""
+    names = [k for k in model.parts if k != "embed"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            for shard, raw in zip(given.column(0).to_pylist(), given.column(1), strict=True):
+                rows = np.frombuffer(raw.as_buffer(), np.uint16).reshape(-1, nn.WINDOW + 2)
+                order = np.random.default_rng(shard).permutation(len(rows))[nth::rounds]
+                if not len(order):
+                    continue
+                own = nn.Model({k: v.copy() for k, v in model.parts.items()}, model.class_of, model.unseen, model.squares.copy())
+                steps = -(-len(order) // batch)
+                used = nn.fit(own, rows, np.array_split(order, steps), steps, 0.01 * (1 - nth / rounds))
+                ids = np.flatnonzero(used)
+                n = used[ids, None].astype(np.float64)
+                change = np.hstack([ids[:, None], n, n * (own.parts["embed"][ids] - model.parts["embed"][ids]), n * (own.squares[ids] - model.squares[ids])])
+                whole = np.concatenate([(own.parts[k] - model.parts[k]).ravel() for k in names]).astype(np.float64)
+                whole = np.stack([np.arange(len(whole)), np.full(len(whole), len(order)), whole * len(order)], 1)
+                parts = [(-1, whole), *((p, change[ids % PIECES == p]) for p in range(PIECES))]
+                parts = [(p, x.shape[1].to_bytes(8, "little") + x.tobytes()) for p, x in parts if len(x)]
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([shard % salts] * len(parts), pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["part", "salt", "packed"])
+
+    for part, raw in _summed(lessons.mapInArrow(tx.giving_back(run), "part int, salt int, packed binary"), _add_changes).items():
+        rows = np.frombuffer(raw, np.float64, -1, 8).reshape(-1, int.from_bytes(raw[:8], "little"))
+        mean = (rows[:, 2:] / rows[:, 1:2]).astype(np.float32)
+        if part >= 0:
+            ids, d = rows[:, 0].astype(np.int64), mean.shape[1] // 2
+            model.parts["embed"][ids] += mean[:, :d]
+            model.squares[ids] += mean[:, d:]
+            continue
+        at = 0
+        for k in names:
+            size = model.parts[k].size
+            model.parts[k] += mean[at : at + size, 0].reshape(model.parts[k].shape)
+            at += size
+
+
+def learn(docs: DataFrame, key: str, text: str, folds: int, held_out: int, fit_docs: int, path: str, n_ids: np.ndarray, every: int = EVERY, shard: int = SHARD, rounds: int = ROUNDS) -> nn.Model:
+    """The attention model of all training documents, whose ids' counts are n_ids."""
+    full = F.coalesce(F.col(text), F.lit(""))
+    seed = F.xxhash64(F.xxhash64(full, F.length(full)), F.coalesce(F.col(key).cast("long"), F.monotonically_increasing_id()))
+    rows = docs.filter(fold(key, folds) != held_out).select(seed.alias("_seed"), full.alias("_text"))
+    shards = max(1, round(int(n_ids.sum()) / nn.STRIDE / every / shard))
+    found = checkpoint(_lessons(rows, nn.columns(n_ids), shards, every, path))
+    cells = [np.frombuffer(raw, np.int64).reshape(2, -1) for raw in _summed(found.filter("kind = 0").drop("kind"), _add_cells).values()]
+    class_of = nn.classes(n_ids, *(np.concatenate([np.zeros(0, np.int64), *(c[i] for c in cells)]) for i in (0, 1)))
+    model = fit_on(docs, key, text, folds, held_out, fit_docs, path, n_ids, class_of)
+
+    def gather(part: pd.DataFrame) -> pd.DataFrame:
+        windows = np.concatenate([np.frombuffer(raw, np.uint16).reshape(-1, nn.WINDOW + 2) for raw in part["packed"]])
+        # an order that does not depend on how rows came
+        windows = windows[np.lexsort(windows.T)]
+        return pd.DataFrame({"shard": part["part"].iloc[:1], "packed": [windows.tobytes()]})
+
+    gathered = found.filter("kind = 1").repartition(shards, "part").groupBy("part").applyInPandas(gather, "shard int, packed binary")
+    lessons = checkpoint(gathered)
+    for nth in range(rounds):
+        _round(model, lessons, nth, rounds, max(1, round(shards**0.5)))
+    return model
 
 
 def _split(hashes: np.ndarray, ranges: int) -> np.ndarray:
@@ -182,7 +334,6 @@ def _add_up(part: pd.DataFrame) -> pd.DataFrame:
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, held_out: int = 2, fit_docs: int = FIT_DOCS, path: str = tokens.BYTE_RANKS) -> DataFrame:
     """One row for each document: key, held_out, n_tokens, n_known, train_tokens, base_score, score. Keys are integers."""
-    model = fit_on(docs, key, text, folds, held_out, fit_docs, path)
     full = F.coalesce(F.col(text), F.lit(""))
     each = docs.select(F.col(key).cast("long").alias("_key"), F.xxhash64(full, F.length(full)).alias("_hash"), (fold(key, folds) != held_out).alias("_train"), full.alias("_text"))
     size = docs.agg(F.sum(F.length(text))).first()[0] or 0
@@ -193,6 +344,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     n_ids = np.zeros(nn.VOCAB, np.int64)
     for r in counted.filter("kind = 2").groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most one row for each id of the vocabulary
         n_ids[r["id"]] = r["n"]
+    model = learn(docs, key, text, folds, held_out, fit_docs, path, n_ids)
     share_logs = nn.shares(model.class_of, n_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
