@@ -57,3 +57,19 @@ def test_edge_cases(spark):
     got = {r["vec_id"]: tuple(r)[1:] for r in neardup.near_duplicates(spark.createDataFrame(rows, schema)).collect() if r["vec_id"]}
     assert {k: got[k] for k in (1, 2, 3, 4, 5, 6, 10)} == {k: (0, k, True) for k in (1, 2, 3, 4, 5, 6, 10)}
     assert {k: got[k] for k in (7, 8, 9, 11)} == {7: (4, 7, True), 8: (4, 7, False), 9: (4, 7, False), 11: (4, 7, False)}
+
+
+def test_passes_grow_with_the_rows(spark):
+    same = 1 - np.arccos(0.9) / np.pi
+    for n in (10**3, 10**5, 10**6, 10**7, 10**8):
+        assert 1 - (1 - same ** np.log2(n / 256)) ** neardup.passes_for(n, 0.9, 256) >= 0.99
+    assert neardup.passes_for(100, 0.9, 256) == neardup.PASSES
+    # pairs at the threshold, among many vectors for their window
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(3000):
+        a, b = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        rows += [(2 * i, a.tolist()), (2 * i + 1, (0.901 * a + (1 - 0.901**2) ** 0.5 * b).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [near.filter("n_links = 1").count() / len(rows) for near in (neardup.near_duplicates(df, window=1, passes=p) for p in (None, neardup.PASSES))]
+    assert found[0] >= 0.97 > found[1]

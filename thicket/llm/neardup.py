@@ -6,8 +6,10 @@ window ones. Verified pairs of all passes are united. A pair that lies inside th
 in an earlier pass as well counts there only, which its ranks tell, so that links are
 counted without a table of pairs; components are contracted inside each task first.
 
-Recall against all pairs with the default passes and window is measured in the README;
-no pair below the threshold is ever linked.
+The number of passes grows with the number of distinct vectors, so that a pair at the
+threshold is found with the stated probability (passes_for). Windows are bounded: in a
+family of more vectors than a window holds some links may be missing from n_links. Recall
+against all pairs is measured in the README; no pair below the threshold is ever linked.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components
 link with nothing, and nor do vectors of different lengths; equal vectors are linked with
@@ -28,13 +30,24 @@ from pyspark.sql import functions as F
 from .components import components, local_components
 from .shared import checkpoint
 
-PASSES = 16
+#: Passes at least, and the probability with which a pair at the threshold is to be found.
+PASSES, RECALL = 16, 0.99
 WINDOW = 256
 #: Vectors of one pass that are compared in one task, besides the window that overlaps.
 BLOCK = 4096
 BITS = 64
 
 
+def passes_for(n: int, threshold: float, window: int, recall: float = RECALL) -> int:
+    """Passes for a pair at the threshold among n vectors.
+
+    In one pass it lies inside a window, about, if the signs of log2(n / window) projections agree.
+    """
+    same = 1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi
+    found = same ** np.log2(max(1.0, n / window))
+    return PASSES if found >= 1 else max(PASSES, int(np.ceil(np.log(1 - recall) / np.log1p(-found))))
+
+
 def unit(values: list | None) -> np.ndarray | None:
     """The vector over its length in double precision; None if it has no direction."""
     if not values or any(x is None for x in values):
@@ -77,8 +90,8 @@ def compare(vectors: np.ndarray, ranks: np.ndarray, at: int, own: np.ndarray, we
     return links, np.concatenate(firsts), np.concatenate(seconds)
 
 
-def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, passes: int = PASSES, window: int = WINDOW, block: int = BLOCK, seed: int = 23) -> DataFrame:
-    """One row for each row of df: key, n_links, component_id, kept. Keys are integers."""
+def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, passes: int | None = None, window: int = WINDOW, block: int = BLOCK, seed: int = 23) -> DataFrame:
+    """One row for each row of df: key, n_links, component_id, kept. Keys are integers; passes follow from the number of vectors."""
     if window > block:
         raise ValueError("a window must fit a block")
 
@@ -90,6 +103,8 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     rows = checkpoint(df.select(F.col(key).cast("long"), F.col(vector).cast("array<double>")).mapInArrow(prepare, "key long, unit binary").withColumn("class", F.sha2("unit", 256)))
     classes = rows.filter("unit IS NOT NULL").groupBy("class").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("size"), F.first("unit").alias("unit"))
     nodes = checkpoint(classes.filter("node IS NOT NULL"))
+    if passes is None:
+        passes = passes_for(nodes.count(), threshold, window)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
