@@ -36,3 +36,16 @@ def test_stages(spark, tmp_path):
         times[r["doc_id"]] = times.get(r["doc_id"], 0) + 1
     assert max(times.values()) <= 2 and set(times) <= {r["doc_id"] for r in hidden}
     assert sorted(r["doc_id"] for r in packed if r["piece"] == 0) == sorted(r["doc_id"] for r in mixed)
+
+
+def test_near_copies_go_by_row(spark):
+    """Rows that share a key are documents of their own; copies go whether or not they have a key."""
+    text = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    rows = [(1, text("a")), (1, text("b")), (1, text("c")), (2, text("a")), (3, text("d")), (None, text("d")), (None, text("e")), (None, text("e") + " x"), (None, text("f")), (None, ""), (4, None), (5, text("g")), (5, text("g"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in cp.drop_near_copies(spark, docs, SF).collect()]
+    least = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    e = [r for r in got if (r[1] or "").startswith("e0 ")]
+    assert len(e) == 1 and e[0] in rows
+    want = [(1, text("a")), (1, text("b")), (1, text("c")), (3, text("d")), (None, text("f")), (None, ""), (4, None), (5, text("g"))]
+    assert sorted((r for r in got if r not in e), key=least) == sorted(want, key=least)
