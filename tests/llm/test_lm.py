@@ -28,7 +28,7 @@ def test_counts_and_base_scores(spark):
     rows = [(i, " ".join(f"W{int(x)}" for x in rng.zipf(1.3, rng.integers(0, 200)))) for i in range(150)]
     rows += [(1000, None), (1001, ""), (1002, " \t "), (1003, "Ünd ÜND x y"), (None, "w1 w2 w3"), (7, rows[7][1])]
     df = spark.createDataFrame([(*r, 1.5) for r in rows], "doc_id long, text string, score double").repartition(3)
-    got, want = lm.score(df, fit_docs=20).collect(), brute(rows)
+    got, want = lm.score(df, chunk=5000).collect(), brute(rows)
     # the repeated row is counted in training as well
     assert len(got) == len(rows)
     for r in got:
@@ -54,15 +54,23 @@ def sample(n=60):
     return np.concatenate(ids), np.array(first)
 
 
+def trained(ids, first, steps, rate=0.03):
+    counts = np.bincount(ids, minlength=nn.VOCAB)
+    model, rows = nn.start(nn.classes(counts, *nn.contexts(ids, first, nn.columns(counts))), counts), nn.sequences(ids, first)
+    rng = np.random.default_rng(3)
+    nn.fit(model, rows, (rng.integers(0, len(rows), 80) for _ in range(steps)), steps, rate)
+    return model
+
+
 def test_each_id_is_scored_once():
     first = np.array([0, 1, 1, 40, 40 + nn.WINDOW, 400])
-    places, scored = nn.windows(first)
-    assert sorted(places[scored].tolist()) == list(range(400))
+    scored = nn.windows(first)[:, nn.LEAD :]
+    assert sorted(scored[scored >= 0].tolist()) == list(range(400))
 
 
 def test_model_learns_and_is_a_distribution():
     ids, first = sample()
-    model = nn.train(ids, first, steps=200)
+    model = trained(ids, first, 200)
     logs = nn.shares(model.class_of, np.bincount(ids, minlength=nn.VOCAB))
     assert np.allclose(np.bincount(model.class_of, np.exp(logs))[np.unique(model.class_of)], 1)
     unigram = np.log((np.bincount(ids, minlength=nn.VOCAB) + 1) / (len(ids) + nn.VOCAB))
@@ -71,13 +79,35 @@ def test_model_learns_and_is_a_distribution():
 
 def test_later_ids_do_not_change_earlier_scores():
     ids, first = sample()
-    model = nn.train(ids, first, steps=20)
-    logs = np.zeros(nn.VOCAB)
-    one = ids[: nn.WINDOW - 4]
+    model = trained(ids, first, 20)
+    one = ids[:20]
     other = np.concatenate([one[:-1], [ids[-2]]])
-    a, b = (nn.forward(model.parts, np.concatenate([[nn.END], x[:-1], np.zeros(nn.WINDOW - len(x), int)])[None], nn.Room())[0].copy() for x in (one, other))
-    assert np.allclose(a[0, : len(one)], b[0, : len(one)], atol=1e-5)
-    assert np.isfinite(nn.score(model, one, np.array([0, len(one)]), logs)).all()
+    at = nn.windows(np.array([0, 20]))
+    a, b = (nn.forward(model.parts, nn.befores(x, np.array([0, 20]))[at], at[:, 0] < 0, nn.Room())[0].copy() for x in (one, other))
+    assert np.allclose(a[0, :20], b[0, :20], atol=1e-5)
+    assert np.isfinite(nn.score(model, one, np.array([0, 20]), np.zeros(nn.VOCAB))).all()
+
+
+def test_scores_are_those_of_the_model():
+    """Scoring makes each id's part of the layer once; a plain version looks at each place with all places before it in its window."""
+    ids, first = sample()
+    model = trained(ids, first, 60)
+    p, d = {k: v.astype(np.float64) for k, v in model.parts.items()}, 16
+    want = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        own, total = [nn.END, *ids[a:b].tolist()], 0.0
+        for n in range(b - a):
+            begin = n // nn.STRIDE * nn.STRIDE - nn.LEAD
+            seen = np.arange(max(0, begin), n + 1)
+            x = p["embed"][[own[i] for i in seen]] + p["place"][seen - begin]
+            q, k, v = (x @ p["qkv"][:, i * d : (i + 1) * d] for i in range(3))
+            w = np.exp(k @ q[-1] * d**-0.5)
+            h = x[-1] + w @ v / w.sum() @ p["out"]
+            g = h + np.maximum(h @ p["up"], 0) @ p["down"]
+            z = g @ p["classes"] + p["bias"]
+            total += z[model.class_of[own[n + 1]]] - np.log(np.exp(z).sum()) + np.log1p(-model.unseen)
+        want.append(total)
+    assert np.allclose(nn.score(model, ids, first, np.zeros(nn.VOCAB)), want, rtol=1e-4)
 
 
 def test_training_lowers_the_loss():
@@ -85,7 +115,7 @@ def test_training_lowers_the_loss():
     ids, first = sample()
     losses = []
     for steps in (1, 60, 300):
-        m = nn.train(ids, first, steps=steps)
+        m = trained(ids, first, steps)
         losses.append(-nn.score(m, ids, first, np.zeros(nn.VOCAB)).sum())
     assert losses[0] > losses[1] > losses[2]
 
@@ -93,25 +123,37 @@ def test_training_lowers_the_loss():
 def test_model_keeps_its_size():
     """The context, classes and hidden units that the model was designed with, whatever the CPU budget."""
     assert (nn.WINDOW, nn.STRIDE, nn.SINGLE, nn.GROUPS) == (32, 26, 48, 48)
-    assert nn.train(np.zeros(0, np.int64), np.zeros(1, np.int64)).parts["up"].shape[1] == 32
+    assert nn.start(np.zeros(nn.VOCAB, np.int64), np.zeros(nn.VOCAB, np.int64)).parts["up"].shape == (16, 32)
+
+
+def chunks_of(spark, rows, parts=3):
+    df = spark.createDataFrame([(i, i * 7919, True, t) for i, t in rows], "_key long, _seed long, _train boolean, _text string")
+    return lm.encode(df.repartition(parts), tokens.BYTE_RANKS, 3000)
 
 
-def test_learning_grows_with_the_input(spark, monkeypatch):
-    """Words that the first fit does not see are learnt from all training documents; ids that none has are a class apart."""
-    monkeypatch.setattr(lm, "hash_sample", lambda rows, key, n: rows.filter("t LIKE 'the cat%'"))
-    rows = [(i, "the cat sat on a mat") for i in range(40)] + [(100 + i, "zebra quartz " * 30) for i in range(2000)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+def test_all_training_documents_teach(spark):
+    """Learning covers all of them, whatever chunks they come in; ids that none has are a class apart."""
+    rows = [(i, "the cat sat on a mat") for i in range(40)] + [(100 + i, "zebra quartz " * 30) for i in range(800)]
     of = tokens.Ids()
     _, _, data, offsets = next(tx.slices(pa.array([t for _, t in rows])))
     ids, first = lm.word_ids(data, offsets, of)
-    counts = np.bincount(ids, minlength=nn.VOCAB)
-    known = np.unique(ids)
-    fits = [lm.learn(df, "doc_id", "text", 7, 7, 20, tokens.BYTE_RANKS, counts, every=every, shard=4000) for every in (10**9, 1)]
-    for model in fits:
-        assert (model.class_of[known] != nn.UNSEEN).all()
-        assert (np.delete(model.class_of, known) == nn.UNSEEN).all()
-    before, after = (nn.score(m, ids, first, nn.shares(m.class_of, counts))[-1] for m in fits)
-    assert after > 0.8 * before  # logs are negative
-    part = df.repartition(5)
-    again = lm.learn(part, "doc_id", "text", 7, 7, 20, tokens.BYTE_RANKS, counts, every=1, shard=4000)
-    assert all(np.allclose(again.parts[k], fits[1].parts[k], atol=1e-5) for k in again.parts)
+    counts, known = np.bincount(ids, minlength=nn.VOCAB), np.unique(ids)
+    assert (lm._ids_counts(chunks_of(spark, rows)) == counts).all()
+    few, all_ = (lm.learn(chunks_of(spark, r), counts, every=1, shard=1500, rounds=2) for r in (rows[:60], rows))
+    assert (all_.class_of[known] != nn.UNSEEN).all() and (np.delete(all_.class_of, known) == nn.UNSEEN).all()
+    before, after = (nn.score(m, ids, first, nn.shares(m.class_of, counts)).sum() for m in (few, all_))
+    assert after > before
+    again = lm.learn(chunks_of(spark, rows, 5), counts, every=1, shard=1500, rounds=2)
+    assert all(np.allclose(again.parts[k], all_.parts[k], atol=1e-4) for k in again.parts)
+
+
+def test_words_are_told_apart_by_their_ids():
+    texts = ["a b a", "", " ab a b \u00a0x é漢 é漢 don't don't.", "x" * 500]
+    of = tokens.Ids(tokens.BYTE_RANKS)
+    _, _, data, offsets = next(tx.slices(pa.array(texts)))
+    ids, first = lm.word_ids(data, offsets, of)
+    found, texts_at = lm.words_of(ids, first, lm.word_starts(tokens.BYTE_RANKS), tx.Powers())
+    words = [w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t)]
+    assert np.diff(texts_at).tolist() == [len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in texts]
+    pairs = set(zip(words, found.tolist(), strict=True))
+    assert len(pairs) == len(set(words)) == len(set(found.tolist()))

@@ -3,12 +3,14 @@
 The next subword id is predicted as a class, from one causal attention layer over a
 window of ids, times the id's share of its class. Frequent ids are classes of their own;
 the others are grouped by the ids they follow, and those that training documents don't have
-are a class of their own, whose probability is add-one's. Long sequences are scored in overlapping
-windows, each id once, with at least window - stride ids before it where there are any.
+are a class of their own, whose probability is add-one's. Texts are scored in overlapping windows of
+WINDOW places, of which the last STRIDE are scored, so that each id is scored once, with at least
+LEAD places before it where its text has them; before a text's first id, places are masked.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -18,6 +20,7 @@ import numpy as np
 VOCAB = 50257
 END = VOCAB - 1
 WINDOW, STRIDE = 32, 26
+LEAD = WINDOW - STRIDE
 SINGLE, GROUPS = 48, 48
 #: Class of the ids that no training document has, and the number of ids whose followers are counted.
 UNSEEN, COLUMNS = SINGLE + GROUPS, 256
@@ -32,19 +35,22 @@ class Model:
     squares: np.ndarray  # sums of squared gradients of the embedding
 
 
-def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For texts at first[i]:first[i + 1] the places of each window's ids (-1: none), and which of them it scores."""
+def many_windows(sizes: np.ndarray) -> np.ndarray:
+    return -(-sizes // STRIDE)
+
+
+def windows(first: np.ndarray) -> np.ndarray:
+    """For texts at first[i]:first[i + 1] the places of each window's ids (-1: none); the last STRIDE are scored."""
     sizes = np.diff(first)
-    many = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - WINDOW) // STRIDE)), 0)
+    many = many_windows(sizes)
     text = np.repeat(np.arange(len(sizes)), many)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
-    at = nth[:, None] * STRIDE + np.arange(WINDOW)
-    inside = at < sizes[text][:, None]
-    scored = inside & ((nth[:, None] == 0) | (np.arange(WINDOW) >= WINDOW - STRIDE))
-    return np.where(inside, at + first[text][:, None], -1), scored
+    at = nth[:, None] * STRIDE - LEAD + np.arange(WINDOW)
+    return np.where((at >= 0) & (at < sizes[text][:, None]), at + first[text][:, None], -1)
 
 
-_CAUSAL = np.tri(WINDOW, dtype=np.float32)
+#: The places that each scored one looks at.
+_CAUSAL = np.tri(STRIDE, WINDOW, LEAD, dtype=np.float32)
 
 
 class Room:
@@ -54,67 +60,101 @@ class Room:
         self.arrays: dict[str, np.ndarray] = {}
 
     def of(self, name: str, *shape: int) -> np.ndarray:
-        size = int(np.prod(shape))
+        size = math.prod(shape)
         if name not in self.arrays or self.arrays[name].size < size:
             self.arrays[name] = np.empty(size, np.float32)
         return self.arrays[name][:size].reshape(shape)
 
 
-def forward(p: dict[str, np.ndarray], ids: np.ndarray, room: Room) -> tuple[np.ndarray, ...]:
-    """Hidden states of windows of ids (batch, WINDOW), and what the gradient needs. The arrays are room's."""
-    n, d = ids.size, p["embed"].shape[1]
-    shape = (len(ids), WINDOW, d)
-    x = np.take(p["embed"], ids, axis=0, out=room.of("x", *shape), mode="clip")
+def forward(p: dict[str, np.ndarray], ids: np.ndarray, begins: np.ndarray, room: Room) -> tuple[np.ndarray, ...]:
+    """Hidden states of the scored places of windows of ids (batch, WINDOW), and what the gradient needs. The arrays are room's.
+
+    Windows that begin a text have nothing in their first LEAD places.
+    """
+    b, d = len(ids), p["embed"].shape[1]
+    x = np.take(p["embed"], ids, axis=0, out=room.of("x", b, WINDOW, d), mode="clip")
     x += p["place"]
-    qkv = np.matmul(x.reshape(n, d), p["qkv"], out=room.of("qkv", n, 3 * d)).reshape(*shape[:2], 3 * d)
-    q, k, v = qkv[..., :d], qkv[..., d : 2 * d], qkv[..., 2 * d :]
-    q *= np.float32(d**-0.5)
-    a = np.matmul(q, k.transpose(0, 2, 1), out=room.of("a", *shape[:2], WINDOW))
+    qkv = np.matmul(x.reshape(-1, d), p["qkv"], out=room.of("qkv", b * WINDOW, 3 * d)).reshape(b, WINDOW, 3 * d)
+    k, v = qkv[..., d : 2 * d], qkv[..., 2 * d :]
+    q = np.multiply(qkv[:, LEAD:, :d], np.float32(d**-0.5), out=room.of("q", b, STRIDE, d))
+    a = np.matmul(q, k.transpose(0, 2, 1), out=room.of("a", b, STRIDE, WINDOW))
     if a.max(initial=0) > 60:
         np.minimum(a, 60, out=a)
     np.exp(a, out=a)
     a *= _CAUSAL
-    total = (a.reshape(n, WINDOW) @ np.ones(WINDOW, np.float32)).reshape(*shape[:2], 1) + np.float32(1e-30)
-    y = np.matmul(a, v, out=room.of("y", *shape))
+    a[begins, :, :LEAD] = 0
+    total = (a.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)).reshape(b, STRIDE, 1)
+    y = np.matmul(a, v, out=room.of("y", b, STRIDE, d))
     y /= total
-    h = np.matmul(y.reshape(n, d), p["out"], out=room.of("h", n, d)).reshape(shape)
-    h += x
-    t = np.matmul(h.reshape(n, d), p["up"], out=room.of("t", n, p["up"].shape[1]))
+    h = np.matmul(y.reshape(-1, d), p["out"], out=room.of("h", b * STRIDE, d)).reshape(b, STRIDE, d)
+    h += x[:, LEAD:]
+    t = np.matmul(h.reshape(-1, d), p["up"], out=room.of("t", b * STRIDE, p["up"].shape[1]))
     np.maximum(t, 0, out=t)
-    g = np.matmul(t, p["down"], out=room.of("g", n, d)).reshape(shape)
+    g = np.matmul(t, p["down"], out=room.of("g", b * STRIDE, d)).reshape(b, STRIDE, d)
     g += h
     return g, x, q, k, v, a, total, y, h, t
 
 
-def class_logs(p: dict[str, np.ndarray], hidden: np.ndarray) -> np.ndarray:
-    """Log probabilities of all classes."""
-    z = hidden @ p["classes"] + p["bias"]
-    z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def tables(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What the layer makes of each id and of each place, for scoring: beside a scored place (input, query), and for a looked at one (key, output)."""
+    d = p["embed"].shape[1]
+    key, value = p["qkv"][:, d : 2 * d], p["qkv"][:, 2 * d :] @ p["out"]
+    query = p["qkv"][:, :d] * np.float32(d**-0.5)
+    both = [np.hstack([x, x @ query]) for x in (p["embed"], p["place"][LEAD:])]
+    seen = [np.hstack([x @ key, x @ value]) for x in (p["embed"], p["place"])]
+    return both[0], both[1], seen[0], seen[1]
 
 
-def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarray, batch: int = 256) -> np.ndarray:
-    """Natural log probability of each text; ids are those of all texts, each with its end id."""
-    before = befores(ids, first)
-    places, scored = windows(first)
+def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarray, batch: int = 128) -> np.ndarray:
+    """Natural log probability of each text; ids are those of all texts, each with its end id.
+
+    The same model as forward's, with each id's part of the layer made once.
+    """
+    before, places = befores(ids, first), windows(first)
     logs = np.zeros(len(ids))
-    room, weights, n = Room(), model.parts["classes"], model.parts["classes"].shape[1]
-    ones = np.ones(n, np.float32)
+    p, room = model.parts, Room()
+    d, n = p["classes"].shape
+    at_id, at_place, seen_id, seen_place = tables(p)
+    often, longest = np.exp(p["bias"]), float(np.sqrt((p["classes"] ** 2).sum(0).max()))
+    ones, lines = np.ones(WINDOW, np.float32), np.arange(batch * STRIDE)
+    log_new, log_known = (np.log(model.unseen) if model.unseen else -np.inf), np.log1p(-model.unseen) if model.unseen < 1 else -np.inf
     for i in range(0, len(places), batch):
-        at, mine = places[i : i + batch], scored[i : i + batch]
-        hidden = forward(model.parts, before[at], room)[0][mine]
-        target = at[mine]
-        z = np.matmul(hidden, weights, out=room.of("z", len(hidden), n))
-        z += model.parts["bias"]
-        if z.max(initial=0) > 60:
-            np.minimum(z, 60, out=z)
+        at = places[i : i + batch]
+        into, b = before[at], len(at)
+        xq = np.take(at_id, into[:, LEAD:], axis=0, out=room.of("xq", b, STRIDE, 2 * d), mode="clip")
+        xq += at_place
+        kv = np.take(seen_id, into, axis=0, out=room.of("kv", b, WINDOW, 2 * d), mode="clip")
+        kv += seen_place
+        k = room.of("k", b, d, WINDOW)
+        np.copyto(k, kv[..., :d].transpose(0, 2, 1))
+        a = np.matmul(xq[..., d:], k, out=room.of("a", b, STRIDE, WINDOW))
+        if a.max(initial=0) > 60:
+            np.minimum(a, 60, out=a)
+        np.exp(a, out=a)
+        a *= _CAUSAL
+        a[at[:, 0] < 0, :, :LEAD] = 0
+        total = (a.reshape(-1, WINDOW) @ ones).reshape(b, STRIDE, 1)
+        h = np.matmul(a, kv[..., d:], out=room.of("h", b, STRIDE, d))
+        h /= total
+        h += xq[..., :d]
+        h = h.reshape(-1, d)
+        t = np.matmul(h, p["up"], out=room.of("t", len(h), p["up"].shape[1]))
+        np.maximum(t, 0, out=t)
+        g = np.matmul(t, p["down"], out=room.of("g", len(h), d))
+        g += h
+        z = np.matmul(g, p["classes"], out=room.of("z", len(h), n))
+        if longest * float(np.sqrt(np.einsum("ij,ij->i", g, g).max())) > 60:
+            np.clip(z, -60, 60, out=z)
+        target = at[:, LEAD:].ravel()
         own = model.class_of[ids[target]]
-        right = z[np.arange(len(z)), np.minimum(own, n - 1)]
-        with np.errstate(divide="ignore"):
-            logs[target] = np.where(own == UNSEEN, np.log(model.unseen), right - np.log(np.exp(z, out=z) @ ones) + np.log1p(-model.unseen))
+        known = np.minimum(own, n - 1)
+        right = z[lines[: len(z)], known] + p["bias"][known]
+        found = np.where(own == UNSEEN, log_new, right - np.log(np.exp(z, out=z) @ often) + log_known)
+        if target.min(initial=0) < 0:
+            found, target = found[target >= 0], target[target >= 0]
+        logs[target] = found
     logs += share_logs[ids]
-    sums = np.concatenate([[0], np.cumsum(logs)])
-    return sums[first[1:]] - sums[first[:-1]]
+    return np.bincount(np.repeat(np.arange(len(first) - 1), np.diff(first)), logs, len(first) - 1)
 
 
 def shares(class_of: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -174,14 +214,15 @@ def classes(counts: np.ndarray, cells: np.ndarray, often: np.ndarray, seed: int
 
 
 def sequences(ids: np.ndarray, first: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
-    """Windows as rows of 16-bit numbers: whether it is a text's first, the id before it, its ids."""
-    places, scored = windows(first)
+    """Windows as rows of 16-bit numbers: the ids before each place, and the last place's own id."""
+    places = windows(first)
     if chosen is not None:
-        places, scored = places[chosen], scored[chosen]
-    out = np.full((len(places), WINDOW + 2), _OUTSIDE, np.uint16)
-    out[:, 0] = scored[:, 0]
-    out[:, 1] = befores(ids, first)[places[:, 0]] if len(places) else 0
-    out[:, 2:] = np.where(places >= 0, ids[places] if len(ids) else 0, _OUTSIDE)
+        places = places[chosen]
+    out = np.full((len(places), WINDOW + 1), _OUTSIDE, np.uint16)
+    if len(places):
+        out[:, :-1] = np.where(places >= 0, befores(ids, first)[places], _OUTSIDE)
+        out[:, 1:] = np.where(places >= 0, ids[places], _OUTSIDE)
+        out[:, LEAD] = befores(ids, first)[places[:, LEAD]]
     return out
 
 
@@ -195,52 +236,50 @@ def start(class_of: np.ndarray, counts: np.ndarray, d: int = 16, hidden: int = 3
     return Model(p, class_of, 1 / (counts.sum() + 1), np.zeros((VOCAB, d), np.float32))
 
 
-def train(ids: np.ndarray, first: np.ndarray, d: int = 16, hidden: int = 32, batch: int = 80, steps: int = 600, rate: float = 0.03, seed: int = 3, counts: np.ndarray | None = None, class_of: np.ndarray | None = None) -> Model:
-    """Fit by Adam on seeded batches of windows. Counts and classes are those of the ids where none are given."""
-    if counts is None:
-        counts = np.bincount(ids, minlength=VOCAB)
-    if class_of is None:
-        class_of = classes(counts, *contexts(ids, first, columns(counts)), seed)
-    model, rows, rng = start(class_of, counts, d, hidden, seed), sequences(ids, first), np.random.default_rng(seed)
-    if len(rows):
-        fit(model, rows, (rng.integers(0, len(rows), batch) for _ in range(steps)), steps, rate)
-    return model
-
-
 def fit(model: Model, rows: np.ndarray, picks: Iterable[np.ndarray], steps: int, rate: float) -> np.ndarray:
     """Change the model by one step of Adam for each pick of rows; how often each id was used."""
     p, class_of = model.parts, model.class_of
     d, used = p["embed"].shape[1], np.zeros(VOCAB, np.int64)
     moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items() if k != "embed"}
-    room = Room()
+    room, ones = Room(), np.ones(p["classes"].shape[1], np.float32)
     for step, pick in enumerate(picks, 1):
         ids = rows[pick].astype(np.int64)
-        into, aim = np.minimum(ids[:, 1:-1], END), ids[:, 2:]
-        mine = (aim != _OUTSIDE) & ((ids[:, :1] == 1) | (np.arange(WINDOW) >= WINDOW - STRIDE))
-        mine &= class_of[np.minimum(aim, END)] != UNSEEN
+        into, aim = np.minimum(ids[:, :-1], END), ids[:, LEAD + 1 :].ravel()
+        target = class_of[np.minimum(aim, END)]
+        mine = ((aim != _OUTSIDE) & (target != UNSEEN)).astype(np.float32)
         if not mine.any():
             continue
-        g, x, q, k, v, a, total, y, h, t = forward(p, into, room)
+        mine /= mine.sum()
+        b = len(ids)
+        g, x, q, k, v, a, total, y, h, t = forward(p, into, ids[:, 0] == _OUTSIDE, room)
         a /= total
-        gs, target = g[mine], class_of[aim[mine]]
-        dz = np.exp(class_logs(p, gs))
-        dz[np.arange(len(target)), target] -= 1
-        dz /= len(target)
-        grad = {"classes": gs.T @ dz, "bias": dz.sum(0)}
-        dg = np.zeros_like(g)
-        dg[mine] = dz @ p["classes"].T
-        flat = dg.reshape(-1, d)
+        gs = g.reshape(-1, d)
+        dz = np.matmul(gs, p["classes"], out=room.of("z", len(gs), p["classes"].shape[1]))
+        dz += p["bias"]
+        np.clip(dz, -60, 60, out=dz)
+        np.exp(dz, out=dz)
+        dz *= (mine / (dz @ ones))[:, None]
+        dz[np.arange(len(dz)), np.minimum(target, len(ones) - 1)] -= mine
+        grad = {"classes": gs.T @ dz, "bias": np.ones(len(dz), np.float32) @ dz}
+        flat = dz @ p["classes"].T
         grad["down"] = t.T @ flat
-        dt = flat @ p["down"].T * (t > 0)
+        dt = flat @ p["down"].T
+        dt *= t > 0
         grad["up"] = h.reshape(-1, d).T @ dt
-        dh = dg + (dt @ p["up"].T).reshape(dg.shape)
-        grad["out"] = y.reshape(-1, d).T @ dh.reshape(-1, d)
-        dy = (dh.reshape(-1, d) @ p["out"].T).reshape(dh.shape)
-        da = dy @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(2, keepdims=True))  # of the scaled products
-        dqkv = np.concatenate([ds @ k * d**-0.5, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dy], 2).reshape(-1, 3 * d)
-        grad["qkv"] = x.reshape(-1, d).T @ dqkv
-        dx = dh + (dqkv @ p["qkv"].T).reshape(dh.shape)
+        dh = flat + dt @ p["up"].T
+        grad["out"] = y.reshape(-1, d).T @ dh
+        dy = (dh @ p["out"].T).reshape(y.shape)
+        da = np.matmul(dy, v.transpose(0, 2, 1), out=room.of("da", *a.shape))
+        da -= np.einsum("bij,bij->bi", da, a)[:, :, None]
+        da *= a  # of the scaled products
+        dqkv = room.of("dqkv", b, WINDOW, 3 * d)
+        dqkv[:, :LEAD, :d] = 0
+        dqkv[:, LEAD:, :d] = np.matmul(da, k) * np.float32(d**-0.5)
+        dqkv[..., d : 2 * d] = da.transpose(0, 2, 1) @ q
+        dqkv[..., 2 * d :] = a.transpose(0, 2, 1) @ dy
+        grad["qkv"] = x.reshape(-1, d).T @ dqkv.reshape(-1, 3 * d)
+        dx = (dqkv.reshape(-1, 3 * d) @ p["qkv"].T).reshape(b, WINDOW, d)
+        dx[:, LEAD:] += dh.reshape(b, STRIDE, d)
         grad["place"] = dx.sum(0)
         now = rate * min(1.0, step / 30) * (1 - 0.9 * step / steps)
         for name, gr in grad.items():
@@ -248,10 +287,12 @@ def fit(model: Model, rows: np.ndarray, picks: Iterable[np.ndarray], steps: int,
             m += 0.1 * (gr - m)
             s += 0.01 * (gr * gr - s)
             p[name] -= (now * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-        own, inverse, many = np.unique(into, return_inverse=True, return_counts=True)
-        gr = np.zeros((len(own), d), np.float32)
-        np.add.at(gr, inverse.ravel(), dx.reshape(-1, d))
+        order = np.argsort(into, None, kind="stable")
+        ordered = into.ravel()[order]
+        begin = np.flatnonzero(np.diff(ordered, prepend=-1))
+        own = ordered[begin]
+        gr = np.add.reduceat(dx.reshape(-1, d)[order], begin, axis=0)
         model.squares[own] += gr * gr  # rare ids get larger steps
         p["embed"][own] -= 10 * now * gr / (np.sqrt(model.squares[own]) + 1e-6)
-        used[own] += many
+        used[own] += np.diff(begin, append=len(ordered))
     return used

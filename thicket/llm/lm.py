@@ -3,18 +3,21 @@
 Texts are lower-cased (A-Z) and cut into words; an end follows the last word. The base
 score is the add-one unigram score with counts over all training documents. The model's
 score is the log10 probability of the subword ids of " word" for each word and of the end,
-by attention.py: ids' counts, shares and classes come from all training documents. Its
-parameters start from a fit on a few of them (fit_docs) and are then fitted on every
-EVERY-th window of all, in shards whose number grows with the input; each round's
-parameters are averaged over shards, an id's embedding by how often a shard uses it.
-
-Counting sends no row for each word. A batch packs the distinct words of each document
-into binary columns by ranges of their hash; each range counts its words, adds up the
-documents' parts, and sends these back, packed again.
-
-Defined cases: null and empty texts are the end alone; without training documents all
-counts are 0; rows with a null key take part (the fold is that of the empty text); rows
-with equal key and text get equal results, each its own row.
+by attention.py: ids' counts, shares and classes come from all training documents, and its
+parameters from every EVERY-th window of all of them, in shards whose number grows with
+the input; in each of ROUNDS rounds shards fit the same parameters, which are then
+averaged, an id's embedding by how often a shard uses it.
+
+Texts are encoded once, into chunks of about CHUNK ids that later steps read. Words are
+told apart by their ids. To count them, a chunk sends its distinct words, once each, to
+ranges of their hash; a range adds up and answers each chunk. So no word, however frequent,
+has more than one entry for each chunk, and the end mark none.
+
+Defined cases: null and empty texts are the end alone; an empty table gives no rows;
+without training documents all counts are 0; very long texts are chunks of their own; rows
+with a null key take part (the fold is that of the empty text); rows with equal key and
+text get equal results, each its own row. Only the key and the text are read, so that
+other columns' names don't matter.
 """
 
 from __future__ import annotations
@@ -31,36 +34,137 @@ from pyspark.sql import functions as F
 from . import attention as nn
 from . import text as tx
 from . import tokens
-from .shared import checkpoint, fold, hash_sample
+from .shared import checkpoint, fold
 
-#: Training documents that the attention model is first fitted on, about (those with the least hashes of their keys).
-FIT_DOCS = 800
-#: Of the windows of all training documents one in EVERY is learnt from after that, in shards of about SHARD, in so many rounds.
-EVERY, SHARD, ROUNDS = 8, 40_000, 3
+#: Of the windows of all training documents one in EVERY is learnt from, in shards of about SHARD, in so many rounds of at least STEPS batches.
+EVERY, SHARD, ROUNDS, STEPS, BATCH, RATE = 8, 40_000, 4, 150, 80, 0.03
+#: Ids of a chunk, about, and entries of distinct words that a range of hashes holds.
+CHUNK, RANGE = 1_000_000, 2_000_000
 #: Parts of tables that are added up apart, and groups in which they are added up first.
 PIECES, SALTS = 32, 64
-#: Distinct words of documents that a batch gathers before it is sent, about, and that a hash range holds.
-GATHERED, RANGE = 1_000_000, 2_000_000
-_END_HASH = np.uint64(0xE7037ED1A0B428DB)
+
+Batches = Iterator[pa.RecordBatch]
 
 
 def word_ids(data: np.ndarray, offsets: np.ndarray, ids_of: tokens.Ids) -> tuple[np.ndarray, np.ndarray]:
     """Subword ids of all texts, each with its end, and where each text's begin (one more at the end)."""
-    starts, ends, first = tx.spans(tx.WORD[data], offsets)
-    ids, at = ids_of.encode_spans(tx.LOWER[data], starts, ends, " ")
+    spaced, starts, ends, first = tx.spaced_words(data, offsets)
+    ids, at = ids_of.encode_spans(spaced, starts, ends)
     borders = at[first]
     return np.insert(ids.astype(np.int64), borders[1:], nn.END), borders + np.arange(len(borders))
 
 
-def fit_on(docs: DataFrame, key: str, text: str, folds: int, held_out: int, fit_docs: int = FIT_DOCS, path: str = tokens.BYTE_RANKS, counts: np.ndarray | None = None, class_of: np.ndarray | None = None) -> nn.Model:
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).filter((fold("k", folds) != held_out) & F.col("t").isNotNull())
-    texts = sorted(r["t"] for r in hash_sample(rows, "k", fit_docs).select("t").collect())
-    ids_of, ids, first = tokens.Ids(path), [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
-    for _, _, data, offsets in tx.slices(pa.array(texts, pa.string())):
-        own, at = word_ids(data, offsets, ids_of)
-        ids.append(own)
-        first.append(first[-1][-1] + at[1:])
-    return nn.train(np.concatenate(ids), np.concatenate(first), counts=counts, class_of=class_of)
+def word_starts(path: str) -> np.ndarray:
+    """Which ids begin with a space, as the first id of each word does and no other."""
+    begins = np.zeros(nn.VOCAB, bool)
+    found = tokens.worker_ids(path).library.spaced
+    begins[: len(found)] = found
+    return begins
+
+
+def words_of(ids: np.ndarray, first: np.ndarray, begins: np.ndarray, powers: tx.Powers) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word's ids, and the first word of each text."""
+    bounds = np.flatnonzero(begins[ids] | (ids == nn.END))  # each text's last id is the end
+    starts = np.flatnonzero(ids[bounds] != nn.END)
+    return tx.span_hash(ids, bounds[starts], bounds[starts + 1] if len(starts) else bounds[starts], powers), np.searchsorted(bounds[starts], first)
+
+
+_CHUNKS = "chunk long, keys array<long>, seeds array<long>, train array<boolean>, sizes array<int>, ids binary"
+
+
+def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
+    """docs has _key, _seed, _train, _text. Rows are chunks of whole texts; ids are 16-bit."""
+
+    def run(batches: Batches) -> Batches:
+        ids_of, part, seq = tokens.worker_ids(path), TaskContext.get().partitionId(), 0
+        held: list[list] = [[], [], [], [], []]
+        waiting = 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array([(part << 32) + seq])]
+            columns += [pa.array([np.concatenate(x) if as_numpy else sum(x, [])], kind) for x, kind, as_numpy in ((held[0], pa.list_(pa.int64()), False), (held[1], pa.list_(pa.int64()), False), (held[2], pa.list_(pa.bool_()), False), (held[3], pa.list_(pa.int32()), True))]
+            columns.append(pa.array([b"".join(held[4])], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["chunk", "keys", "seeds", "train", "sizes", "ids"])
+
+        for batch in batches:
+            given = [batch.column(k).to_pylist() for k in range(3)]
+            for i, j, data, offsets in tx.slices(batch.column(3)):
+                ids, first = word_ids(data, offsets, ids_of)
+                for to, x in zip(held, (*(g[i:j] for g in given), np.diff(first), ids.astype(np.uint16).tobytes()), strict=True):
+                    to.append(x)
+                waiting += len(ids)
+                if waiting >= chunk:
+                    yield flush()
+                    held, waiting, seq = [[], [], [], [], []], 0, seq + 1
+        if held[0]:
+            yield flush()
+
+    return docs.select("_key", "_seed", "_train", "_text").mapInArrow(tx.giving_back(run), _CHUNKS)
+
+
+def opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of a chunk, where each text's begin, and which texts are for training."""
+    ids = np.frombuffer(row["ids"], np.uint16).astype(np.int64)
+    return ids, np.concatenate([[0], np.cumsum(np.array(row["sizes"], np.int64))]), np.array(row["train"], bool)
+
+
+def chunk_rows(batches: Batches) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(len(batch)):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def _split(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+
+
+def _ask(chunks: DataFrame, ranges: int, path: str) -> DataFrame:
+    """A chunk's distinct words in a range: hashes in order, and how often training documents have each."""
+
+    def run(batches: Batches) -> Batches:
+        powers, begins = tx.Powers(), word_starts(path)
+        for row in chunk_rows(batches):
+            ids, first, train = opened(row)
+            found, texts = words_of(ids, first, begins, powers)
+            u, at = np.unique(found, return_inverse=True)
+            often = np.bincount(at, np.repeat(train, np.diff(texts)), len(u)).astype(np.uint32)
+            cut = np.searchsorted(_split(u, ranges), np.arange(ranges + 1, dtype=np.uint64))
+            some = np.flatnonzero(cut[1:] > cut[:-1])
+            packed = [u[cut[r] : cut[r + 1]].tobytes() + often[cut[r] : cut[r + 1]].tobytes() for r in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), row["chunk"])), pa.array(packed, pa.binary())], names=["range", "chunk", "packed"])
+
+    return chunks.mapInArrow(tx.giving_back(run), "range int, chunk long, packed binary")
+
+
+def _answer(part: pd.DataFrame) -> pd.DataFrame:
+    """For each chunk the counts of its words; and in a row without a chunk how many words the range has and how often."""
+    asked = [(np.frombuffer(raw, np.uint64, len(raw) // 12), np.frombuffer(raw, np.uint32, len(raw) // 12, len(raw) // 12 * 8)) for raw in part["packed"]]
+    u, at = np.unique(np.concatenate([h for h, _ in asked]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([n for _, n in asked]), len(u)).astype(np.int64)
+    ends = np.cumsum([len(h) for h, _ in asked])
+    short = total.astype(np.uint32) if total.max(initial=0) < 1 << 32 else total
+    packed = [short[at[j - len(h) : j]].tobytes() for (h, _), j in zip(asked, ends.tolist(), strict=True)]
+    return pd.DataFrame({
+        "range": part["range"].iloc[0], "chunk": pd.array([*part["chunk"], None], "Int64"), "width": short.itemsize, "packed": [*packed, None],
+        "words": pd.array([None] * len(packed) + [int((total > 0).sum())], "Int64"), "tokens": pd.array([None] * len(packed) + [int(total.sum())], "Int64"),
+    })
+
+
+def _ids_counts(chunks: DataFrame) -> np.ndarray:
+    """How often training documents have each id, the end included."""
+
+    def run(batches: Batches) -> Batches:
+        total = np.zeros(nn.VOCAB, np.int64)
+        for row in chunk_rows(batches):
+            ids, first, train = opened(row)
+            total += np.bincount(ids[np.repeat(train, np.diff(first))], minlength=nn.VOCAB)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
+
+    out = np.zeros(nn.VOCAB, np.int64)
+    for r in chunks.select("sizes", "train", "ids").mapInArrow(tx.giving_back(run), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most one row for each id of the vocabulary
+        out[r["id"]] = r["n"]
+    return out
 
 
 _LEARNT = "kind int, part int, salt int, packed binary"
@@ -71,12 +175,12 @@ def _merged(cells: list[np.ndarray], often: list[np.ndarray]) -> tuple[np.ndarra
     return found, np.bincount(at, np.concatenate(often), len(found)).astype(np.int64)
 
 
-def _lessons(docs: DataFrame, column: np.ndarray, shards: int, every: int, path: str) -> DataFrame:
-    """docs has _seed, _text. Kinds: 0 counts of ids after frequent ids, by piece, 1 windows, by shard."""
+def _lessons(chunks: DataFrame, column: np.ndarray, shards: int, every: int) -> DataFrame:
+    """Kinds: 0 counts of ids after frequent ids, by piece, 1 windows, by shard; all of training documents."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, part = tokens.worker_ids(path), TaskContext.get().partitionId()
-        cells, often, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    def run(batches: Batches) -> Batches:
+        part = TaskContext.get().partitionId()
+        cells, often = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         rows, places, waiting = [], [], 0
 
         def sent(kind: int, parts: list[int], packed: list[bytes]) -> pa.RecordBatch:
@@ -88,28 +192,24 @@ def _lessons(docs: DataFrame, column: np.ndarray, shards: int, every: int, path:
             own = np.unique(shard)
             return sent(1, own.tolist(), [all_rows[shard == s].tobytes() for s in own])
 
-        for batch in batches:
-            seeds = batch.column(0).to_numpy().view(np.uint64)
-            for i, j, data, offsets in tx.slices(batch.column(1)):
-                ids, first = word_ids(data, offsets, ids_of)
-                c, n = nn.contexts(ids, first, column)
-                cells.append(c)
-                often.append(n)
-                held += len(c)
-                if held > GATHERED:
-                    c, n = _merged(cells, often)
-                    cells, often, held = [c], [n], 0
-                sizes = np.diff(first)
-                many = np.where(sizes > 0, 1 + np.maximum(0, -(-(sizes - nn.WINDOW) // nn.STRIDE)), 0)
-                nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                h = tx.mix(np.repeat(seeds[i:j], many) + nth.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
-                chosen = np.flatnonzero(h % np.uint64(every) == 0)
-                rows.append(nn.sequences(ids, first, chosen))
-                places.append(_split(h[chosen], shards).astype(np.int64))
-                waiting += len(chosen)
-                if waiting > SHARD:
-                    yield flush()
-                    rows, places, waiting = [], [], 0
+        for row in chunk_rows(batches):
+            ids, first, train = opened(row)
+            ids, sizes = ids[np.repeat(train, np.diff(first))], np.diff(first)[train]
+            first = np.concatenate([[0], np.cumsum(sizes)])
+            c, n = nn.contexts(ids, first, column)
+            c, n = _merged([*cells, c], [*often, n])
+            cells, often = [c], [n]
+            many = nn.many_windows(sizes)
+            nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            seeds = np.array(row["seeds"], np.int64).view(np.uint64)[train]
+            h = tx.mix(np.repeat(seeds, many) + nth.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+            chosen = np.flatnonzero(h % np.uint64(every) == 0)
+            rows.append(nn.sequences(ids, first, chosen))
+            places.append(_split(h[chosen], shards).astype(np.int64))
+            waiting += len(chosen)
+            if waiting > SHARD:
+                yield flush()
+                rows, places, waiting = [], [], 0
         if waiting:
             yield flush()
         c, n = _merged(cells, often)
@@ -118,7 +218,7 @@ def _lessons(docs: DataFrame, column: np.ndarray, shards: int, every: int, path:
         if len(own):
             yield sent(0, own.tolist(), [c[piece == p].tobytes() + n[piece == p].tobytes() for p in own])
 
-    return docs.select("_seed", "_text").mapInArrow(tx.giving_back(run), _LEARNT)
+    return chunks.select("seeds", "train", "sizes", "ids").mapInArrow(tx.giving_back(run), _LEARNT)
 
 
 def _summed(df: DataFrame, add: Callable[[list[bytes]], bytes]) -> dict[int, bytes]:
@@ -147,20 +247,23 @@ def _add_changes(packed: list[bytes]) -> bytes:
     return width.to_bytes(8, "little") + sums.tobytes()
 
 
-def _round(model: nn.Model, lessons: DataFrame, nth: int, rounds: int, salts: int, batch: int = 80) -> None:
+def _round(model: nn.Model, lessons: DataFrame, nth: int, rounds: int, salts: int) -> None:
     """Fit the model on one part of each shard's windows, and take the average over shards."""
     names = [k for k in model.parts if k != "embed"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         for given in batches:
             for shard, raw in zip(given.column(0).to_pylist(), given.column(1), strict=True):
-                rows = np.frombuffer(raw.as_buffer(), np.uint16).reshape(-1, nn.WINDOW + 2)
+                rows = np.frombuffer(raw.as_buffer(), np.uint16).reshape(-1, nn.WINDOW + 1)
+                rng = np.random.default_rng([shard, nth])
                 order = np.random.default_rng(shard).permutation(len(rows))[nth::rounds]
                 if not len(order):
-                    continue
+                    order = np.arange(len(rows))
+                steps = max(STEPS, -(-len(order) // BATCH))
+                # few windows are gone through several times
+                order = np.concatenate([rng.permutation(order) for _ in range(-(-steps * BATCH // len(order)))])[: steps * BATCH]
                 own = nn.Model({k: v.copy() for k, v in model.parts.items()}, model.class_of, model.unseen, model.squares.copy())
-                steps = -(-len(order) // batch)
-                used = nn.fit(own, rows, np.array_split(order, steps), steps, 0.01 * (1 - nth / rounds))
+                used = nn.fit(own, rows, np.array_split(order, steps), steps, RATE * (1 - nth / rounds))
                 ids = np.flatnonzero(used)
                 n = used[ids, None].astype(np.float64)
                 change = np.hstack([ids[:, None], n, n * (own.parts["embed"][ids] - model.parts["embed"][ids]), n * (own.squares[ids] - model.squares[ids])])
@@ -185,19 +288,18 @@ def _round(model: nn.Model, lessons: DataFrame, nth: int, rounds: int, salts: in
             at += size
 
 
-def learn(docs: DataFrame, key: str, text: str, folds: int, held_out: int, fit_docs: int, path: str, n_ids: np.ndarray, every: int = EVERY, shard: int = SHARD, rounds: int = ROUNDS) -> nn.Model:
+def learn(chunks: DataFrame, n_ids: np.ndarray, every: int = EVERY, shard: int = SHARD, rounds: int = ROUNDS) -> nn.Model:
     """The attention model of all training documents, whose ids' counts are n_ids."""
-    full = F.coalesce(F.col(text), F.lit(""))
-    seed = F.xxhash64(F.xxhash64(full, F.length(full)), F.coalesce(F.col(key).cast("long"), F.monotonically_increasing_id()))
-    rows = docs.filter(fold(key, folds) != held_out).select(seed.alias("_seed"), full.alias("_text"))
-    shards = max(1, round(int(n_ids.sum()) / nn.STRIDE / every / shard))
-    found = checkpoint(_lessons(rows, nn.columns(n_ids), shards, every, path))
+    windows = int(n_ids.sum()) / nn.STRIDE
+    every = min(every, max(1, int(windows / shard)))  # tables that give less than a shard are learnt from whole
+    shards = max(1, round(windows / every / shard))
+    found = checkpoint(_lessons(chunks, nn.columns(n_ids), shards, every))
     cells = [np.frombuffer(raw, np.int64).reshape(2, -1) for raw in _summed(found.filter("kind = 0").drop("kind"), _add_cells).values()]
     class_of = nn.classes(n_ids, *(np.concatenate([np.zeros(0, np.int64), *(c[i] for c in cells)]) for i in (0, 1)))
-    model = fit_on(docs, key, text, folds, held_out, fit_docs, path, n_ids, class_of)
+    model = nn.start(class_of, n_ids)
 
     def gather(part: pd.DataFrame) -> pd.DataFrame:
-        windows = np.concatenate([np.frombuffer(raw, np.uint16).reshape(-1, nn.WINDOW + 2) for raw in part["packed"]])
+        windows = np.concatenate([np.frombuffer(raw, np.uint16).reshape(-1, nn.WINDOW + 1) for raw in part["packed"]])
         # an order that does not depend on how rows came
         windows = windows[np.lexsort(windows.T)]
         return pd.DataFrame({"shard": part["part"].iloc[:1], "packed": [windows.tobytes()]})
@@ -209,156 +311,40 @@ def learn(docs: DataFrame, key: str, text: str, folds: int, held_out: int, fit_d
     return model
 
 
-def _split(hashes: np.ndarray, ranges: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-
-
-_SENT = "range int, kind int, chunk long, keys array<long>, texts array<long>, packed binary"
-
-
-def _gather(docs: DataFrame, ranges: int, path: str) -> DataFrame:
-    """docs has _key, _hash (of the text), _train, _text. Kinds: 0 distinct words of documents, 1 documents, 2 counts of subword ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = tokens.worker_ids(path)
-        powers = ids_of.powers
-        part, seq = TaskContext.get().partitionId(), 0
-        hashes, docs_at, counts, keys, texts, sizes, train, words, held = [], [], [], [], [], [], [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            chunk = (part << 24) + seq
-            n, fit = np.array(sizes, np.int64), np.array(train, bool)
-            hashes.append(np.full(len(n), _END_HASH))  # the end of each document
-            docs_at.append(np.arange(len(n)))
-            counts.append(np.ones(len(n), np.int64))
-            h, at, c = np.concatenate(hashes), np.concatenate(docs_at), np.concatenate(counts)
-            order = np.argsort(h, kind="stable")
-            h, at, c = h[order], at[order].astype(np.uint32), c[order].astype(np.uint32)
-            cut = np.searchsorted(_split(h, ranges), np.arange(ranges + 1, dtype=np.uint64))
-            bits = np.packbits(fit).tobytes()
-            rows = [(r, 0, chunk, None, None, len(n).to_bytes(4, "little") + (j - i).tobytes() + bits + h[i:j].tobytes() + at[i:j].tobytes() + c[i:j].tobytes()) for r, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if j > i]
-            rows.append((chunk % ranges, 1, chunk, keys, texts, n.tobytes()))
-            # ids of each distinct word, as often as training documents have it
-            totals = np.zeros(nn.VOCAB, np.int64)
-            new = np.ones(len(h), bool)
-            new[1:] = h[1:] != h[:-1]
-            often = np.add.reduceat(np.where(fit[at], c, 0).astype(np.int64), np.flatnonzero(new)) if len(h) else np.zeros(0, np.int64)
-            distinct = h[new]
-            totals[nn.END] = often[np.searchsorted(distinct, _END_HASH)]
-            for data, starts, ends, own in words:
-                place = np.searchsorted(distinct, own)
-                some = often[place] > 0
-                ids, first = ids_of.encode_spans(data, starts[some], ends[some], " ")
-                np.add.at(totals, ids, np.repeat(often[place[some]], np.diff(first)))
-                often[place] = 0  # counted
-            seen = np.flatnonzero(totals)
-            rows.append((chunk % ranges, 2, chunk, None, None, np.concatenate([seen, totals[seen]]).tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()), strict=True)], names=["range", "kind", "chunk", "keys", "texts", "packed"])
-
-        for batch in batches:
-            all_keys, all_texts, all_train = (batch.column(k).to_pylist() for k in range(3))
-            for i, j, data, offsets in tx.slices(batch.column(3)):
-                found, first, starts, ends = tx.word_hashes(data, offsets, powers)
-                for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                    u, c = np.unique(found[a:b], return_counts=True)
-                    hashes.append(u)
-                    docs_at.append(np.full(len(u), len(sizes)))
-                    counts.append(c)
-                    sizes.append(b - a + 1)
-                    held += len(u)
-                own, index = np.unique(found, return_index=True)
-                words.append((tx.LOWER[data], starts[index], ends[index], own))
-                keys += all_keys[i:j]
-                texts += all_texts[i:j]
-                train += all_train[i:j]
-                if held > GATHERED:
-                    yield flush()
-                    hashes, docs_at, counts, keys, texts, sizes, train, words, held, seq = [], [], [], [], [], [], [], [], 0, seq + 1
-        if sizes:
-            yield flush()
-
-    return docs.select("_key", "_hash", "_train", "_text").mapInArrow(tx.giving_back(run), _SENT)
-
-
-def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, documents and counts of a packed range, and which documents are for training."""
-    docs, n = int.from_bytes(raw[:4], "little"), int.from_bytes(raw[4:12], "little")
-    at = 12 + (docs + 7) // 8
-    fit = np.unpackbits(np.frombuffer(raw, np.uint8, at - 12, 12))[:docs].astype(bool)
-    return np.frombuffer(raw, np.uint64, n, at), np.frombuffer(raw, np.uint32, n, at + 8 * n), np.frombuffer(raw, np.uint32, n, at + 12 * n), fit
-
-
-_COUNTED = "kind int, chunk long, keys array<long>, texts array<long>, id long, n long, packed binary"
-
-
-def _count(part: pd.DataFrame) -> pd.DataFrame:
-    """Kinds of rows out: 0 parts of documents' scores, 1 documents, 2 counts of subword ids, 3 words and training tokens of the range."""
-    sent = part[part["kind"] == 0]
-    got = [_unpack(raw) for raw in sent["packed"]]
-    out = []
-    if got:
-        distinct, word = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
-        c = np.bincount(word, np.concatenate([np.where(g[3][g[1]], g[2], 0) for g in got]), len(distinct)).astype(np.int64)
-        out.append((3, None, None, None, int((c > 0).sum()), int(c.sum()), None))
-        logs, first = np.log10(c + 1.0), 0
-        for chunk, (_, doc, n, fit) in zip(sent["chunk"], got, strict=True):
-            w = word[first : first + len(doc)]
-            first += len(doc)
-            base, known = np.bincount(doc, n * logs[w], len(fit)), np.bincount(doc, n * (c[w] > 0), len(fit)).astype(np.uint32)
-            some = np.flatnonzero(known)
-            short = np.uint16 if len(fit) < 1 << 16 and known.max(initial=0) < 1 << 16 else np.uint32
-            out.append((0, chunk, None, None, None, len(some), base[some].tobytes() + some.astype(short).tobytes() + known[some].astype(short).tobytes()))
-    docs = part[part["kind"] == 1]
-    out += [(1, r.chunk, r.keys, r.texts, None, None, r.packed) for r in docs.itertuples()]
-    totals = np.zeros(nn.VOCAB, np.int64)
-    for raw in part.loc[part["kind"] == 2, "packed"]:
-        ids, n = np.frombuffer(raw, np.int64).reshape(2, -1)
-        totals[ids] += n
-    out += [(2, None, None, None, int(i), int(totals[i]), None) for i in np.flatnonzero(totals)]
-    return pd.DataFrame(out, columns=["kind", "chunk", "keys", "texts", "id", "n", "packed"], dtype=object)
-
-
-def _add_up(part: pd.DataFrame) -> pd.DataFrame:
-    """One row for each document of a chunk."""
-    docs = part[part["kind"] == 1].iloc[0]
-    n = np.frombuffer(docs["packed"], np.int64)
-    base, known = np.zeros(len(n)), np.zeros(len(n), np.int64)
-    for m, raw in part.loc[part["kind"] == 0, ["n", "packed"]].sort_values("packed").itertuples(index=False):
-        m = int(m)
-        short = np.uint16 if len(raw) == 12 * m else np.uint32
-        at, more = np.frombuffer(raw, short, 2 * m, 8 * m).reshape(2, m)
-        base[at] += np.frombuffer(raw, np.float64, m)
-        known[at] += more
-    return pd.DataFrame({"_key": pd.array(list(docs["keys"]), "Int64"), "_hash": np.array(list(docs["texts"]), np.int64), "n_tokens": n, "n_known": known, "base": base})
-
-
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, held_out: int = 2, fit_docs: int = FIT_DOCS, path: str = tokens.BYTE_RANKS) -> DataFrame:
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, held_out: int = 2, path: str = tokens.BYTE_RANKS, chunk: int = CHUNK) -> DataFrame:
     """One row for each document: key, held_out, n_tokens, n_known, train_tokens, base_score, score. Keys are integers."""
     full = F.coalesce(F.col(text), F.lit(""))
-    each = docs.select(F.col(key).cast("long").alias("_key"), F.xxhash64(full, F.length(full)).alias("_hash"), (fold(key, folds) != held_out).alias("_train"), full.alias("_text"))
-    size = docs.agg(F.sum(F.length(text))).first()[0] or 0
-    ranges = max(1, round(size / 10 / RANGE))  # documents have a distinct word for ten characters, about
-    counted = checkpoint(_gather(each, ranges, path).groupBy("range").applyInPandas(_count, _COUNTED))
-    totals = counted.filter("kind = 3").agg(F.sum("id"), F.sum("n")).first()
-    distinct, train_tokens = int(totals[0] or 0), int(totals[1] or 0)
-    n_ids = np.zeros(nn.VOCAB, np.int64)
-    for r in counted.filter("kind = 2").groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most one row for each id of the vocabulary
-        n_ids[r["id"]] = r["n"]
-    model = learn(docs, key, text, folds, held_out, fit_docs, path, n_ids)
+    k = F.col(key).cast("long")
+    seed = F.xxhash64(F.xxhash64(full, F.length(full)), F.coalesce(k, F.lit(-1)))
+    chunks = checkpoint(encode(docs.select(k.alias("_key"), seed.alias("_seed"), (fold(key, folds) != held_out).alias("_train"), full.alias("_text")), path, chunk))
+    n_ids = _ids_counts(chunks)
+    size = chunks.agg(F.sum(F.length("ids"))).first()[0] or 0
+    asked = _ask(chunks.select("chunk", "train", "sizes", "ids"), max(1, round(size / 20 / RANGE)), path)  # a chunk has a distinct word for ten ids, about
+    answers = checkpoint(asked.groupBy("range").applyInPandas(_answer, "range int, chunk long, width int, packed binary, words long, tokens long"))
+    totals = answers.filter("chunk IS NULL").agg(F.sum("words"), F.sum("tokens")).first()
+    ends = int(n_ids[nn.END])  # one for each training document
+    distinct, train_tokens = int(totals[0] or 0) + (ends > 0), int(totals[1] or 0) + ends
+    model = learn(chunks, n_ids)
     share_logs = nn.shares(model.class_of, n_ids)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = tokens.worker_ids(path)
-        for batch in batches:
-            out = np.empty(len(batch))
-            for i, j, data, offsets in tx.slices(batch.column(3)):
-                out[i:j] = nn.score(model, *word_ids(data, offsets, ids_of), share_logs) / np.log(10)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out)], names=["_key", "_hash", "_train", "score"])
-
-    scored = each.select("_key", "_hash", "_train", "_text").mapInArrow(tx.giving_back(run), "_key long, _hash long, _train boolean, score double")
-    based = counted.filter("kind IN (0, 1)").groupBy("chunk").applyInPandas(_add_up, "_key long, _hash long, n_tokens long, n_known long, base double")
-    based = based.dropDuplicates(["_key", "_hash"]).withColumnRenamed("_key", "_k").withColumnRenamed("_hash", "_h")
-    both = scored.join(based, (F.col("_hash") == F.col("_h")) & F.col("_key").eqNullSafe(F.col("_k")))
+    schema = "_key long, _train boolean, n_tokens long, n_known long, base double, score double"
+
+    def run(batches: Batches) -> Batches:
+        powers, begins = tx.Powers(), word_starts(path)
+        for row in chunk_rows(batches):
+            ids, first, _ = opened(row)
+            found, texts = words_of(ids, first, begins, powers)
+            at = np.unique(found, return_inverse=True)[1]
+            total = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(a["packed"], f"u{a['width']}").astype(np.int64) for a in row["answers"] or [])])[at]
+            n = np.diff(texts)
+            text_of = np.repeat(np.arange(len(n)), n)
+            base = np.bincount(text_of, np.log10(total + 1.0), len(n)) + np.log10(ends + 1.0)
+            known = np.bincount(text_of, total > 0, len(n)).astype(np.int64) + (ends > 0)
+            logs = nn.score(model, ids, first, share_logs) / np.log(10)
+            yield pa.RecordBatch.from_arrays([pa.array(row["keys"], pa.int64()), pa.array(row["train"], pa.bool_()), pa.array(n + 1), pa.array(known), pa.array(base), pa.array(logs)], names=["_key", "_train", "n_tokens", "n_known", "base", "score"])
+
+    # a chunk's answers are as many as its distinct words, in order of their hashes
+    own = answers.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("range", "width", "packed"))).alias("answers"))
+    both = chunks.join(own.hint("shuffle_hash"), "chunk", "left").select("keys", "train", "sizes", "ids", "answers").mapInArrow(tx.giving_back(run), schema)
     return both.select(
         F.col("_key").alias(key), (~F.col("_train")).alias("held_out"), "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"),
         (F.col("base") - F.col("n_tokens") * F.lit(float(np.log10(train_tokens + distinct + 1)))).alias("base_score"), "score",

@@ -89,6 +89,17 @@ def spans(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def spaced_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased (A-Z) words with one space before each: bytes, starts (of the spaces), ends, and the first word of each text."""
+    starts, ends, first = spans(WORD[data], offsets)
+    to = np.concatenate([[0], np.cumsum(ends - starts + 1)])
+    places = np.ones(to[-1], bool)
+    places[to[:-1]] = False
+    out = np.full(to[-1], 32, np.uint8)
+    out[places] = LOWER[data[WORD[data]]]
+    return out, to[:-1], to[1:], first
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes."""
     h = h ^ (h >> U64(33))

@@ -12,7 +12,7 @@ import base64
 import os
 import sys
 from collections.abc import Callable
-from itertools import chain, repeat
+from dataclasses import dataclass
 from types import ModuleType
 
 import numpy as np
@@ -26,9 +26,9 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: The same vocabulary as ranks, for a library that is faster on single words.
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Distinct cuts that are remembered, at most; then remembering starts anew.
-REMEMBERED = 250_000
-#: Cuts that are encoded at once; the library's results are large.
-AT_ONCE = 1000
+REMEMBERED = 500_000
+#: Bytes of cuts that are encoded at once, about; the library's results are large.
+AT_ONCE = 1 << 16
 
 #: Bytes that are or may begin white space of any kind.
 _BLANK = tx.byte_set(b"\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\xc2\xe1\xe2\xe3")
@@ -57,65 +57,117 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
-def _by_tokenizer(path: str) -> Callable[[list[str]], list[list[int]]]:
+@dataclass(frozen=True)
+class Library:
+    """Encodes strings; sizes has the number of bytes of each id, and spaced which ids begin with a space."""
+
+    encode: Callable[[str], list[int]]
+    sizes: np.ndarray
+    spaced: np.ndarray
+
+
+def by_tokenizer(path: str) -> Library:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return lambda strings: [e.ids for i in range(0, len(strings), AT_ONCE) for e in tokenizer.encode_batch_fast(strings[i : i + AT_ONCE], add_special_tokens=False)]
+    sizes, spaced = np.zeros(tokenizer.get_vocab_size(), np.int64), np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, i in tokenizer.get_vocab(with_added_tokens=False).items():  # a byte-level token has a character for each byte
+        sizes[i], spaced[i] = len(token), token[0] == "\u0120"
+    return Library(lambda s: tokenizer.encode_batch_fast([s], add_special_tokens=False)[0].ids, sizes, spaced)
 
 
-def _by_ranks(path: str) -> Callable[[list[str]], list[list[int]]]:
+def by_ranks(path: str) -> Library:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda strings: [encode(s) for s in strings]
+    sizes, spaced = np.zeros(max(ranks.values()) + 1, np.int64), np.zeros(max(ranks.values()) + 1, bool)
+    for token, i in ranks.items():
+        sizes[i], spaced[i] = len(token), token[:1] == b" "
+    return Library(tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, sizes, spaced)
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The values of all spans, one after another."""
+    ends = np.cumsum(sizes)
+    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)]
 
 
 class Ids:
-    """Encodes slices of texts; holds the tokenizer and what it has encoded."""
+    """Encodes slices of texts; holds the tokenizer and what it has encoded, by hash."""
 
     def __init__(self, path: str = BYTE_BPE) -> None:
-        self.encode_strings = _by_ranks(path) if path.endswith(".tiktoken") else _by_tokenizer(path)
+        self.library = by_ranks(path) if path.endswith(".tiktoken") else by_tokenizer(path)
         self.powers = tx.Powers()
         self.forget()
 
     def forget(self) -> None:
-        self.rows: dict[int, int] = {}
-        self.starts, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(4096, np.int32), 0
-
-    def _learn(self, hashes: list[int], strings: list[str]) -> None:
-        if len(self.rows) + len(hashes) > REMEMBERED:
-            self.forget()
-        found = self.encode_strings(strings)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        row, total = len(self.rows), int(sizes.sum())
-        while len(self.starts) < row + len(found) + 1:
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        while len(self.flat) < self.used + total:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.starts[row + 1 : row + 1 + len(found)] = self.used + np.cumsum(sizes)
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.int32, total)
-        self.used += total
-        self.rows.update(zip(hashes, range(row, row + len(found)), strict=True))
-
-    def encode_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: str = "") -> tuple[np.ndarray, np.ndarray]:
+        # sorted hashes of spans, and where each one's ids begin in flat and how many they are
+        self.hashes, self.begin, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, where those of each span begin, and how many each has.
+
+        Spans that begin with a visible character, or with one space before it, don't change their ids
+        when they follow another span at once, or after a line break that is encoded alone; they go to
+        the library as one string, whose ids are dealt out by their bytes. The others go one by one.
+        """
+        sizes, n = ends - starts, len(data)
+        visible = ~_BLANK[data[starts]]
+        spaced = (data[starts] == 32) & (sizes > 1) & ~_BLANK[data[np.minimum(starts + 1, n - 1)]]
+        begin, counts, ids, held = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64), [], 0
+        alone = ~visible & ~spaced
+        for mine, breaks in ((spaced, 0), (visible, 1)):
+            at = np.flatnonzero(mine)
+            cut = np.searchsorted(np.cumsum(sizes[at]), np.arange(0, int(sizes[at].sum()) + AT_ONCE, AT_ONCE))
+            for own in (at[i:j] for i, j in zip(cut[:-1], cut[1:], strict=True) if j > i):
+                width = sizes[own] + breaks
+                place = np.cumsum(width) - sizes[own]  # of each span's own bytes
+                joined = gathered(data, starts[own] - breaks, width)
+                if breaks:
+                    joined[place - 1] = 10
+                found = np.array(self.library.encode(joined.tobytes().decode("utf-8", "replace")), np.int32)
+                edges = np.concatenate([[0], np.cumsum(self.library.sizes[found])])
+                first, last = np.searchsorted(edges, place), np.searchsorted(edges, place + sizes[own])
+                if edges[-1] != len(joined) or (edges[first] != place).any() or (edges[last] != place + sizes[own]).any():
+                    alone[own] = True  # bytes that are no UTF-8
+                    continue
+                begin[own], counts[own] = held + first, last - first
+                ids.append(found)
+                held += len(found)
+        for k in np.flatnonzero(alone).tolist():
+            ids.append(np.array(self.library.encode(data[starts[k] : ends[k]].tobytes().decode("utf-8", "replace")), np.int32))
+            begin[k], counts[k] = held, len(ids[-1])
+            held += len(ids[-1])
+        return np.concatenate([*ids, np.zeros(0, np.int32)]), begin, counts
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        ids, begin, counts = self._encoded(data, starts, ends)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.begin, self.sizes = np.insert(self.begin, at, begin + len(self.flat)), np.insert(self.sizes, at, counts)
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of hashes among those that are remembered, and which are there."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return at, self.hashes[at] == hashes
+
+    def encode_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all spans, one after another, and where each span's ids begin (one more at the end)."""
         hashes, index, inverse = np.unique(tx.span_hash(data, starts, ends, self.powers), return_index=True, return_inverse=True)
-        keys = hashes.tolist()
-        for _ in range(2):  # what is needed together is remembered together
-            rows = np.array(list(map(self.rows.get, keys, repeat(-1))), np.int64)
-            if not len(new := np.flatnonzero(rows < 0)):
-                break
-            if len(self.rows) + len(new) > REMEMBERED and self.rows:
+        at, known = self._find(hashes)
+        if not known.all():
+            if len(self.hashes) + len(hashes) - known.sum() > REMEMBERED:  # what is needed together is remembered together
                 self.forget()
-                new = np.arange(len(keys))
-            raw = data.tobytes()
-            self._learn(hashes[new].tolist(), [before + raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in index[new]])
-        row = rows[inverse]
-        begin = self.starts[row]
-        sizes = self.starts[row + 1] - begin
-        out = np.concatenate([[0], np.cumsum(sizes)])
-        return self.flat[np.arange(out[-1]) + np.repeat(begin - out[:-1], sizes)], out
+                known[:] = False
+            new = index[~known]
+            self._learn(hashes[~known], data, starts[new], ends[new])
+            at, _ = self._find(hashes)
+        at = at[inverse]
+        sizes = self.sizes[at]
+        return gathered(self.flat, self.begin[at], sizes), np.concatenate([[0], np.cumsum(sizes)])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and where each text's ids begin (one more at the end)."""
@@ -125,7 +177,10 @@ class Ids:
 
 
 def worker_ids(path: str = BYTE_BPE) -> Ids:
-    """The Ids of this Python worker. Spark uses workers again, so that tasks that follow know what has been encoded."""
+    """The Ids of this Python worker. Spark uses workers again, so that tasks that follow know what has been encoded.
+
+    This package goes to workers by value, so that its own globals are new in each task; a module of the worker's stays.
+    """
     kept = sys.modules.setdefault("_thicket_worker", ModuleType("_thicket_worker")).__dict__
     if path not in kept:
         kept[path] = Ids(path)
