@@ -6,12 +6,14 @@ falls back to the longest known character n-gram that ends at each of its charac
 the whole text; the score of the prediction is its share after a softmax.
 
 The model is fitted on a bounded sample of labelled rows, about docs_per_lang for each
-language (rows with the least hash of their key); words and n-grams seen once are left
-out. Counting runs on the executors; the driver gets one row for each word or n-gram.
+language (rows with the least hash of their key). Counting runs on the executors; the
+driver gets one row for each word or n-gram of the sample.
 
 Defined cases: null texts and texts without a letter give "und" with score 0; rows with
 a null language are not learned from; without training rows all is "und"; ties go to the
-language that sorts first; rows with a null key take part like others.
+language that sorts first; rows with a null key take part like others; repeated rows get
+equal results; very long texts are read whole; an empty table gives no rows. Columns of
+docs stay, but for those named like an output, which the output replaces.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .shared import fold
+from .shared import fold, others
 
 #: Labelled rows of each language that the model is fitted on, about.
 DOCS_PER_LANG = 2000
@@ -56,7 +58,10 @@ def runs(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.n
     """Letters as code points with a 0 before each text and at the end; starts and ends of words; first word of each text."""
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     places = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-    low = np.where(points < 65536, table[np.minimum(points, 65535)], points)
+    low = table[np.minimum(points, 65535)]
+    if (high := points > 65535).any():
+        found, at = np.unique(points[high], return_inverse=True)
+        low[high] = np.array([ord(chr(c).lower()) if chr(c).isalpha() else 0 for c in found.tolist()], np.uint32)[at]
     low = np.insert(low, places, 0)
     starts, ends, _ = tx.spans(low != 0, np.array([0, len(low)]))
     return low, starts, ends, np.searchsorted(starts, places + np.arange(len(places)))
@@ -98,7 +103,7 @@ def fit_on(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
                         u, c = np.unique(hashes, return_counts=True)
                         yield pa.RecordBatch.from_arrays([pa.array([name] * len(u), pa.string()), pa.array(np.full(len(u), kind, np.int32)), pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], names=["lang", "kind", "hash", "n"])
 
-    counts = sample.mapInArrow(count, "lang string, kind int, hash long, n long").groupBy("kind", "hash", "lang").agg(F.sum("n").alias("n")).filter("n > 1").toPandas()
+    counts = sample.mapInArrow(count, "lang string, kind int, hash long, n long").groupBy("kind", "hash", "lang").agg(F.sum("n").alias("n")).toPandas()
     tables = []
     for kinds in ([0], list(range(1, ORDER + 1))):
         of = counts[counts["kind"].isin(kinds)]
@@ -146,10 +151,10 @@ def word_scores(model: LangModel, low: np.ndarray, starts: np.ndarray, ends: np.
 
 
 def predict(docs: DataFrame, model: LangModel, text: str = "text", out: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Add the predicted language and its score; all other columns stay as they are."""
-    names = docs.columns
-    schema = docs.select("*", F.lit("").alias(out), F.lit(0.0).alias(score)).schema
-    at = names.index(text)
+    """Add the predicted language and its score."""
+    names = others(docs, out, score)
+    docs, at = docs.select(*names), names.index(text)
+    schema = docs.select(*names, F.lit("").alias(out), F.lit(0.0).alias(score)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, table = tx.Powers(), letters()

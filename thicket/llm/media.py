@@ -8,7 +8,8 @@ of neighbours of a 9 x 8 thumbnail.
 
 Defined cases: null and empty payloads are one padded unit; equal payloads give equal
 bytes; bytes that are no such image give a null array, tile and hash; repeated rows are
-encoded alike.
+encoded alike; very long payloads are one tall image; an empty table gives no rows. Other
+columns stay, but for those named like an output, which the output replaces.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .shared import others
 
 #: Payloads are padded with 255 to a multiple of this: 24 rows of 24 bytes.
 UNIT = 576
@@ -104,7 +106,7 @@ def tile(image: np.ndarray, side: int) -> bytes:
 
 def encode_images(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
     """Replace the column payload (text or binary) by the stored images."""
-    names = [c for c in df.columns if c != payload]
+    names = others(df, payload, out)
     df = df.select(*names, F.col(payload).cast("binary").alias("_payload"))
     schema = df.select(*names, F.col("_payload").alias(out)).schema
 
@@ -119,9 +121,10 @@ def encode_images(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
 def describe_images(df: DataFrame, media: str = "media", side: int = 16, tiles: bool = True) -> DataFrame:
     """Read the stored bytes back and add note (the length the file notes), payload_bytes, payload_sha256,
     tail_crc32, media_bytes, media_sha256, dhash, and tile (NPY bytes) if asked for."""
-    names = df.columns
-    at = names.index(media)
     added = "note long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, dhash string, tile binary"
+    of = [c.split()[0] for c in added.split(", ")]
+    df = df.select(*others(df, media, *of), F.col(media).alias(media))
+    names, at = df.columns, len(df.columns) - 1
     schema = df.select("*", *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in added.split(", ")]).schema
 
     def one(data: bytes | None) -> tuple:

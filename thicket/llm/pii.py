@@ -10,7 +10,9 @@ are walked on until they are inside again, which keeps the permutation one to on
 
 Defined cases: null texts stay null and empty ones empty; numbers that fail validation
 (Luhn, mod 97, octets, calendar) are left alone, as are 0.0.0.0 and 127.x; repeated rows
-are changed alike; texts are searched whole, however long.
+are changed alike; texts are searched whole, however long; an empty table gives no rows.
+Other columns stay, but for one named like the spans, which these replace. A day-first date
+with slashes whose new day is 12 or less is written month first, as such dates are read.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
+from .shared import others
 
 ROUNDS = 10
 _FIRST_DAY, _DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
@@ -195,6 +198,7 @@ def replace_all(text: str, names: Pseudonyms) -> tuple[str, list[tuple[str, int,
 
 def pseudonymise(df: DataFrame, key: str, text: str = "text", spans: str = "pii", reverse: bool = False) -> DataFrame:
     """Replace personal data in a text column; spans gets an array of (kind, start, length) in the new text."""
+    df = df.select(*others(df, spans))
     names, at = df.columns, df.columns.index(text)
     schema = df.select("*", F.lit(None).cast("array<struct<kind:string,start:int,length:int>>").alias(spans)).schema
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("length", pa.int32())]))

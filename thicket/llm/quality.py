@@ -3,13 +3,15 @@
 A text becomes a sparse vector over 2**bits buckets: words, word pairs, the shapes
 of words ("Ab9%" for "Haus42%%") and pairs of shapes, a pair of equal words having a
 shape of its own. Each family is divided by its number of n-grams. The model is
-fitted with FTRL-proximal updates, one example at a time, on a bounded sample of
-labelled rows; scoring is a sparse dot product for each text, inside Arrow batches,
+fitted with FTRL-proximal updates, one example at a time, on the features of a bounded
+sample of labelled rows, which executors make; scoring is a sparse dot product for each text, inside Arrow batches,
 and reads every whole text.
 
 Defined cases: a null or empty text is scored by the bias alone; null labels are not
 learned from; without any label every score is 0.5; repeated rows get equal scores;
-rows with a null key are scored and count as held out only if the fold of "" is.
+rows with a null key are scored and count as held out only if the fold of "" is; very long
+texts are scored whole; an empty table gives no rows. Columns of docs stay, but for one
+named like the score, which the score replaces.
 """
 
 from __future__ import annotations
@@ -23,10 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as tx
-from .shared import fold, hash_sample
+from .shared import fold, hash_sample, others
 
 #: Labelled rows that the model is fitted on, about (those with the least hashes of their keys).
 FIT_ROWS = 8000
+BITS = 18
+#: Fitting ends when the mean log loss of a pass is below ENOUGH, or PATIENCE passes have not lowered it by a share of LEAST_GAIN.
+ENOUGH, PATIENCE, LEAST_GAIN = 0.02, 3, 0.01
 
 
 @dataclass(frozen=True)
@@ -68,46 +73,70 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int, powers: tx.Powers
     return out, first
 
 
-def fit(texts: list[str | None], labels: list[int], bits: int = 18, epochs: int = 4, alpha: float = 0.3, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-3, seed: int = 7) -> QualityModel:
-    """FTRL-proximal over the examples in a seeded order, epochs times; features are made anew for a slice of texts at a time."""
-    powers, z, n = tx.Powers(), np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+def example(buckets: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A text's buckets and their shares of its words; the last one is the bias."""
+    at, counts = np.unique(buckets, return_counts=True)
+    return np.append(at, 1 << bits).astype(np.uint32), np.append(counts / max(1, buckets.shape[1]), 1.0).astype(np.float32)
+
+
+def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: list[int], bits: int = BITS, alpha: float = 0.3, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-3, seed: int = 7) -> QualityModel:
+    """FTRL-proximal over the examples in seeded orders, until the mean loss of a pass is small or falls no more."""
+    z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(texts))
-    column, known = pa.array([texts[i] for i in order], pa.string()), np.array(labels, np.float64)[order]
 
     def weights(at: np.ndarray | slice) -> np.ndarray:
         zs = z[at]
         return np.where(np.abs(zs) <= l1, 0.0, (np.sign(zs) * l1 - zs) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
-    for _ in range(epochs):
-        for i, _, data, offsets in tx.slices(column):
-            buckets, first = features(data, offsets, bits, powers)
-            for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
-                at, counts = np.unique(buckets[:, a:b], return_counts=True)
-                at, x = np.append(at, 1 << bits), np.append(counts / max(1, b - a), 1.0)
-                w = weights(at)
-                g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - known[i + k]) * x
-                grown = n[at] + g * g
-                z[at] += g - (np.sqrt(grown) - np.sqrt(n[at])) / alpha * w
-                n[at] = grown
+    lowest, since = np.inf, 0
+    while len(examples) and since < PATIENCE and lowest > ENOUGH:
+        loss = 0.0
+        for k in rng.permutation(len(examples)):
+            at, x = examples[k]
+            w = weights(at)
+            p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
+            loss -= np.log(max(1e-15, p if labels[k] else 1 - p))
+            g = (p - labels[k]) * x
+            grown = n[at] + g * g
+            z[at] += g - (np.sqrt(grown) - np.sqrt(n[at])) / alpha * w
+            n[at] = grown
+        loss /= len(examples)
+        since = 0 if loss < lowest * (1 - LEAST_GAIN) else since + 1
+        lowest = min(lowest, loss)
     final = weights(slice(None))
     return QualityModel(bits, final[:-1].astype(np.float32), float(final[-1]))
 
 
+def examples_of(texts: DataFrame, bits: int = BITS) -> DataFrame:
+    """texts has _y, _t. Rows: label, packed (buckets, then shares), hash; a text of any length has at most 2**bits + 1 of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = tx.Powers()
+        for batch in batches:
+            for i, j, data, offsets in tx.slices(batch.column(1)):
+                buckets, first = features(data, offsets, bits, powers)
+                packed = [b"".join(x.tobytes() for x in example(buckets[:, a:b], bits)) for a, b in zip(first[:-1], first[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(packed, pa.binary())], names=["label", "packed"])
+
+    return texts.select("_y", "_t").mapInArrow(tx.giving_back(run), "label int, packed binary")
+
+
 def fit_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5, held_out: int = 0, fit_rows: int = FIT_ROWS) -> QualityModel:
-    """Fit on about fit_rows labelled rows, those with the least hashes of their keys, whose crc32(key) mod folds is not held_out."""
+    """Fit on about fit_rows labelled rows, chosen by a hash of their keys, whose crc32(key) mod folds is not held_out."""
     known = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).filter(F.col("_y").isin(0, 1) & F.col("_k").isNotNull() & (fold("_k", folds) != held_out))
     chosen = hash_sample(known, "_k", fit_rows, 11)
     # chosen has about fit_rows rows, so that it can be broadcast whatever the input's size
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_k").orderBy(F.xxhash64("_k", F.lit(11)), "_k", "_y", "_t").limit(fit_rows).collect()
-    return fit([r["_t"] for r in rows], [r["_y"] for r in rows])
+    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_k").orderBy(F.xxhash64("_k", F.lit(11)), "_k", "_y", F.xxhash64("_t")).limit(fit_rows)
+    found = examples_of(rows).orderBy(F.xxhash64("packed"), "label").collect()  # an order that does not depend on how rows came
+    cut = [len(r["packed"]) // 2 for r in found]
+    return fit([(np.frombuffer(r["packed"], np.uint32, n // 4), np.frombuffer(r["packed"], np.float32, n // 4, n)) for r, n in zip(found, cut, strict=True)], [r["label"] for r in found])
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", out: str = "score") -> DataFrame:
-    """Add the probability of label 1 of each whole text; all other columns stay as they are."""
-    names = docs.columns
+    """Add the probability of label 1 of each whole text."""
+    names = others(docs, out)
+    docs, at = docs.select(*names), names.index(text)
     schema = docs.select("*", F.lit(0.0).alias(out)).schema
-    at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = tx.Powers()

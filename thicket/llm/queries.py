@@ -60,8 +60,8 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    described = media.describe_images(media.encode_images(docs, "text"), tiles=False)
-    return described.select("doc_id", F.col("note").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.col("dhash").alias("feature"))
+    described = media.describe_images(media.encode_images(docs, "text"))
+    return described.select("doc_id", F.col("note").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.col("dhash").alias("feature"), F.sha2("tile", 256).alias("tile_sha256"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

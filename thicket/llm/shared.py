@@ -27,6 +27,19 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def others(df: DataFrame, *taken: str) -> list[str]:
+    """Columns of df but those with a taken name; names are told apart as Spark does, without regard to case."""
+    low = {t.lower() for t in taken}
+    return [c for c in df.columns if c.lower() not in low]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as make it none of df's columns."""
+    while len(others(df, name)) < len(df.columns):
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
