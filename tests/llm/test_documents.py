@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import itertools
 import random
 import zlib
 
@@ -181,3 +182,88 @@ def test_packing_operator(spark):
     for s in sequences.values():
         assert [o for o, _ in sorted(s)] == [sum(n for _, n in sorted(s)[:i]) for i in range(len(s))] and sum(n for _, n in s) <= 1024
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_fill_is_the_best_subset_sum():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        n = int(rng.integers(1, 5))
+        lengths, counts = rng.choice(np.arange(0, 30), n, replace=False), rng.integers(0, 4, n)
+        rest = int(rng.integers(0, 70))
+        taken = mixing.fill(lengths, counts, rest)
+        sums = [int(np.dot(x, lengths)) for x in itertools.product(*(range(c + 1) for c in counts))]
+        assert (taken <= counts).all() and int(taken @ lengths) == min(sums, key=lambda s: (abs(s - rest), s))
+
+
+def test_lengths_fit_the_budget():
+    rng = np.random.default_rng(9)
+    for top in (20, 3000):
+        for _ in range(40):
+            lengths = np.unique(rng.integers(0, top, rng.integers(1, 60)))
+            counts = rng.integers(1, 50, len(lengths))
+            budget = int(rng.integers(0, 2 * int(lengths @ counts) + 1))
+            rounds, extra = mixing.fit_lengths(lengths, counts, budget)
+            got = rounds * int(lengths @ counts) + int(lengths @ extra)
+            assert (extra >= 0).all() and (extra <= 2 * counts).all() and abs(got - budget) <= lengths.max() / 2
+            assert rounds + (extra / counts).max() <= max(2, np.ceil(budget / max(1, int(lengths @ counts))))
+
+
+def test_few_documents_fit_as_well_as_can_be():
+    """Against all choices of up to as many copies of each document as the budget needs."""
+    rng = np.random.default_rng(11)
+    for _ in range(100):
+        lengths = np.unique(rng.integers(1, 60, 4))
+        counts = rng.integers(1, 3, len(lengths))
+        budget = int(rng.integers(1, 2 * int(lengths @ counts) + 1))
+        rounds, extra = mixing.fit_lengths(lengths, counts, budget)
+        most = max(2, -(-budget // int(lengths @ counts)))
+        best = min(abs(int(np.dot(x, lengths)) - budget) for x in itertools.product(*(range(c * most + 1) for c in counts)))
+        assert abs(rounds * int(lengths @ counts) + int(lengths @ extra) - budget) == best
+
+
+def test_program_is_within_its_gap():
+    """The cover is whole, no packing can be below the dual bound, and both meet on lengths that fill sequences badly as well."""
+    rng = np.random.default_rng(10)
+    for lengths, counts in (
+        (np.array([600]), np.array([100.0])), (np.array([3, 400, 600, 700]), np.array([50.0, 70, 80, 90])), (np.array([350, 360, 370]), np.array([100.0, 200, 300])),
+        (np.arange(1, 1025), rng.integers(1, 200, 1024).astype(float)),
+    ):
+        got = packing.solve(lengths, counts, 1024)
+        held = np.zeros(len(lengths))
+        for often, _, config in got.used:
+            assert sum(a * lengths[i] for i, a in config.items()) <= 1024
+            for i, a in config.items():
+                held[i] += often * a
+        assert (held >= counts * (1 - 1e-6)).all()
+        assert max(got.dual, float(lengths @ counts) / 1024) - 1e-6 <= got.primal <= got.dual * 1.03
+
+
+def test_columns_named_like_outputs(spark):
+    """An output takes the place of a column of its name; nulls, empty and long texts, repeated rows and empty tables have their results."""
+    from thicket.llm import pii
+
+    rows = [(1, "der hund und die katze", "de", 9), (2, "the dog and the cat", "en", 9), (2, "the dog and the cat", "en", 9), (None, None, None, None), (3, "", "en", 1), (4, "the cat " * 20_000, "en", 1), (5, "\U0001f600 12", "en", 1), (6, "\U00010400\U00010428", "de", 1)]
+    outs = ["score", "SCORE_2", "lang_pred", "pii", "note", "tile", "media", "dhash"]
+    docs = spark.createDataFrame([(*r, *range(len(outs))) for r in rows], "doc_id long, text string, lang string, n long, " + ", ".join(f"{c} long" for c in outs)).repartition(2)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 6)], "doc_id long, quality int")
+    scored = quality.score(docs, quality.fit_on(docs, labels), out="score_2")
+    assert scored.columns == [c for c in docs.columns if c != "SCORE_2"] + ["score_2"]
+    assert len({r["score_2"] for r in scored.filter("doc_id = 2").collect()}) == 1 and all(0 <= r["score_2"] <= 1 for r in scored.collect())
+    told = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, langid.fit_on(docs)).collect()}
+    assert told[5] == told[3] == told[None] == ("und", 0.0) and all(told[k][0] in ("de", "en") for k in (1, 2, 4, 6))
+    assert langid.predict(docs.limit(0), langid.fit_on(docs.limit(0))).collect() == []
+    named = pii.pseudonymise(docs, "k")
+    assert named.schema["pii"].dataType.typeName() == "array" and named.count() == len(rows) and pii.pseudonymise(docs.limit(0), "k").collect() == []
+    described = media.describe_images(media.encode_images(docs, "text")).collect()
+    assert sorted(r["note"] for r in described) == sorted(len((r[1] or "").encode()) for r in rows) and all(r["tile"][:6] == b"\x93NUMPY" for r in described)
+    assert media.describe_images(media.encode_images(docs.limit(0), "text")).collect() == []
+
+
+def test_classifier_learns_from_few_rows(spark):
+    """On a table of a few dozen labels both kinds are told apart, on held-out rows better than by the larger kind alone."""
+    sf = "/root/testdata/sf0.001"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    got = QUERIES["op1_quality"](spark, sf).join(labels.filter("quality IS NOT NULL"), "doc_id").collect()
+    for held_out in (False, True):
+        mine = [r for r in got if r["held_out"] == held_out]
+        assert sum(r["predicted"] == r["quality"] for r in mine) > max(sum(r["quality"] == q for r in mine) for q in (0, 1))

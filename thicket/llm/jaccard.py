@@ -9,7 +9,8 @@ num/den. The join is exact, up to collisions of 64-bit hashes of shingles:
    whole segment; a segment's content is a signature. Shingles of very many documents
    (by counters of fixed size over all of them) are left out of segments, so that passages
    in common use make no candidates; sets that are left with too few segments are cut whole,
-   by other hashes, as well. Signatures are packed into binary columns, one of a kind for
+   by other hashes, as well, until a cut has enough: of two linked sets one may stop first,
+   and the other has its cut as well. Signatures are packed into binary columns, one of a kind for
    each batch (hot signatures shrink before the shuffle), and classes that share one are put
    into one block by connected components.
 3. Inside a block an inverted index from shingles to classes answers T-occurrence searches:
@@ -18,11 +19,13 @@ num/den. The join is exact, up to collisions of 64-bit hashes of shingles:
    Classes outside the largest component found so far are searched for, whatever their
    order; a pair inside one component needs no search.
 4. Blocks of more than block_size classes are cut into parts that share a pivot; classes
-   that did not join the pivot's component then visit all other parts.
+   that did not join the pivot's component then visit all other parts, in groups of
+   block_size visits at most, about.
 
 Defined cases: null and empty texts and texts of separators only have an empty set and
 link with nothing; with fewer words than a shingle has, the whole sequence is one shingle;
-repeated rows are one class; very long texts are whole sets like others. Rows with a null
+repeated rows are one class; very long texts are whole sets like others; an empty table gives
+no rows. Only the key and the text are read, so that other columns' names don't matter. Rows with a null
 key take the component of a row with a key and an equal set, else null. Rows that share a
 key with different texts are one node.
 """
@@ -32,7 +35,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import count, groupby
 from math import ceil, log2
 
 import numpy as np
@@ -109,13 +112,13 @@ class Signatures:
         edges = (np.arange(segments + 1, dtype=np.float64) * (2.0**64 / segments)).clip(0, 2.0**64 - 2048).astype(np.uint64)
         out = []
         # a set with few filled segments might agree on empty ones only: it is cut anew, whole and by other hashes, as well
-        for turn in range(8):
+        for turn in count():
             cut = light if not turn else np.sort(tx.mix(s + np.uint64(turn)))
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tx.mix(cut ^ _SEED))])
             at = np.searchsorted(cut, edges)
             at[-1] = len(cut)
             filled = np.flatnonzero(at[1:] > at[:-1])
-            out.append(tx.mix((sums[at[filled + 1]] - sums[at[filled]]) + filled.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.uint64(tag * 8 + turn)))
+            out.append(tx.mix((sums[at[filled + 1]] - sums[at[filled]]) + filled.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.uint64((tag << 20) + turn)))
             if len(filled) > d:
                 break
         return np.concatenate(out)
@@ -150,16 +153,16 @@ class Index:
         long, short = lists[:many], lists[many:]
         found = []
         for c, run in groupby(heapq.merge(*(self.members[i:j] for i, j in short))):
-            if not wanted[c] or (count := sum(1 for _ in run)) < least - many:
+            if not wanted[c] or (shared := sum(1 for _ in run)) < least - many:
                 continue
             need, left = needed(n, int(self.sizes[c]), self.num, self.den), len(long)
             for i, j in long:
-                if count >= need or count + left < need:
+                if shared >= need or shared + left < need:
                     break
                 k = bisect_left(self.members, c, i, j)
-                count += k < j and self.members[k] == c
+                shared += k < j and self.members[k] == c
                 left -= 1
-            if count >= need:
+            if shared >= need:
                 found.append(c)
                 wanted &= label != label[c]
         return found
@@ -201,15 +204,20 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     active = checkpoint(active.distinct().join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))))
     pivots = active.filter("node = pivot AND parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     members = active.unionByName(pivots).select("node", "block", "part", F.lit(False).alias("visit")).distinct()
-    links = checkpoint(_link(docs, key, text, members, words, num, den))
+    links = checkpoint(_link(docs, key, text, members.withColumn("group", F.lit(0).cast("long")), words, num, den))
     groups = components(links)
     big = active.filter("parts > 1")
     if big.limit(1).count():
         found = big.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
         main = found.filter("node = pivot").select("block", F.col("component").alias("main"))
-        strays = found.join(main, "block").filter("component <> main").withColumn("own", F.col("part")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        visits = strays.filter("part <> own").select("node", "block", "part", F.lit(True).alias("visit"))
-        links = links.unionByName(_link(docs, key, text, members.join(big.select("block").distinct(), "block", "left_semi").unionByName(visits), words, num, den))
+        strays = checkpoint(found.join(main, "block").filter("component <> main"))
+        # visits of a block come in groups, each of which meets every part
+        groups_of = strays.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_size).alias("groups"))
+        come = strays.join(groups_of, "block").withColumn("group", F.pmod(F.xxhash64("node", F.lit(3)), F.col("groups")))
+        come = come.withColumn("own", F.col("part")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        visits = come.filter("part <> own").select("node", "block", "part", "group", F.lit(True).alias("visit"))
+        residents = members.join(groups_of, "block").withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
+        links = links.unionByName(_link(docs, key, text, residents.unionByName(visits), words, num, den))
         groups = components(links)
     labelled = nodes.join(groups, "node", "left").select("f1", "f2", "n", F.coalesce("component", "node").alias("component"))
     out = light.join(labelled, ["f1", "f2", "n"], "left")
@@ -328,4 +336,4 @@ def _link(docs: DataFrame, key: str, text: str, members: DataFrame, words: int,
         return pd.DataFrame({"src": node[root != node], "dst": root[root != node]})
 
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    return members.join(texts, "node").groupBy("block", "part").applyInPandas(run, "src long, dst long")
+    return members.join(texts, "node").groupBy("block", "part", "group").applyInPandas(run, "src long, dst long")

@@ -5,18 +5,21 @@ sequence length, the first piece being the shorter. The length histogram (at mos
 entries as the sequence length, whatever the input) goes to the driver. There the
 configuration linear program "cover each length's pieces with as few filled sequences as
 possible" is solved by multiplicative weights: prices grow on what is covered least, and a
-knapsack dynamic program finds the best filled sequence at these prices. The solution is
+knapsack dynamic program finds the best filled sequence at these prices. Prices are also a
+solution of the dual program, so that each pass gives a lower bound. The best cover is
 rounded down, and what is left is packed best fit first, longest first. Each piece then
 finds its sequence and place from its rank among the pieces of its length.
 
 Defined cases: null and empty texts are the end id alone; repeated rows are packed each;
-an empty table gives no rows; ranks of a length that holds most pieces are made in cells.
+an empty table gives no rows; very long texts are many pieces; rows without a key are packed
+like others. Only the key and the text are read, so that other columns' names don't matter. Ranks of a length that holds most pieces are made in cells.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +30,12 @@ from . import text as tx
 from . import tokens
 from .shared import checkpoint, hot_rank
 
-#: Rounds of the multiplicative weights method for each length of the histogram, at most.
-ROUNDS = 3
+#: Share of the dual bound that a cover may lie above it before better prices are looked for, in so many steps at most.
+GAP, STEPS = 0.002, 400
 
 
-def knapsack(prices: np.ndarray, lengths: np.ndarray, room: int) -> np.ndarray:
-    """Unbounded knapsack: which length is taken last in the dearest filling of each room (-1: none)."""
+def knapsack(prices: np.ndarray, lengths: np.ndarray, room: int) -> tuple[np.ndarray, float]:
+    """Unbounded knapsack: which length is taken last in the dearest filling of each room (-1: none), and the whole room's value."""
     of, index = np.full(room + 1, -1e9), np.full(room + 1, -1)
     of[lengths], index[lengths] = prices, np.arange(len(lengths))
     value, last = np.zeros(room + 1), np.full(room + 1, -1)  # value[room - j] is that of room j
@@ -43,12 +46,12 @@ def knapsack(prices: np.ndarray, lengths: np.ndarray, room: int) -> np.ndarray:
             value[room - j], last[j] = gain[k], index[k + 1]
         else:
             value[room - j] = value[room - j + 1]
-    return last
+    return last, float(value[0])
 
 
-def config_of(first: int, last: np.ndarray, lengths: np.ndarray, room: int) -> dict[int, int]:
-    """The dearest sequence that holds a piece of the length first."""
-    out, j = {first: 1}, room - int(lengths[first])
+def config_of(first: int | None, last: np.ndarray, lengths: np.ndarray, room: int) -> dict[int, int]:
+    """The dearest sequence that holds a piece of the length first, or any."""
+    out, j = ({}, room) if first is None else ({first: 1}, room - int(lengths[first]))
     while j > 0:
         if (k := int(last[j])) < 0:
             j -= 1
@@ -58,29 +61,71 @@ def config_of(first: int, last: np.ndarray, lengths: np.ndarray, room: int) -> d
     return out
 
 
-def solve(lengths: np.ndarray, counts: np.ndarray, room: int, sharpness: float = 0.2) -> list[tuple[float, int, dict[int, int]]]:
-    """Fractional configurations that cover counts: (how often, the length they are priced for, {index of length: pieces}).
+@dataclass
+class Program:
+    """Fractional configurations that cover all pieces, their number, and the dual bound: no packing has fewer sequences."""
 
-    Prices start at the share of a sequence that a length takes, times exp(sharpness), and
-    fall exponentially as the length is covered, to 0 when it is covered whole. A round
-    prices the dearest sequence that holds the longest uncovered length by the knapsack
-    and uses it until one of its lengths is covered.
+    used: list[tuple[float, int, dict[int, int]]]  # how often, the length they are priced for, {index of length: pieces}
+    primal: float
+    dual: float
+
+
+def cover(lengths: np.ndarray, counts: np.ndarray, room: int, base: np.ndarray, sharpness: float) -> Program:
+    """One pass: cover all lengths, each price being base times an exponential that falls from exp(sharpness) as its length is covered.
+
+    Each step prices the dearest sequence that holds the longest uncovered length by the knapsack, and uses it until one of
+    its lengths is covered whole, whose price is 0 from then on; so there are as many steps as lengths, at most. Prices over
+    the value of the dearest sequence of all are a solution of the dual program.
     """
-    covered = np.zeros(len(lengths))
-    used: dict[tuple, float] = {}
-    for _ in range(ROUNDS * len(lengths)):
-        open_ = np.flatnonzero(covered < 1 - 1e-9)
-        if not len(open_):
-            break
+    covered, used, dual = np.zeros(len(lengths)), {}, 0.0
+    while len(open_ := np.flatnonzero(covered < 1 - 1e-9)):
         k = open_[-1]
-        last = knapsack(lengths[open_] / room * np.exp(sharpness * (1 - covered[open_])), lengths[open_], room)
+        prices = base[open_] * np.exp(sharpness * (1 - covered[open_]))
+        last, value = knapsack(prices, lengths[open_], room)
+        dual = max(dual, float(prices @ counts[open_]) / value)
         config = {int(open_[i]): a for i, a in config_of(len(open_) - 1, last, lengths[open_], room).items()}
         at, a = np.fromiter(config, np.int64), np.fromiter(config.values(), np.float64)
         often = float(((1 - covered[at]) * counts[at] / a).min())
         covered[at] = np.minimum(1.0, covered[at] + a * often / counts[at])
         key = (int(k), tuple(sorted(config.items())))
         used[key] = used.get(key, 0.0) + often
-    return [(often, k, dict(config)) for (k, config), often in used.items()]
+    return Program([(often, k, dict(config)) for (k, config), often in used.items()], sum(used.values()), dual)
+
+
+def weigh(lengths: np.ndarray, counts: np.ndarray, room: int, enough: float, steps: int = STEPS, share: float = 0.1, sharpness: float = 1.0) -> tuple[np.ndarray, float]:
+    """The prices with the best dual bound by multiplicative weights, and the bound; it ends when that is enough.
+
+    Each step uses the dearest sequence for a share of the length in it that it covers fastest; a price falls exponentially
+    as its length is covered, by this step and all before.
+    """
+    covered, best, dual = np.zeros(len(lengths)), lengths / room, 0.0
+    for _ in range(steps):
+        prices = lengths / room * np.exp(sharpness * (covered.min() - covered))
+        last, value = knapsack(prices, lengths, room)
+        bound = float(prices @ counts) / value
+        if bound > dual:
+            best, dual = prices / value, bound
+        if dual >= enough:
+            break
+        config = config_of(None, last, lengths, room)
+        at, a = np.fromiter(config, np.int64), np.fromiter(config.values(), np.float64)
+        covered[at] += a / counts[at] * (share * (counts[at] / a).min())
+    return best, dual
+
+
+def solve(lengths: np.ndarray, counts: np.ndarray, room: int, sharpness: float = 0.2, gap: float = GAP) -> Program:
+    """The better of two covers, and the best dual bound.
+
+    The first starts from the share of a sequence that each length takes. If it isn't within gap of its bound, better prices
+    are looked for, and a second cover starts from these.
+    """
+    first = cover(lengths, counts, room, lengths / room, sharpness)
+    if first.primal <= first.dual * (1 + gap):
+        return first
+    prices, dual = weigh(lengths, counts, room, first.primal / (1 + gap))
+    second = cover(lengths, counts, room, prices + lengths / room / 1000, sharpness)
+    best = min(first, second, key=lambda x: x.primal)
+    return Program(best.used, best.primal, max(first.dual, second.dual, dual))
 
 
 def best_fit(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int, dict[int, int]]]:
@@ -120,7 +165,7 @@ def plan(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int,
     if not len(lengths):
         return []
     left, out, carried = counts.astype(np.int64).copy(), [], np.zeros(len(lengths))
-    for often, k, config in sorted(solve(lengths, counts.astype(float), room), key=lambda x: -x[0]):
+    for often, k, config in sorted(solve(lengths, counts.astype(float), room).used, key=lambda x: -x[0]):
         # what rounding takes from one configuration of a length goes to its next one
         wanted = often + carried[k] + 1e-9
         many = min(int(wanted), *(int(left[i]) // a for i, a in config.items()))
@@ -186,7 +231,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", room: int = 1
 
     names = cut.columns
     sizes = docs.sparkSession.createDataFrame([(int(a), int(n)) for a, n in zip(lengths, counts, strict=True)], "length long, _n long")
-    salted = cut.withColumn("_salt", F.xxhash64("_key", "piece", F.lit(seed)))
+    salted = cut.withColumn("_salt", F.xxhash64("_key", "piece", "ids_crc32", F.lit(seed)))
     # sizes has one row for each length, room at most
     ranked = hot_rank(salted.join(F.broadcast(sizes), "length"), ["length"], "_n", ["_salt", "_key", "piece", "ids_crc32"], "_salt", "_rank")
     schema = cut.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
