@@ -31,6 +31,12 @@ def years(species: DataFrame) -> DataFrame:
     return as_object.unionByName(as_pairs).groupBy("y").agg(F.sum("n").cast("bigint").alias("n"))
 
 
+def totals(species: DataFrame) -> DataFrame:
+    """One row: plants, and the sums of total and total_raw over all species."""
+    sums = [F.coalesce(F.sum(number(c)), F.lit(0)).cast("bigint").alias(c) for c in ("total", "total_raw")]
+    return species.agg(F.count(F.lit(1)).alias("plants"), *sums)
+
+
 def rollup(species: DataFrame) -> DataFrame:
     """total, total_raw over all species, and the ratio of covered cells of each (0 without cells)."""
     cells, of = number("coverage_cells"), number("coverage_cells_total")

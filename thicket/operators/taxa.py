@@ -38,8 +38,8 @@ def unresolved(resolved: DataFrame) -> DataFrame:
 
 
 def require_resolved(resolved: DataFrame) -> None:
-    """Fail if a name is unresolved; to be called after the outputs are written."""
-    if some := unresolved(resolved).limit(20).collect():
+    """Fail if a name is unresolved, listing all of them (names of one list); to be called after the outputs are written."""
+    if some := unresolved(resolved).orderBy("scientificName").collect():
         raise ValueError(f"unresolved names: {[tuple(r) for r in some]}")
 
 

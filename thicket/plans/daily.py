@@ -7,30 +7,44 @@ from pyspark.sql import functions as F
 
 from thicket.operators import select, stats, taxa
 from thicket.plans import profiles
+from thicket.sources import files
 from thicket.sources.store import Store
 from thicket.sources.tables import normalize
 
 
-def update(store: Store, delta: DataFrame, names: DataFrame, matches: DataFrame, config: profiles.Config, today: str, order: list | None = None, mode: str = "all") -> DataFrame | None:
-    """The sparse profiles after today's delta; mode "db-only" stops after the upsert, "export-only" leaves the store as it is.
+def update(store: Store, delta: DataFrame, names: DataFrame, matches: DataFrame, config: profiles.Config, today: str, out: str, order: list | None = None, mode: str = "all", stats_enabled: bool = True) -> DataFrame | None:
+    """Write the outputs of today's delta under out, and return the exported profiles: sci, profile (JSON text).
 
-    delta has the columns of the store. The state's date moves with the snapshot, after all rows are in. A name without an accepted
-    match fails the run before anything is written.
+    delta has the columns of the store. Outputs, in this order: resolved (a table of names and matches), the store,
+    profiles (a table) and occurrences.json.gz (one document), then the state's date, then stats_summary.json, made from
+    the document. Names without an accepted match fail the run once resolved is written. An export that fails leaves the
+    date, so that the next run takes the delta again. mode "db-only" stops after the upsert, "export-only" begins after it.
     """
     spark = delta.sparkSession
     if mode != "export-only":
-        resolved = taxa.resolve(names, matches)
+        taxa.resolve(names, matches).write.mode("overwrite").json(f"{out}/resolved")
+        resolved = spark.read.schema(taxa.resolve(names, matches).schema).json(f"{out}/resolved")
         taxa.require_resolved(resolved)
         last = store.state().get("since")
         since = spark.range(1).select(select.since(F.lit(last).cast("string"), config.overlap_days, F.to_date(F.lit(today)))).first()[0]
         tree = select.delta_tree(since, config.country, (config.year_from, config.year_to), require_coordinate=config.require_coordinate)
         wanted = normalize(delta, "sparse").select("gbifID", "sci", "taxonKey", "lat", "lon", "y", "m", "country", "lastInterpreted")
         accepted = select.delta_rows(wanted, tree, taxa.keys(resolved)).select("gbifID").distinct()
-        store.apply(delta.join(accepted, "gbifID", "left_semi"), order=order, since=today)
+        store.apply(delta.join(accepted, "gbifID", "left_semi"), order=order)
     if mode == "db-only":
         return None
-    return profiles.sparse(normalize(store.read(), "sparse"), config, names)
-
-
-def summarise(profiles_df: DataFrame) -> DataFrame:
-    return stats.summary(profiles.profile_json(profiles_df))
+    made = profiles.sparse(normalize(store.read(), "sparse"), config, names)
+    made.write.mode("overwrite").parquet(f"{out}/profiles")
+    made = spark.read.parquet(f"{out}/profiles")
+    meta = {"country": config.country, "year_from": config.year_from, "year_to": config.year_to}
+    files.write_document(profiles.envelope(made, config, meta), f"{out}/occurrences.json", gzip=True)
+    store.note(since=today)
+    exported = files.read_document(spark, f"{out}/occurrences.json")
+    if stats_enabled:
+        write_summary(exported, {"source_occ_json": f"{out}/occurrences.json.gz"} | meta, f"{out}/stats_summary.json")
+    return exported
+
+
+def write_summary(species: DataFrame, meta: dict, path: str) -> str:
+    """The summary of a document's species as a file."""
+    return files.write_document(stats.summary(species, meta), path)

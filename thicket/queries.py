@@ -283,8 +283,11 @@ def apply_delta(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT gbifID, sci AS scientificName, taxonKey, lat AS decimalLatitude, lon AS decimalLongitude, y::BIGINT AS year, m::BIGINT AS month, country AS countryCode, eventDate, lastInterpreted FROM f")
 def stream_delta(spark: SparkSession, d: str) -> DataFrame:
     top, store = files.scratch(spark), Store(spark, files.scratch(spark))
-    _delta(fixture.occurrences(spark, d)).select(*[F.col(c).cast("string") for c in files.DELTA_COLUMNS]).write.csv(f"{top}/in", sep="\t", header=True, quote="", emptyValue="")
-    stream_deltas(spark, f"{top}/in", store, f"{top}/checkpoint").awaitTermination()
+    rows = _delta(fixture.occurrences(spark, d)).select(*[F.col(c).cast("string") for c in files.DELTA_COLUMNS])
+    # two batches: rows of 1999 and later come first as well, under another name, and are delivered again
+    for part in (rows.filter("year >= 1999").withColumn("scientificName", F.lit("first")), rows):
+        part.write.mode("append").csv(f"{top}/in", sep="\t", header=True, quote="", emptyValue="")
+        stream_deltas(spark, f"{top}/in", store, f"{top}/checkpoint").awaitTermination()
     return store.read()
 
 
@@ -519,14 +522,28 @@ def _sparse_json(spark: SparkSession, d: str) -> DataFrame:
     return profiles.profile_json(profiles.sparse(_occ(spark, d), CONFIG))
 
 
-@query()
-def doc_envelope(spark: SparkSession, d: str) -> DataFrame:
+def _envelope(spark: SparkSession, d: str) -> DataFrame:
     return profiles.envelope(profiles.sparse(_occ(spark, d), CONFIG, fixture.names(spark, d)), CONFIG, {"source": "lineitem", "top_n": CONFIG.top_n})
 
 
+@query("""
+SELECT names.sci, de, count(gbifID)::BIGINT AS total, (SELECT count(*) FROM s WHERE s.sci = names.sci)::BIGINT AS sampled_total, (SELECT min(lat) FROM s WHERE s.sci = names.sci) AS min_lat,
+       'Germany' AS region, 51.0::DOUBLE AS center_lat, 'lineitem' AS source, 250::BIGINT AS top_n
+FROM names LEFT JOIN f USING (sci) GROUP BY names.sci, de
+""")
+def doc_envelope(spark: SparkSession, d: str) -> DataFrame:
+    """The document, read back: one row for each species, with the document's own fields."""
+    whole = _envelope(spark, d)
+    own = lambda path, kind: F.get_json_object("value", f"$.{path}").cast(kind)
+    fields = whole.select(own("region.name", "string").alias("region"), own("region.center.lat", "double").alias("center_lat"), own("meta.source", "string").alias("source"), own("meta.top_n", "bigint").alias("top_n"))
+    of = lambda path, kind: F.get_json_object("profile", f"$.{path}").cast(kind)
+    species = files.document_species(whole).select("sci", of("de", "string").alias("de"), stats.number("total").alias("total"), stats.number("sampled_total").alias("sampled_total"), of("bbox[0]", "double").alias("min_lat"))
+    return species.join(F.broadcast(fields), F.lit(True))  # fields are one row
+
+
 @query("SELECT names.sci, count(gbifID)::BIGINT AS total, (SELECT count(*) FROM s WHERE s.sci = names.sci)::INT AS points FROM names LEFT JOIN f USING (sci) GROUP BY names.sci")
 def doc_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    path = files.write_document(doc_envelope(spark, d), files.scratch(spark), gzip=True)
+    path = files.write_document(_envelope(spark, d), files.scratch(spark), gzip=True)
     back = files.read_document(spark, path.removesuffix(".gz"))
     return back.select("sci", stats.number("total").alias("total"), F.json_array_length(F.get_json_object("profile", "$.points")).alias("points"))
 
@@ -551,24 +568,71 @@ def stats_coverage(spark: SparkSession, d: str) -> DataFrame:
     return stats.coverage(_sample(spark, d), aggregate.with_cell(_rows(spark, d)))
 
 
-@query("SELECT sci, count(*)::BIGINT AS total, 0::BIGINT AS total_raw, 0.0::DOUBLE AS coverage FROM f GROUP BY sci")
+def _with_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose total is that of the sample, with all rows and covered cells beside it."""
+    covered = stats.coverage(_sample(spark, d), aggregate.with_cell(_rows(spark, d)))
+    both = covered.join(select.totals(_rows(spark, d)), "sci").join(_sample(spark, d).groupBy("sci").agg(F.count(F.lit(1)).alias("kept")), "sci")
+    fields = F.struct(F.col("kept").alias("total"), F.col("n").alias("total_raw"), F.col("cells").alias("coverage_cells"), F.col("cells_total").alias("coverage_cells_total"))
+    return both.select("sci", F.to_json(fields).alias("profile"))
+
+
+_COVERAGE = """
+SELECT f.sci, (SELECT count(*) FROM s WHERE s.sci = f.sci)::BIGINT AS total, count(*)::BIGINT AS total_raw,
+       (SELECT count(DISTINCT cell) FROM s WHERE s.sci = f.sci)::DOUBLE / count(DISTINCT cell) AS coverage
+FROM f GROUP BY f.sci
+"""
+
+
+@query(_COVERAGE)
 def stats_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return stats.rollup(_sparse_json(spark, d))
+    return stats.rollup(_with_coverage(spark, d))
 
 
-@query()
+@query(f"SELECT count(*)::BIGINT AS plants, sum(total)::BIGINT AS total, sum(total_raw)::BIGINT AS total_raw FROM ({_COVERAGE})")
+def stats_totals(spark: SparkSession, d: str) -> DataFrame:
+    return stats.totals(_with_coverage(spark, d))
+
+
+@query("""
+SELECT row_number() OVER (ORDER BY total DESC, sci)::INT AS nth, sci, total, (SELECT count(DISTINCT sci) FROM s)::BIGINT AS plants, (SELECT count(*) FROM s)::BIGINT AS sampled_points_total
+FROM (SELECT sci, count(*)::BIGINT AS total FROM f GROUP BY sci ORDER BY total DESC, sci LIMIT 50)
+""")
 def stats_summary(spark: SparkSession, d: str) -> DataFrame:
-    return daily.summarise(profiles.sparse(_occ(spark, d), CONFIG))
+    """The summary, written and read back: a row for each species that it lists."""
+    path = daily.write_summary(_sparse_json(spark, d), {"source": "lineitem"}, files.scratch(spark))
+    shape = "counts struct<plants:bigint,sampled_points_total:bigint>, top_by_total array<struct<sci:string,total:bigint>>"
+    back = spark.read.text(path, wholetext=True).select(F.from_json("value", shape).alias("v"))
+    return back.select(F.posexplode("v.top_by_total").alias("nth", "t"), "v.counts").select((F.col("nth") + 1).alias("nth"), "t.sci", "t.total", "counts.plants", "counts.sampled_points_total")
 
 
-@query()
+@query("""
+, known AS (
+  SELECT sci, de, key FROM names JOIN matches ON sci = name JOIN (SELECT p_name, min(p_partkey)::BIGINT AS key FROM part GROUP BY p_name) ON sci = p_name WHERE matchType = 'EXACT' AND confidence = 80
+), old AS (
+  SELECT * FROM raw WHERE y < 1999 QUALIFY row_number() OVER (PARTITION BY gbifID ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1
+), fresh AS (
+  SELECT * FROM raw WHERE gbifID IN (SELECT gbifID FROM raw WHERE lat IS NOT NULL AND lon IS NOT NULL AND taxonKey IN (SELECT key FROM known) AND lastInterpreted >= '1998-12-29')
+  QUALIFY row_number() OVER (PARTITION BY gbifID ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1
+), stored AS (
+  SELECT * FROM fresh UNION ALL SELECT * FROM old WHERE gbifID NOT IN (SELECT gbifID FROM fresh)
+), g AS (
+  SELECT * FROM stored WHERE lat IS NOT NULL AND lon IS NOT NULL
+)
+SELECT known.sci, de, count(gbifID)::BIGINT AS total, min_by(taxonKey, gbifID) FILTER (taxonKey IS NOT NULL) AS taxonKey, max(y)::BIGINT AS last_year, '2001-12-31' AS since, (SELECT count(*) FROM stored)::BIGINT AS stored
+FROM known LEFT JOIN g USING (sci) GROUP BY known.sci, de
+""")
 def daily_update(spark: SparkSession, d: str) -> DataFrame:
+    """The exported profiles after an update of a store that holds the years before 1999, with its date and size."""
     names = fixture.names(spark, d)
     # match records carry keys of parts, so that rows of the fixture have them
     parts = spark.read.parquet(f"{d}/part.parquet").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("usageKey"))
     known = fixture.matches(names).filter("matchType = 'EXACT' AND confidence = '80'").drop("usageKey").join(parts, "name")
     accepted = names.join(known, F.col("sci") == F.col("name"), "left_semi")
-    store = Store(spark, files.scratch(spark))
-    raw = fixture.raw(spark, d)
+    store, raw = Store(spark, files.scratch(spark)), fixture.raw(spark, d)
     store.apply(raw.filter("year < 1999"), order=fixture.latest(), since="1998-12-31")
-    return daily.update(store, raw, accepted, known, CONFIG, "2001-12-31", order=fixture.latest())
+    made = daily.update(store, raw, accepted, known, CONFIG, "2001-12-31", files.scratch(spark), order=fixture.latest())
+    of = lambda path, kind: F.get_json_object("profile", f"$.{path}").cast(kind)
+    return made.select(
+        "sci", of("de", "string").alias("de"), stats.number("total").alias("total"), of("taxonKey", "bigint").alias("taxonKey"), of("last_obs.year", "bigint").alias("last_year"),
+        F.lit(store.state()["since"]).alias("since"), F.lit(store.read().count()).cast("bigint").alias("stored"),
+    )

@@ -19,8 +19,12 @@ STORE_TEXTS = ["eventDate", "countryCode", "stateProvince", "basisOfRecord", "da
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder path in the folder that driver and executors share (spark.checkpoint.dir), or in a local one without a cluster."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A new folder path in the folder that driver and executors share (spark.checkpoint.dir), or in a local one where there is no cluster."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        top = tempfile.gettempdir()
     return f"{top.rstrip('/')}/thicket-{uuid.uuid4().hex}"
 
 

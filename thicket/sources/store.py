@@ -51,11 +51,18 @@ class Store:
         version = self.state()["version"]
         return None if version < 0 else self.spark.read.parquet(f"{self.path}/v={version}")
 
+    def on(self, spark: SparkSession) -> Store:
+        """The same store for another session; a stream's batches have one of their own."""
+        return Store(spark, self.path)
+
     def commit(self, df: DataFrame, **state: object) -> None:
-        now = self.state()
-        version = now["version"] + 1
+        version = self.state()["version"] + 1
         df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        new = json.dumps(now | state | {"version": version})
+        self.note(**state, version=version)
+
+    def note(self, **state: object) -> None:
+        """Change entries of the state; readers see the old pointer or the new one."""
+        new = json.dumps(self.state() | state)
         p, fs = _fs(self.spark, f"{self.path}/state.next")
         out = fs.create(p, True)
         out.write(bytearray(new.encode()))

@@ -21,7 +21,8 @@ def stream_deltas(spark: SparkSession, folder: str, store: Store, checkpoint: st
     rows = rows.select("*", F.col("_metadata.file_path").alias(POSITION[0]), F.col("_metadata.file_block_start").alias(POSITION[1]))
 
     def apply(batch: DataFrame, number: int) -> None:
-        if store.state().get("batch", -1) < number:
-            store.apply(delta_rows(batch.withColumn(POSITION[2], F.monotonically_increasing_id())), batch=number)
+        own = store.on(batch.sparkSession)  # rows are counted in the session that runs them
+        if own.state().get("batch", -1) < number:
+            own.apply(delta_rows(batch.withColumn(POSITION[2], F.monotonically_increasing_id())), batch=number)
 
     return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
