@@ -15,8 +15,15 @@ def families(seed, n, dim=16):
     return [out[i] for i in rng.permutation(len(out))]
 
 
+def unit(v):
+    if not v or any(x is None or not np.isfinite(x) for x in v) or not any(v):
+        return None
+    v = np.array(v) / max(map(abs, v))
+    return v / np.sqrt(v @ v)
+
+
 def brute(rows, threshold=0.9):
-    units = [neardup.unit(v) for _, v in rows]
+    units = [unit(v) for _, v in rows]
     n = [sum(u is not None and w is not None and i != j and len(u) == len(w) and float(u @ w) >= threshold for j, w in enumerate(units)) for i, u in enumerate(units)]
     root = list(range(len(rows)))
 

@@ -14,16 +14,19 @@ against all pairs is measured in the README; no pair below the threshold is ever
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components
 link with nothing, and nor do vectors of different lengths; equal vectors are linked with
 each other; rows with a null key are members of their class, and a class without any key
-has no component; an empty table gives no rows.
+has no component; an empty table gives no rows. Only the key and the vector are read, so that
+other columns' names don't matter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,15 +51,25 @@ def passes_for(n: int, threshold: float, window: int, recall: float = RECALL) ->
     return PASSES if found >= 1 else max(PASSES, int(np.ceil(np.log(1 - recall) / np.log1p(-found))))
 
 
-def unit(values: list | None) -> np.ndarray | None:
-    """The vector over its length in double precision; None if it has no direction."""
-    if not values or any(x is None for x in values):
-        return None
-    v = np.array(values, np.float64)
-    if not np.isfinite(v).all() or not (top := np.abs(v).max()):
-        return None
-    v = v / top  # squares of very large or small numbers stay finite
-    return v / np.sqrt(v @ v)
+def units(vectors: np.ndarray) -> np.ndarray:
+    """Vectors over their lengths in double precision."""
+    v = vectors.astype(np.float64)
+    v /= np.abs(v).max(1, keepdims=True)  # squares of very large or small numbers stay finite
+    v /= np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
+    return v + 0.0  # one zero only
+
+
+def rows_of(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and vectors of the rows that have a direction, by length of vector."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    flat = column.flatten()  # without what null rows may hide
+    begin = np.cumsum(sizes) - sizes
+    whole = np.asarray(pc.fill_null(flat, float("nan")))
+    for dim in np.unique(sizes[sizes > 0]):
+        at = np.flatnonzero(sizes == dim)
+        vectors = whole[begin[at][:, None] + np.arange(dim)]
+        good = np.isfinite(vectors).all(1) & vectors.any(1)
+        yield at[good], vectors[good]
 
 
 def keys(vectors: np.ndarray, passes: int, seed: int) -> np.ndarray:
@@ -95,50 +108,64 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     if window > block:
         raise ValueError("a window must fit a block")
 
+    kind = np.float32 if df.schema[vector].dataType.jsonValue().get("elementType") == "float" else np.float64
+    element = "float" if kind is np.float32 else "double"
+
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = [unit(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if u is None else u.tobytes() for u in units], pa.binary())], names=["key", "unit"])
-
-    rows = checkpoint(df.select(F.col(key).cast("long"), F.col(vector).cast("array<double>")).mapInArrow(prepare, "key long, unit binary").withColumn("class", F.sha2("unit", 256)))
-    classes = rows.filter("unit IS NOT NULL").groupBy("class").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("size"), F.first("unit").alias("unit"))
+            classes, raw = [None] * len(batch), [None] * len(batch)
+            for at, vectors in rows_of(batch.column(1)):
+                for i, v, u in zip(at.tolist(), vectors, units(vectors), strict=True):
+                    classes[i], raw[i] = sha256(u.tobytes()).digest(), v.tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(classes, pa.binary()), pa.array(raw, pa.binary())], names=["key", "class", "raw"])
+
+    rows = checkpoint(df.select(F.col(key).cast("long"), F.col(vector).cast(f"array<{element}>")).mapInArrow(prepare, "key long, class binary, raw binary"))
+    classes = rows.filter("raw IS NOT NULL").groupBy("class").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("size"), F.min("raw").alias("raw"))
     nodes = checkpoint(classes.filter("node IS NOT NULL"))
+    n = nodes.count()
     if passes is None:
-        passes = passes_for(nodes.count(), threshold, window)
+        passes = passes_for(n, threshold, window)
+
+    def matrix(raw: list[bytes]) -> np.ndarray:
+        return units(np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1))
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             node, raw = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             for dim in {len(r) for r in raw}:
                 mine = [i for i, r in enumerate(raw) if len(r) == dim]
-                found = keys(np.frombuffer(b"".join(raw[i] for i in mine)).reshape(len(mine), -1), passes, seed)
+                found = keys(matrix([raw[i] for i in mine]), passes, seed)
                 yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(passes, dtype=np.int32), len(mine))), pa.array(np.full(found.size, dim, np.int64)), pa.array(found.ravel()), pa.array(np.repeat(node[mine], passes))], names=["pass", "dim", "sort", "node"])
 
     # a checkpoint of the sorted partitions fixes their numbers; a rank is a row's place in its partition after all rows before
-    projected = nodes.select("node", "unit").mapInArrow(project, "pass int, dim long, sort long, node long")
+    projected = nodes.select("node", "raw").mapInArrow(project, "pass int, dim long, sort long, node long")
     order = ["pass", "dim", "sort", "node"]
     placed = checkpoint(projected.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
     placed = placed.select("pass", "node", F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_at"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     # one row for each partition
-    ranks = placed.join(F.broadcast(starts), "_part").select("node", F.struct("pass", (F.col("_before") + F.col("_at")).alias("rank")).alias("r"))
+    # a pass has a rank for each vector
+    rank = (F.col("_before") + F.col("_at") - F.col("pass") * F.lit(n)).cast("int" if n < 1 << 31 else "long")
+    ranks = placed.join(F.broadcast(starts), "_part").select("node", F.struct("pass", rank.alias("rank")).alias("r"))
     ranks = ranks.groupBy("node").agg(F.transform(F.sort_array(F.collect_list("r")), lambda r: r["rank"]).alias("ranks"))
-    each = nodes.select("node", "size", "unit").join(ranks, "node").select("*", F.posexplode("ranks").alias("pass", "rank"))
+    each = nodes.select("node", "size", "raw").join(ranks, "node").select("*", F.posexplode("ranks").alias("pass", "rank"))
     home = F.floor(F.col("rank") / block)
-    each = each.withColumn("block", F.explode(F.when(F.col("rank") % block < window, F.array(home, home - 1)).otherwise(F.array(home)))).withColumn("own", F.col("block") == home).drop("rank")
+    blocks = F.when(F.col("rank") % block < window, F.array(home, home - 1)).otherwise(F.array(home))
+    # a pass needs its own ranks and those of the passes before it
+    each = each.withColumn("ranks", F.slice("ranks", 1, F.col("pass") + 1)).withColumn("block", F.explode(blocks)).withColumn("own", F.col("block") == home).drop("rank")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         at = int(part["pass"].iloc[0])
         ranks = np.array(part["ranks"].tolist(), np.int64)
-        sizes = part["unit"].map(len).to_numpy()
+        sizes = part["raw"].map(len).to_numpy()
         order = np.argsort(ranks[:, at])
         node = part["node"].to_numpy(np.int64)
         weight, own = part["size"].to_numpy(np.int64), part["own"].to_numpy(bool)
         out = []
         for dim in np.unique(sizes):
             o = order[sizes[order] == dim]
-            vectors = np.frombuffer(b"".join(part["unit"].iloc[o])).reshape(len(o), -1)
+            vectors = matrix(part["raw"].iloc[o].tolist())
             links, i, j = compare(vectors, ranks[o], at, own[o], weight[o], window, threshold)
             linked = np.flatnonzero(links)
             found, root = local_components(node[o][i], node[o][j])
@@ -150,7 +177,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     groups = components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")))
     known = classes.select("class", "node", "size").join(linked, "node", "left").join(groups, "node", "left")
     known = known.select("class", "size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component"))
-    alone = F.col("unit").isNull()
+    alone = F.col("raw").isNull()
     component = F.when(alone, F.col("key")).otherwise(F.col("component"))
     return rows.join(known, "class", "left").select(
         F.col("key").alias(key), F.when(alone, 0).otherwise(F.col("links") + F.col("size") - 1).cast("long").alias("n_links"),

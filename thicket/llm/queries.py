@@ -126,4 +126,18 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_chat": _OP3, "op6_jaccard": _OP6}
+_OP10 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), u AS (
+  SELECT vec_id, [x / sqrt(list_dot_product(v, v)) for x in v] AS u FROM v WHERE list_dot_product(v, v) > 0
+), e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE list_dot_product(a.u, b.u) >= 0.9
+), r AS (
+  SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.vec_id
+)
+SELECT vec_id, (SELECT count(*) FROM e WHERE e.a = m.vec_id)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+FROM (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id) m
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_chat": _OP3, "op6_jaccard": _OP6, "op10_neardup": _OP10}
