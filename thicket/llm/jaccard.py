@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 from .components import components, local_components
-from .shared import checkpoint
+from .shared import checkpoint, mark_likely
 
 #: Classes that are indexed together, at most about.
 BLOCK_SIZE = 2048
@@ -335,5 +335,7 @@ def _link(docs: DataFrame, key: str, text: str, members: DataFrame, words: int,
         root = node[np.unique(label, return_index=True)[1]][np.unique(label, return_inverse=True)[1]]
         return pd.DataFrame({"src": node[root != node], "dst": root[root != node]})
 
+    # most texts have no likely partner and stay where they are
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
+    texts = mark_likely(texts, "node", members.select("node"), "likely").filter("likely").drop("likely")
     return members.join(texts, "node").groupBy("block", "part", "group").applyInPandas(run, "src long, dst long")

@@ -57,6 +57,22 @@ def hash_sample(df: DataFrame, key: str, rows: int, salt: int = 29) -> DataFrame
     return df.filter(F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
+def mark_likely(df: DataFrame, key: str, ids: DataFrame, out: str) -> DataFrame:
+    """Mark the rows of df whose key may be among ids (which have a column key): all that are, and few others.
+
+    ids become bits of 2**23, at most 256 rows of 4 KB whatever their number, so that the side that is broadcast is bounded;
+    rows that are not marked need no shuffle to be told apart.
+    """
+    bucket, held = free_name(df, "_bucket"), free_name(df, "_bits")
+    place = f"pmod(xxhash64(`{key}`), {1 << 23})"
+    bits = ids.select(F.expr(f"bitmap_bucket_number({place})").alias(bucket), F.expr(f"bitmap_bit_position({place})").alias("_bit"))
+    bits = bits.groupBy(bucket).agg(F.bitmap_construct_agg("_bit").alias(held))
+    at = f"bitmap_bit_position({place})"
+    there = F.expr(f"((cast(conv(hex(substring(`{held}`, cast({at} div 8 as int) + 1, 1)), 16, 10) as int) >> cast({at} % 8 as int)) & 1) = 1")
+    found = df.withColumn(bucket, F.expr(f"bitmap_bucket_number({place})")).join(F.broadcast(bits), bucket, "left")
+    return found.withColumn(out, F.coalesce(there, F.lit(False))).select(*df.columns, out)
+
+
 def hot_rank(df: DataFrame, keys: list[str], n: str, order: list[str], salt: str, out: str) -> DataFrame:
     """Rank rows from 0 within keys, where a key may hold any share of the rows.
 
