@@ -127,7 +127,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     chosen = hash_sample(known, "_k", fit_rows, 11)
     # chosen has about fit_rows rows, so that it can be broadcast whatever the input's size
     rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_k").orderBy(F.xxhash64("_k", F.lit(11)), "_k", "_y", F.xxhash64("_t")).limit(fit_rows)
-    found = examples_of(rows).orderBy(F.xxhash64("packed"), "label").collect()  # an order that does not depend on how rows came
+    found = sorted(examples_of(rows).collect(), key=lambda r: (r["packed"], r["label"]))  # an order that does not depend on how rows came
     cut = [len(r["packed"]) // 2 for r in found]
     return fit([(np.frombuffer(r["packed"], np.uint32, n // 4), np.frombuffer(r["packed"], np.float32, n // 4, n)) for r, n in zip(found, cut, strict=True)], [r["label"] for r in found])
 
