@@ -139,11 +139,11 @@ def test_all_training_documents_teach(spark):
     ids, first = lm.word_ids(data, offsets, of)
     counts, known = np.bincount(ids, minlength=nn.VOCAB), np.unique(ids)
     assert (lm._ids_counts(chunks_of(spark, rows)) == counts).all()
-    few, all_ = (lm.learn(chunks_of(spark, r), counts, every=1, shard=1500, rounds=2) for r in (rows[:60], rows))
+    few, all_ = (lm.learn(chunks_of(spark, r), counts, shard=1500, rounds=2) for r in (rows[:60], rows))
     assert (all_.class_of[known] != nn.UNSEEN).all() and (np.delete(all_.class_of, known) == nn.UNSEEN).all()
     before, after = (nn.score(m, ids, first, nn.shares(m.class_of, counts)).sum() for m in (few, all_))
     assert after > before
-    again = lm.learn(chunks_of(spark, rows, 5), counts, every=1, shard=1500, rounds=2)
+    again = lm.learn(chunks_of(spark, rows, 5), counts, shard=1500, rounds=2)
     assert all(np.allclose(again.parts[k], all_.parts[k], atol=1e-4) for k in again.parts)
 
 

@@ -39,12 +39,14 @@ def many_windows(sizes: np.ndarray) -> np.ndarray:
     return -(-sizes // STRIDE)
 
 
-def windows(first: np.ndarray) -> np.ndarray:
-    """For texts at first[i]:first[i + 1] the places of each window's ids (-1: none); the last STRIDE are scored."""
+def windows(first: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
+    """For texts at first[i]:first[i + 1] the places of each (or each chosen) window's ids (-1: none); the last STRIDE are scored."""
     sizes = np.diff(first)
     many = many_windows(sizes)
     text = np.repeat(np.arange(len(sizes)), many)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+    if chosen is not None:
+        text, nth = text[chosen], nth[chosen]
     at = nth[:, None] * STRIDE - LEAD + np.arange(WINDOW)
     return np.where((at >= 0) & (at < sizes[text][:, None]), at + first[text][:, None], -1)
 
@@ -215,14 +217,12 @@ def classes(counts: np.ndarray, cells: np.ndarray, often: np.ndarray, seed: int
 
 def sequences(ids: np.ndarray, first: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
     """Windows as rows of 16-bit numbers: the ids before each place, and the last place's own id."""
-    places = windows(first)
-    if chosen is not None:
-        places = places[chosen]
+    places, before = windows(first, chosen), befores(ids, first)
     out = np.full((len(places), WINDOW + 1), _OUTSIDE, np.uint16)
     if len(places):
-        out[:, :-1] = np.where(places >= 0, befores(ids, first)[places], _OUTSIDE)
+        out[:, :-1] = np.where(places >= 0, before[places], _OUTSIDE)
         out[:, 1:] = np.where(places >= 0, ids[places], _OUTSIDE)
-        out[:, LEAD] = befores(ids, first)[places[:, LEAD]]
+        out[:, LEAD] = before[places[:, LEAD]]
     return out
 
 
@@ -287,7 +287,7 @@ def fit(model: Model, rows: np.ndarray, picks: Iterable[np.ndarray], steps: int,
             m += 0.1 * (gr - m)
             s += 0.01 * (gr * gr - s)
             p[name] -= (now * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-        order = np.argsort(into, None, kind="stable")
+        order = np.argsort(into.astype(np.uint16), None, kind="stable")
         ordered = into.ravel()[order]
         begin = np.flatnonzero(np.diff(ordered, prepend=-1))
         own = ordered[begin]

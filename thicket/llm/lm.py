@@ -4,9 +4,9 @@ Texts are lower-cased (A-Z) and cut into words; an end follows the last word. Th
 score is the add-one unigram score with counts over all training documents. The model's
 score is the log10 probability of the subword ids of " word" for each word and of the end,
 by attention.py: ids' counts, shares and classes come from all training documents, and its
-parameters from every EVERY-th window of all of them, in shards whose number grows with
-the input; in each of ROUNDS rounds shards fit the same parameters, which are then
-averaged, an id's embedding by how often a shard uses it.
+parameters from every window of all of them, each once, in shards whose number grows with
+the input; in each of ROUNDS rounds shards fit the same parameters, on windows of that
+round, which are then averaged, an id's embedding by how often a shard uses it.
 
 Texts are encoded once, into chunks of about CHUNK ids that later steps read. Words are
 told apart by their ids. To count them, a chunk sends its distinct words, once each, to
@@ -36,8 +36,8 @@ from . import text as tx
 from . import tokens
 from .shared import checkpoint, fold
 
-#: Of the windows of all training documents one in EVERY is learnt from, in shards of about SHARD, in so many rounds of at least STEPS batches.
-EVERY, SHARD, ROUNDS, STEPS, BATCH, RATE = 8, 40_000, 4, 150, 80, 0.03
+#: Windows are learnt from in shards of about SHARD, each in one of so many rounds, of at least STEPS batches.
+SHARD, ROUNDS, STEPS, BATCH, RATE = 160_000, 4, 150, 80, 0.03
 #: Ids of a chunk, about, and entries of distinct words that a range of hashes holds.
 CHUNK, RANGE = 1_000_000, 2_000_000
 #: Parts of tables that are added up apart, and groups in which they are added up first.
@@ -167,43 +167,57 @@ def _ids_counts(chunks: DataFrame) -> np.ndarray:
     return out
 
 
-_LEARNT = "kind int, part int, salt int, packed binary"
-
-
 def _merged(cells: list[np.ndarray], often: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     found, at = np.unique(np.concatenate(cells), return_inverse=True)
     return found, np.bincount(at, np.concatenate(often), len(found)).astype(np.int64)
 
 
-def _lessons(chunks: DataFrame, column: np.ndarray, shards: int, every: int) -> DataFrame:
-    """Kinds: 0 counts of ids after frequent ids, by piece, 1 windows, by shard; all of training documents."""
+def _cells(chunks: DataFrame, column: np.ndarray) -> DataFrame:
+    """Counts of ids after frequent ids in training documents, by piece."""
 
     def run(batches: Batches) -> Batches:
-        part = TaskContext.get().partitionId()
-        cells, often = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        rows, places, waiting = [], [], 0
+        cells, often = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for row in chunk_rows(batches):
+            ids, first, train = opened(row)
+            ids, first = _taught(ids, first, train)
+            c, n = nn.contexts(ids, first, column)
+            cells, often = _merged([cells, c], [often, n])
+        piece = cells // nn.COLUMNS % PIECES
+        own = np.unique(piece)
+        packed = [cells[piece == p].tobytes() + often[piece == p].tobytes() for p in own]
+        salt = TaskContext.get().partitionId() % SALTS
+        yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([salt] * len(own), pa.int32()), pa.array(packed, pa.binary())], names=["part", "salt", "packed"])
+
+    return chunks.select("train", "sizes", "ids").mapInArrow(tx.giving_back(run), "part int, salt int, packed binary")
+
+
+def _taught(ids: np.ndarray, first: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the training texts alone, and where each of these begins."""
+    sizes = np.diff(first)
+    return ids[np.repeat(train, sizes)], np.concatenate([[0], np.cumsum(sizes[train])])
 
-        def sent(kind: int, parts: list[int], packed: list[bytes]) -> pa.RecordBatch:
-            n = len(parts)
-            return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), pa.array(parts, pa.int32()), pa.array([part % SALTS] * n, pa.int32()), pa.array(packed, pa.binary())], names=["kind", "part", "salt", "packed"])
+
+def _lessons(chunks: DataFrame, shards: int, nth: int, rounds: int) -> DataFrame:
+    """Windows of a round, by shard. Each window of the training documents has its round and its shard by a hash of text, key and place."""
+
+    def run(batches: Batches) -> Batches:
+        rows, places, waiting = [], [], 0
 
         def flush() -> pa.RecordBatch:
             all_rows, shard = np.concatenate(rows), np.concatenate(places)
-            own = np.unique(shard)
-            return sent(1, own.tolist(), [all_rows[shard == s].tobytes() for s in own])
+            order = np.argsort(shard, kind="stable")
+            own, begin = np.unique(shard[order], return_index=True)
+            packed = [x.tobytes() for x in np.split(all_rows[order], begin[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(packed, pa.binary())], names=["shard", "packed"])
 
         for row in chunk_rows(batches):
             ids, first, train = opened(row)
-            ids, sizes = ids[np.repeat(train, np.diff(first))], np.diff(first)[train]
-            first = np.concatenate([[0], np.cumsum(sizes)])
-            c, n = nn.contexts(ids, first, column)
-            c, n = _merged([*cells, c], [*often, n])
-            cells, often = [c], [n]
-            many = nn.many_windows(sizes)
-            nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            ids, first = _taught(ids, first, train)
+            many = nn.many_windows(np.diff(first))
+            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             seeds = np.array(row["seeds"], np.int64).view(np.uint64)[train]
-            h = tx.mix(np.repeat(seeds, many) + nth.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
-            chosen = np.flatnonzero(h % np.uint64(every) == 0)
+            h = tx.mix(np.repeat(seeds, many) + place.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+            chosen = np.flatnonzero(h % np.uint64(rounds) == nth)
             rows.append(nn.sequences(ids, first, chosen))
             places.append(_split(h[chosen], shards).astype(np.int64))
             waiting += len(chosen)
@@ -212,13 +226,8 @@ def _lessons(chunks: DataFrame, column: np.ndarray, shards: int, every: int) ->
                 rows, places, waiting = [], [], 0
         if waiting:
             yield flush()
-        c, n = _merged(cells, often)
-        piece = c // nn.COLUMNS % PIECES
-        own = np.unique(piece)
-        if len(own):
-            yield sent(0, own.tolist(), [c[piece == p].tobytes() + n[piece == p].tobytes() for p in own])
 
-    return chunks.select("seeds", "train", "sizes", "ids").mapInArrow(tx.giving_back(run), _LEARNT)
+    return chunks.select("seeds", "train", "sizes", "ids").mapInArrow(tx.giving_back(run), "shard int, packed binary")
 
 
 def _summed(df: DataFrame, add: Callable[[list[bytes]], bytes]) -> dict[int, bytes]:
@@ -247,33 +256,32 @@ def _add_changes(packed: list[bytes]) -> bytes:
     return width.to_bytes(8, "little") + sums.tobytes()
 
 
-def _round(model: nn.Model, lessons: DataFrame, nth: int, rounds: int, salts: int) -> None:
-    """Fit the model on one part of each shard's windows, and take the average over shards."""
+def _round(model: nn.Model, lessons: DataFrame, nth: int, rounds: int, shards: int) -> None:
+    """Fit the model on each shard's windows of a round, and take the average over shards."""
     names = [k for k in model.parts if k != "embed"]
 
-    def run(batches: Batches) -> Batches:
-        for given in batches:
-            for shard, raw in zip(given.column(0).to_pylist(), given.column(1), strict=True):
-                rows = np.frombuffer(raw.as_buffer(), np.uint16).reshape(-1, nn.WINDOW + 1)
-                rng = np.random.default_rng([shard, nth])
-                order = np.random.default_rng(shard).permutation(len(rows))[nth::rounds]
-                if not len(order):
-                    order = np.arange(len(rows))
-                steps = max(STEPS, -(-len(order) // BATCH))
-                # few windows are gone through several times
-                order = np.concatenate([rng.permutation(order) for _ in range(-(-steps * BATCH // len(order)))])[: steps * BATCH]
-                own = nn.Model({k: v.copy() for k, v in model.parts.items()}, model.class_of, model.unseen, model.squares.copy())
-                used = nn.fit(own, rows, np.array_split(order, steps), steps, RATE * (1 - nth / rounds))
-                ids = np.flatnonzero(used)
-                n = used[ids, None].astype(np.float64)
-                change = np.hstack([ids[:, None], n, n * (own.parts["embed"][ids] - model.parts["embed"][ids]), n * (own.squares[ids] - model.squares[ids])])
-                whole = np.concatenate([(own.parts[k] - model.parts[k]).ravel() for k in names]).astype(np.float64)
-                whole = np.stack([np.arange(len(whole)), np.full(len(whole), len(order)), whole * len(order)], 1)
-                parts = [(-1, whole), *((p, change[ids % PIECES == p]) for p in range(PIECES))]
-                parts = [(p, x.shape[1].to_bytes(8, "little") + x.tobytes()) for p, x in parts if len(x)]
-                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in parts], pa.int32()), pa.array([shard % salts] * len(parts), pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["part", "salt", "packed"])
-
-    for part, raw in _summed(lessons.mapInArrow(tx.giving_back(run), "part int, salt int, packed binary"), _add_changes).items():
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        shard = int(part["shard"].iloc[0])
+        rows = np.concatenate([np.frombuffer(raw, np.uint16).reshape(-1, nn.WINDOW + 1) for raw in part["packed"]])
+        rows = rows[np.lexsort(rows.T)]  # an order that does not depend on how rows came
+        rng = np.random.default_rng([shard, nth])
+        steps = max(STEPS, -(-len(rows) // BATCH))
+        # few windows are gone through several times
+        order = np.concatenate([rng.permutation(len(rows)) for _ in range(-(-steps * BATCH // len(rows)))])
+        order = order[: max(len(rows), STEPS * BATCH)]
+        own = nn.Model({k: v.copy() for k, v in model.parts.items()}, model.class_of, model.unseen, model.squares.copy())
+        used = nn.fit(own, rows, np.array_split(order, steps), steps, RATE * (1 - nth / rounds))
+        ids = np.flatnonzero(used)
+        n = used[ids, None].astype(np.float64)
+        change = np.hstack([ids[:, None], n, n * (own.parts["embed"][ids] - model.parts["embed"][ids]), n * (own.squares[ids] - model.squares[ids])])
+        whole = np.concatenate([(own.parts[k] - model.parts[k]).ravel() for k in names]).astype(np.float64)
+        whole = np.stack([np.arange(len(whole)), np.full(len(whole), len(rows)), whole * len(rows)], 1)
+        parts = [(-1, whole), *((p, change[ids % PIECES == p]) for p in range(PIECES))]
+        parts = [(p, x.shape[1].to_bytes(8, "little") + x.tobytes()) for p, x in parts if len(x)]
+        return pd.DataFrame({"part": [p for p, _ in parts], "salt": shard % max(1, round(shards**0.5)), "packed": [x for _, x in parts]})
+
+    changes = lessons.repartition(shards, "shard").groupBy("shard").applyInPandas(run, "part int, salt int, packed binary")
+    for part, raw in _summed(changes, _add_changes).items():
         rows = np.frombuffer(raw, np.float64, -1, 8).reshape(-1, int.from_bytes(raw[:8], "little"))
         mean = (rows[:, 2:] / rows[:, 1:2]).astype(np.float32)
         if part >= 0:
@@ -288,26 +296,14 @@ def _round(model: nn.Model, lessons: DataFrame, nth: int, rounds: int, salts: in
             at += size
 
 
-def learn(chunks: DataFrame, n_ids: np.ndarray, every: int = EVERY, shard: int = SHARD, rounds: int = ROUNDS) -> nn.Model:
+def learn(chunks: DataFrame, n_ids: np.ndarray, shard: int = SHARD, rounds: int = ROUNDS) -> nn.Model:
     """The attention model of all training documents, whose ids' counts are n_ids."""
-    windows = int(n_ids.sum()) / nn.STRIDE
-    every = min(every, max(1, int(windows / shard)))  # tables that give less than a shard are learnt from whole
-    shards = max(1, round(windows / every / shard))
-    found = checkpoint(_lessons(chunks, nn.columns(n_ids), shards, every))
-    cells = [np.frombuffer(raw, np.int64).reshape(2, -1) for raw in _summed(found.filter("kind = 0").drop("kind"), _add_cells).values()]
+    shards = max(1, round(int(n_ids.sum()) / nn.STRIDE / shard))
+    cells = [np.frombuffer(raw, np.int64).reshape(2, -1) for raw in _summed(_cells(chunks, nn.columns(n_ids)), _add_cells).values()]
     class_of = nn.classes(n_ids, *(np.concatenate([np.zeros(0, np.int64), *(c[i] for c in cells)]) for i in (0, 1)))
     model = nn.start(class_of, n_ids)
-
-    def gather(part: pd.DataFrame) -> pd.DataFrame:
-        windows = np.concatenate([np.frombuffer(raw, np.uint16).reshape(-1, nn.WINDOW + 1) for raw in part["packed"]])
-        # an order that does not depend on how rows came
-        windows = windows[np.lexsort(windows.T)]
-        return pd.DataFrame({"shard": part["part"].iloc[:1], "packed": [windows.tobytes()]})
-
-    gathered = found.filter("kind = 1").repartition(shards, "part").groupBy("part").applyInPandas(gather, "shard int, packed binary")
-    lessons = checkpoint(gathered)
     for nth in range(rounds):
-        _round(model, lessons, nth, rounds, max(1, round(shards**0.5)))
+        _round(model, _lessons(chunks, shards, nth, rounds), nth, rounds, shards)
     return model
 
 
