@@ -43,6 +43,12 @@ def year_pairs(counts: DataFrame, newest_first: bool = False) -> DataFrame:
     return counts.groupBy("sci").agg(F.sort_array(F.collect_list(F.struct("y", "n")), asc=not newest_first).alias("year_counts"))
 
 
+def point_years(points: str) -> Column:
+    """An array of (y, n), newest first, of the years of a sample's points, of which a species has some hundreds at most."""
+    years = F.array_distinct(F.filter(F.transform(points, lambda p: p["y"]), lambda y: y.isNotNull()))
+    return F.transform(F.sort_array(years, asc=False), lambda y: F.struct(y.alias("y"), F.size(F.filter(points, lambda p: p["y"] == y)).cast("bigint").alias("n")))
+
+
 def cell_counts(df: DataFrame, precision: int = 5) -> DataFrame:
     """sci, cell, n."""
     return with_cell(df, precision).groupBy("sci", "cell").agg(F.count(F.lit(1)).alias("n"))

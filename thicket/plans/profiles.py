@@ -64,19 +64,17 @@ def dense(df: DataFrame, c: Config = Config(top_n=50), names: DataFrame | None =
 
 
 def sparse(df: DataFrame, c: Config = Config(), names: DataFrame | None = None, images: DataFrame | None = None, year_on: str | None = "year") -> DataFrame:
-    """One row for each name of the whitelist, or for each of the most frequent species, aggregates over the sample of newest rows."""
+    """One row for each name of the whitelist, or for each of the most frequent species, aggregates over the sample of newest rows.
+
+    Rows are read once for totals and taxon keys and once for the sample (and before, to choose species where no names are given).
+    """
     rows = _filtered(df, c, year_on)
-    if names is not None:
-        chosen = select.first_names(names, c.top_n).select("sci")
-        chosen = chosen.join(select.totals(select.whitelist(rows, chosen)), "sci", "left").select("sci", F.coalesce("n", F.lit(0)).alias("total"))
-    else:
-        chosen = select.top_species(rows, c.top_n).withColumnRenamed("n", "total")
+    chosen = (select.first_names(names, c.top_n) if names is not None else select.top_species(rows, c.top_n)).select("sci")
     rows = select.whitelist(rows, chosen)
-    sample = sampling.sparse_sample(rows, c.precision, c.keep_per_cell, c.max_points)
-    kept = aggregate.kept_aggregates(sample)
-    years = aggregate.year_pairs(aggregate.year_counts(sample), newest_first=True)
-    taxa = rows.groupBy("sci").agg(aggregate.taxon_key().alias("taxonKey"))
-    out = chosen.join(kept, "sci", "left").join(years, "sci", "left").join(taxa, "sci", "left")
+    whole = rows.groupBy("sci").agg(F.count(F.lit(1)).alias("total"), aggregate.taxon_key().alias("taxonKey"))
+    kept = aggregate.kept_aggregates(sampling.sparse_sample(rows, c.precision, c.keep_per_cell, c.max_points))
+    kept = kept.withColumn("year_counts", aggregate.point_years("points"))
+    out = chosen.join(kept, "sci", "left").join(whole, "sci", "left").withColumn("total", F.coalesce("total", F.lit(0)))
     out = attach_images(attach_names(out, names), images)
     zeros = F.array_repeat(F.lit(0).cast("bigint"), 12)
     return out.select(

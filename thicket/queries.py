@@ -447,9 +447,9 @@ def quotas_balanced(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT sci, cell, slot, gbifID FROM st")
 def strat_sample(spark: SparkSession, d: str) -> DataFrame:
-    celled = aggregate.with_cell(_rows(spark, d))
-    quotas = sampling.balanced_quotas(sampling.cell_quotas(aggregate.cell_counts(_rows(spark, d)), **QUOTA), **QUOTA)
-    return sampling.reservoir(celled, quotas).select("sci", "cell", "slot", "gbifID")
+    rows = files.stored(_rows(spark, d).select("gbifID", "sci", "lat", "lon", "y", "m"))
+    quotas = sampling.balanced_quotas(sampling.cell_quotas(aggregate.cell_counts(rows), **QUOTA), **QUOTA)
+    return sampling.reservoir(aggregate.with_cell(rows), quotas).select("sci", "cell", "slot", "gbifID")
 
 
 @query("SELECT sci, rank, gbifID, lat, lon, y, m FROM strat")

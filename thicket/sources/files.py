@@ -28,6 +28,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/thicket-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows from a table written in the scratch folder, for rows that are dear to make and read more than once."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
