@@ -14,10 +14,12 @@ RANK_CELL = 1000
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder that the cluster names in spark.checkpoint.dir.
 
-    A folder of our own is set only where the session has none, as in tests.
+    A folder of our own is set only where the session has none, as in tests; on a cluster that is an error.
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
