@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and their SQL: thin wrappers that apply the operators to whole tables."""
+"""The queries op1 to op13 and their SQL: thin wrappers that apply the operators to whole tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, langid, lm, media, mixing, neardup, packing, pii, quality
+from thicket.sources.files import scratch
+
+from . import audit, chat, counts, jaccard, langid, lm, media, mixing, neardup, packing, pii, quality, search
 from .shared import fold, small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +78,20 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Begins with an empty cache, so that a run is the work of all distinct texts."""
+    return counts.count_tokens(table(spark, sf_dir, "documents"), scratch(spark)).withColumnRenamed("_key", "doc_id")
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"_item": "item_id", "_key": "doc_id"})
+
+
 def _batched(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +101,7 @@ def _batched(query: Query) -> Query:
     return run
 
 
-_ALL = [op1_quality, op2_pii, op3_chat, op4_langid, op5_mixing, op6_jaccard, op7_media, op8_packing, op9_lm, op10_neardup]
+_ALL = [op1_quality, op2_pii, op3_chat, op4_langid, op5_mixing, op6_jaccard, op7_media, op8_packing, op9_lm, op10_neardup, op11_filter_audit, op12_token_counts, op13_search]
 QUERIES: dict[str, Query] = {f.__name__: _batched(f) for f in _ALL}
 
 _OP3 = r"""
@@ -140,4 +156,55 @@ SELECT vec_id, (SELECT count(*) FROM e WHERE e.a = m.vec_id)::BIGINT AS n_links,
 FROM (SELECT vec_id, min(c) AS c FROM r GROUP BY vec_id) m
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_chat": _OP3, "op6_jaccard": _OP6, "op10_neardup": _OP10}
+_OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), l AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM d LEFT JOIN l USING (doc_id)
+), g AS (
+  SELECT part, good, toxic, mask, count(*) AS n FROM f GROUP BY ALL
+), c AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS b
+), p AS (
+  SELECT v.c || w.c || x.c || y.c || z.c AS o FROM c v, c w, c x, c y, c z WHERE v.b | w.b | x.b | y.b | z.b = 31
+), s AS (
+  SELECT o AS filter_order, step::INT AS step, c, b, coalesce((SELECT sum(e.b) FROM c e WHERE strpos(substr(o, 1, step - 1), e.c) > 0), 0)::INT AS before
+  FROM p, (SELECT unnest(range(1, 6)) AS step) JOIN c ON c.c = substr(o, step, 1)
+), r AS (
+  SELECT part, filter_order, step, c, sum(CASE WHEN mask & (before | b) = 0 THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN mask & before = 0 AND mask & b > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN mask & before > 0 AND mask & b > 0 THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN mask = b THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & b > 0 AND good THEN n ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN mask & before = 0 AND mask & b > 0 AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM g, s GROUP BY ALL
+)
+SELECT * EXCLUDE (c), (sum(removed) OVER (PARTITION BY part, c))::BIGINT AS shapley FROM r
+"""
+
+_OP13 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), n AS (
+  SELECT doc_id, len(t) AS n FROM d WHERE len(t) > 0
+), g AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n
+), m AS (
+  SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM n, g
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, g GROUP BY term, docs
+), q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+), s AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_chat": _OP3, "op6_jaccard": _OP6, "op10_neardup": _OP10, "op11_filter_audit": _OP11, "op13_search": _OP13}
