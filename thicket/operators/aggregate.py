@@ -62,6 +62,42 @@ def with_cell(df: DataFrame, precision: int = 5) -> DataFrame:
     return df.withColumn("cell", F.when(there, fn.geohash_digits(F.col("_x"), F.col("_y"), precision))).drop("_x", "_y")
 
 
+def grain(df: DataFrame, precision: int = 5) -> DataFrame:
+    """One row for each species, cell, year and month, with counts and extremes from which all aggregates of a dense profile follow.
+
+    sci, cell, y, m, n, lo, hi (the range of identifiers' places), min_lat, max_lat, min_lon, max_lon, first_id, taxon
+    (the least identifier with a taxon key, and that key). All are numbers, so that rows are combined before the shuffle.
+    """
+    place = fn.place_of(F.col("gbifID"))
+    keyed = F.when(F.col("taxonKey").isNotNull(), F.col("gbifID"))
+    return with_cell(df, precision).groupBy("sci", "cell", "y", "m").agg(
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi"), F.min("lat").alias("min_lat"), F.max("lat").alias("max_lat"), F.min("lon").alias("min_lon"),
+        F.max("lon").alias("max_lon"), F.min(keyed).alias("first_id"), F.min_by("taxonKey", keyed).alias("taxon"),
+    )
+
+
+def grain_totals(grain: DataFrame) -> DataFrame:
+    """sci, n."""
+    return grain.groupBy("sci").agg(F.sum("n").alias("n"))
+
+
+def grain_cells(grain: DataFrame) -> DataFrame:
+    """sci, cell, n, lo, hi."""
+    return grain.groupBy("sci", "cell").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+
+
+def grain_years(grain: DataFrame) -> DataFrame:
+    """sci, y, n; rows without a year don't count."""
+    return grain.filter("y IS NOT NULL").groupBy("sci", "y").agg(F.sum("n").alias("n"))
+
+
+def grain_aggregates(grain: DataFrame) -> DataFrame:
+    """sci, total, month_counts_all, last, bbox, taxonKey, as full_aggregates has them."""
+    months = F.array(*[F.coalesce(F.sum(F.when(F.col("m") == k, F.col("n"))), F.lit(0)).cast("bigint") for k in range(1, 13)])
+    box = F.array(F.min("min_lat"), F.max("max_lat"), F.min("min_lon"), F.max("max_lon"))
+    return grain.groupBy("sci").agg(F.sum("n").alias("total"), months.alias("month_counts_all"), last_obs_full().alias("last"), box.alias("bbox"), F.min_by("taxon", "first_id").alias("taxonKey"))
+
+
 def full_aggregates(df: DataFrame) -> DataFrame:
     """sci, total, month_counts_all, last, bbox, taxonKey over all rows."""
     return df.groupBy("sci").agg(F.count(F.lit(1)).alias("total"), month_counts().alias("month_counts_all"), last_obs_full().alias("last"), bbox().alias("bbox"), taxon_key().alias("taxonKey"))

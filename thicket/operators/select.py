@@ -37,7 +37,11 @@ def year_filter_for(columns: list[str], dense: bool = True) -> str | None:
 
 def top_species(df: DataFrame, n: int) -> DataFrame:
     """sci, n of the most frequent species, ties by name. A missing or empty name uses up a place and is dropped afterwards."""
-    counts = df.groupBy("sci").agg(F.count(F.lit(1)).alias("n"))
+    return most_frequent(totals(df), n)
+
+
+def most_frequent(counts: DataFrame, n: int) -> DataFrame:
+    """top_species of counts: sci, n."""
     return counts.orderBy(F.desc("n"), F.col("sci").asc_nulls_first()).limit(n).filter("sci <> ''")
 
 

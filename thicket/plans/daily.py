@@ -37,7 +37,7 @@ def update(store: Store, delta: DataFrame, names: DataFrame, matches: DataFrame,
     made.write.mode("overwrite").parquet(f"{out}/profiles")
     made = spark.read.parquet(f"{out}/profiles")
     meta = {"country": config.country, "year_from": config.year_from, "year_to": config.year_to}
-    files.write_document(profiles.envelope(made, config, meta), f"{out}/occurrences.json", gzip=True)
+    files.write_document(profiles.envelope(made, config, meta, scanned=True), f"{out}/occurrences.json", gzip=True)
     store.note(since=today)
     exported = files.read_document(spark, f"{out}/occurrences.json")
     if stats_enabled:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from thicket.functions import scalars as fn
 from thicket.operators import aggregate, sampling, select
+from thicket.sources.files import checkpoint
 
 
 @dataclass(frozen=True)
@@ -51,12 +52,17 @@ def attach_images(df: DataFrame, images: DataFrame | None) -> DataFrame:
 
 
 def dense(df: DataFrame, c: Config = Config(top_n=50), names: DataFrame | None = None, images: DataFrame | None = None, year_on: str = "year") -> DataFrame:
-    """One row for each of the most frequent species, aggregates over all of its rows, and a quota sample of points."""
+    """One row for each of the most frequent species, aggregates over all of its rows, and a quota sample of points.
+
+    Rows are read once for the grain, of which totals, histograms, boxes and cell counts are sums, and once for points
+    (and once more if a cell is so large that its rows are ranked in parts).
+    """
     rows = _filtered(df, c, year_on)
-    chosen = select.whitelist(rows, select.top_species(rows, c.top_n))
-    whole = aggregate.full_aggregates(chosen)
-    years = aggregate.year_pairs(aggregate.year_counts(chosen))
-    sample = sampling.stratified_sample(chosen, c.precision, c.points, c.min_per_cell, c.max_per_cell)
+    grain = checkpoint(aggregate.grain(rows, c.precision))
+    grain = select.whitelist(grain, select.most_frequent(aggregate.grain_totals(grain), c.top_n))
+    whole, years = aggregate.grain_aggregates(grain), aggregate.year_pairs(aggregate.grain_years(grain))
+    sample = sampling.quota_sample(aggregate.with_cell(rows, c.precision), aggregate.grain_cells(grain), c.points, c.min_per_cell, c.max_per_cell)
+    sample = sampling.cut_to_target(sample, c.points)
     points = sample.groupBy("sci").agg(F.sort_array(F.collect_list(F.struct("rank", "lat", "lon", "y", fn.valid_month(F.col("m")).alias("m")))).alias("points"))
     out = whole.join(years, "sci", "left").join(points, "sci", "left")
     out = attach_images(attach_names(out, names), images)
@@ -83,8 +89,8 @@ def sparse(df: DataFrame, c: Config = Config(), names: DataFrame | None = None,
     )
 
 
-def profile_json(profiles: DataFrame) -> DataFrame:
-    """sci, profile: each profile as compact JSON text, one row for each species, which is the output at scale.
+def profile_json(profiles: DataFrame, *others: str) -> DataFrame:
+    """sci, profile (and other columns): each profile as compact JSON text, one row for each species, which is the output at scale.
 
     Points mix reals, whole numbers and nulls, so they are arrays of variants. image is there only if there is one.
     """
@@ -100,18 +106,22 @@ def profile_json(profiles: DataFrame) -> DataFrame:
     options = {"ignoreNullFields": "false"}
     plain = F.to_json(F.struct(*fields), options)
     pictured = F.to_json(F.struct(*fields, F.parse_json("image").alias("image")), options)
-    return profiles.select("sci", F.when(F.col("image").isNull(), plain).otherwise(pictured).alias("profile"))
+    return profiles.select("sci", F.when(F.col("image").isNull(), plain).otherwise(pictured).alias("profile"), *others)
 
 
-def envelope(profiles: DataFrame, c: Config, meta: dict, dense_form: bool = False) -> DataFrame:
-    """One row: value, the whole document as JSON text. An export of hundreds of species; profile_json is the form for more."""
+def envelope(profiles: DataFrame, c: Config, meta: dict, dense_form: bool = False, scanned: bool = False) -> DataFrame:
+    """One row: value, the whole document as JSON text. An export of hundreds of species; files.write_lines is the form for more.
+
+    scanned adds scanned_rows to meta: the rows of the species, which are the sum of their totals, so that nothing is read again.
+    """
     quoted = F.to_json(F.array("sci"))
     entry = F.concat(F.substr(quoted, F.lit(2), F.length(quoted) - 2), F.lit(":"), F.col("profile"))
-    plants = profile_json(profiles).groupBy().agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("sci", entry.alias("e")))), lambda x: x["e"]), ",").alias("plants"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("sci", entry.alias("e")))), lambda x: x["e"]), ",")
+    plants = profile_json(profiles, "total").groupBy().agg(joined.alias("plants"), F.coalesce(F.sum("total"), F.lit(0)).alias("scanned_rows"))
     center = F.array(*map(F.lit, c.center)) if dense_form else F.struct(F.lit(c.center[0]).alias("lat"), F.lit(c.center[1]).alias("lon"))
     options = {"ignoreNullFields": "false"}
     region = F.to_json(F.struct(F.lit(c.region).alias("name"), center.alias("center")), options)
-    info = F.to_json(F.struct(*[F.lit(x).alias(k) for k, x in meta.items()]), options)
+    info = F.to_json(F.struct(*[F.lit(x).alias(k) for k, x in meta.items()], *["scanned_rows"] * scanned), options)
     parts = [F.lit('{"region":'), region, F.lit(',"plants":{'), F.col("plants"), F.lit('},"meta":'), info, F.lit("}")]
     if dense_form:
         parts = [F.lit('{"meta":'), info, F.lit(',"region":'), region, F.lit(',"plants":{'), F.col("plants"), F.lit("}}")]

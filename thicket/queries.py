@@ -164,6 +164,39 @@ def load_limit(spark: SparkSession, d: str) -> DataFrame:
     return files.load_limit(rows, 1000).agg(F.count(F.lit(1)).alias("n")).withColumn("unlimited", F.lit(every.first()[0]).cast("bigint"))
 
 
+def _ordered_tsv(spark: SparkSession, d: str, df: DataFrame) -> str:
+    """Rows of df in upsert order, oldest first, in several files whose names sort."""
+    return _write_tsv(df.repartitionByRange(6, "l_shipdate", "l_partkey", "l_suppkey", "gbifID").sortWithinPartitions("l_shipdate", "l_partkey", "l_suppkey", "gbifID").drop("l_shipdate", "l_partkey", "l_suppkey"))
+
+
+def _small_splits(spark: SparkSession, run: Callable[[], None]) -> None:
+    """Run a job whose files are read in splits of 256 KB."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(1 << 18))
+    try:
+        run()
+    finally:
+        spark.conf.set(name, before)
+
+
+@query("SELECT gbifID FROM raw ORDER BY l_shipdate, l_partkey, l_suppkey, gbifID LIMIT 1000")
+def load_limit_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Which rows a limit loads: the first in source order, over several files."""
+    rows = files.read_archive(spark, _ordered_tsv(spark, d, fixture.raw(spark, d)), keep_raw=False)
+    return files.load_limit(rows, 1000).select(F.col("gbifID").cast("bigint").alias("gbifID"))
+
+
+@query("SELECT gbifID, sci AS scientificName, taxonKey, lat AS decimalLatitude, lon AS decimalLongitude, y::BIGINT AS year, m::BIGINT AS month, country AS countryCode, eventDate, lastInterpreted FROM f")
+def source_order(spark: SparkSession, d: str) -> DataFrame:
+    """An upsert in the default order, that of the source: several files, each read in many splits. The last row wins."""
+    raw = fixture.raw(spark, d)
+    path = _ordered_tsv(spark, d, raw.select("gbifID", F.col("species").alias("scientificName"), "taxonKey", F.col("lat").alias("decimalLatitude"), F.col("lon").alias("decimalLongitude"), "year", "month", "countryCode", "eventDate", "lastInterpreted", "l_shipdate", "l_partkey", "l_suppkey"))
+    store = Store(spark, files.scratch(spark))
+    _small_splits(spark, lambda: store.apply(files.read_delta(spark, path)))
+    return store.read()
+
+
 @query("SELECT (row_number() OVER (ORDER BY ord) - 1)::INT AS ord, sci, de FROM names")
 def src_names(spark: SparkSession, d: str) -> DataFrame:
     path = files.scratch(spark)
@@ -250,6 +283,15 @@ def delta_predicate(spark: SparkSession, d: str) -> DataFrame:
     return select.delta_rows(_occ(spark, d), tree, keys).select("gbifID")
 
 
+@query("SELECT gbifID, country FROM f WHERE country = 'NATION_7' AND y >= 1996 AND y <= 2000 AND lastInterpreted >= '1997-03-05'")
+def delta_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The predicate on a store whose files are sorted by lastInterpreted: it goes into the scan, which passes over row groups."""
+    store = Store(spark, files.scratch(spark))
+    store.apply(fixture.raw(spark, d), order=fixture.latest())
+    tree = select.delta_tree("1997-03-05", country="NATION_7", years=(1996, 2000))
+    return select.delta_rows(normalize(store.read(), "sparse"), tree).select("gbifID", "country")
+
+
 @query("SELECT DISTINCT lastInterpreted, strftime(lastInterpreted::DATE - 2, '%Y-%m-%d') AS since FROM raw")
 def delta_since(spark: SparkSession, d: str) -> DataFrame:
     return fixture.raw(spark, d).select("lastInterpreted").distinct().withColumn("since", select.since(F.col("lastInterpreted"), 2))
@@ -291,6 +333,20 @@ def stream_delta(spark: SparkSession, d: str) -> DataFrame:
     return store.read()
 
 
+@query("""
+SELECT 0 AS version, sci AS species, count(*)::BIGINT AS n, max(y)::INT AS newest FROM
+  (SELECT * FROM raw WHERE y < 1998 QUALIFY row_number() OVER (PARTITION BY gbifID ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1) GROUP BY sci
+UNION ALL SELECT 1, sci, count(*)::BIGINT, max(y)::INT FROM occ GROUP BY sci
+""")
+def store_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Species in the snapshots before and after a replacing upsert; the older one is read after it."""
+    raw, store = fixture.raw(spark, d), Store(spark, files.scratch(spark), buckets=8)
+    for part in ("year < 1998", "year >= 1998"):
+        store.apply(raw.filter(part), order=fixture.latest())
+    of = lambda v: store.read(v).groupBy("species").agg(F.count(F.lit(1)).alias("n"), F.max("year").alias("newest")).select(F.lit(v).alias("version"), "*")
+    return of(0).unionByName(of(1))
+
+
 @query("SELECT count(*)::BIGINT AS rows, count(DISTINCT gbifID)::BIGINT AS stored FROM raw WHERE lat IS NOT NULL")
 def ingest_counts(spark: SparkSession, d: str) -> DataFrame:
     store = Store(spark, files.scratch(spark))
@@ -447,9 +503,8 @@ def quotas_balanced(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT sci, cell, slot, gbifID FROM st")
 def strat_sample(spark: SparkSession, d: str) -> DataFrame:
-    rows = files.stored(_rows(spark, d).select("gbifID", "sci", "lat", "lon", "y", "m"))
-    quotas = sampling.balanced_quotas(sampling.cell_quotas(aggregate.cell_counts(rows), **QUOTA), **QUOTA)
-    return sampling.reservoir(aggregate.with_cell(rows), quotas).select("sci", "cell", "slot", "gbifID")
+    celled = aggregate.with_cell(_rows(spark, d))
+    return sampling.quota_sample(celled, files.checkpoint(sampling.cell_spans(celled)), **QUOTA).select("sci", "cell", "slot", "gbifID")
 
 
 @query("SELECT sci, rank, gbifID, lat, lon, y, m FROM strat")
@@ -518,24 +573,43 @@ def profile_dense(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_JOINED = "(SELECT string_agg(x, ';' ORDER BY {by}) FROM (SELECT {text} AS x, {keys} FROM s WHERE s.sci = n.sci {rest}))"
+
+
+@query(f"""
+SELECT n.sci, coalesce({_JOINED.format(by="y DESC", text="y || ',' || count(*)", keys="y", rest="AND y IS NOT NULL GROUP BY y")}, '') AS years,
+       (SELECT string_agg(c::VARCHAR, ';' ORDER BY k) FROM (SELECT k, (SELECT count(*) FROM s WHERE s.sci = n.sci AND s.m = k) AS c FROM (SELECT unnest(range(1, 13)) AS k))) AS months,
+       coalesce({_JOINED.format(by="rank", text="rank || ',' || round(lat * 100)::BIGINT || ',' || round(lon * 100)::BIGINT || ',' || y || ',' || m", keys="rank", rest="")}, '') AS points,
+       coalesce((SELECT round(min(lat) * 100)::BIGINT || ',' || round(max(lat) * 100)::BIGINT || ',' || round(min(lon) * 100)::BIGINT || ',' || round(max(lon) * 100)::BIGINT FROM s WHERE s.sci = n.sci), '') AS bbox
+FROM names n
+""")
+def profile_sparse_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Every element of the nested fields of a sparse profile, as text; coordinates in hundredths."""
+    p = profiles.sparse(_occ(spark, d), CONFIG, fixture.names(spark, d))
+    whole = lambda x: F.round(x * 100).cast("bigint").cast("string")
+    text = lambda *xs: F.concat_ws(",", *[x.cast("string") for x in xs])
+    points = F.transform("points", lambda x: text(x["rank"], whole(x["lat"]), whole(x["lon"]), x["y"], x["m"]))
+    return p.select("sci", F.array_join(F.transform("year_counts", lambda x: text(x["y"], x["n"])), ";").alias("years"), F.array_join(F.transform("month_counts_all", lambda n: n.cast("string")), ";").alias("months"), F.array_join(points, ";").alias("points"), F.coalesce(F.array_join(F.transform("bbox", whole), ","), F.lit("")).alias("bbox"))
+
+
 def _sparse_json(spark: SparkSession, d: str) -> DataFrame:
     return profiles.profile_json(profiles.sparse(_occ(spark, d), CONFIG))
 
 
 def _envelope(spark: SparkSession, d: str) -> DataFrame:
-    return profiles.envelope(profiles.sparse(_occ(spark, d), CONFIG, fixture.names(spark, d)), CONFIG, {"source": "lineitem", "top_n": CONFIG.top_n})
+    return profiles.envelope(profiles.sparse(_occ(spark, d), CONFIG, fixture.names(spark, d)), CONFIG, {"source": "lineitem", "top_n": CONFIG.top_n}, scanned=True)
 
 
 @query("""
 SELECT names.sci, de, count(gbifID)::BIGINT AS total, (SELECT count(*) FROM s WHERE s.sci = names.sci)::BIGINT AS sampled_total, (SELECT min(lat) FROM s WHERE s.sci = names.sci) AS min_lat,
-       'Germany' AS region, 51.0::DOUBLE AS center_lat, 'lineitem' AS source, 250::BIGINT AS top_n
+       'Germany' AS region, 51.0::DOUBLE AS center_lat, 'lineitem' AS source, 250::BIGINT AS top_n, (SELECT count(*) FROM f WHERE sci IN (SELECT sci FROM names))::BIGINT AS scanned_rows
 FROM names LEFT JOIN f USING (sci) GROUP BY names.sci, de
 """)
 def doc_envelope(spark: SparkSession, d: str) -> DataFrame:
     """The document, read back: one row for each species, with the document's own fields."""
     whole = _envelope(spark, d)
     own = lambda path, kind: F.get_json_object("value", f"$.{path}").cast(kind)
-    fields = whole.select(own("region.name", "string").alias("region"), own("region.center.lat", "double").alias("center_lat"), own("meta.source", "string").alias("source"), own("meta.top_n", "bigint").alias("top_n"))
+    fields = whole.select(own("region.name", "string").alias("region"), own("region.center.lat", "double").alias("center_lat"), own("meta.source", "string").alias("source"), own("meta.top_n", "bigint").alias("top_n"), own("meta.scanned_rows", "bigint").alias("scanned_rows"))
     of = lambda path, kind: F.get_json_object("profile", f"$.{path}").cast(kind)
     species = files.document_species(whole).select("sci", of("de", "string").alias("de"), stats.number("total").alias("total"), stats.number("sampled_total").alias("sampled_total"), of("bbox[0]", "double").alias("min_lat"))
     return species.join(F.broadcast(fields), F.lit(True))  # fields are one row
@@ -548,6 +622,21 @@ def doc_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return back.select("sci", stats.number("total").alias("total"), F.json_array_length(F.get_json_object("profile", "$.points")).alias("points"))
 
 
+@query("""
+SELECT names.sci, de, count(gbifID)::BIGINT AS total, (SELECT count(*) FROM s WHERE s.sci = names.sci)::INT AS points, 'lineitem' AS source,
+       (SELECT count(*) FROM names)::BIGINT AS species, (SELECT count(*) FROM f WHERE sci IN (SELECT sci FROM names))::BIGINT AS scanned_rows
+FROM names LEFT JOIN f USING (sci) GROUP BY names.sci, de
+""")
+def doc_lines(spark: SparkSession, d: str) -> DataFrame:
+    """A profile a line, in several compressed files, read back with what the marker says."""
+    path = files.scratch(spark)
+    told = files.write_lines(profiles.profile_json(profiles.sparse(_occ(spark, d), CONFIG, fixture.names(spark, d))).repartition(5, "sci"), path, {"source": "lineitem"}, gzip=True)
+    assert told == files.document_info(spark, path)
+    said = [F.lit(told["source"]).alias("source"), *[F.lit(told[k]).cast("bigint").alias(k) for k in ("species", "scanned_rows")]]
+    of = lambda path, kind: F.get_json_object("profile", f"$.{path}").cast(kind)
+    return files.read_document(spark, path).select("sci", of("de", "string").alias("de"), stats.number("total").alias("total"), F.json_array_length(F.get_json_object("profile", "$.points")).alias("points"), *said)
+
+
 @query("SELECT count(DISTINCT sci)::BIGINT AS plants, count(*)::BIGINT AS sampled_points_total FROM s")
 def stats_counts(spark: SparkSession, d: str) -> DataFrame:
     return stats.counts(_sparse_json(spark, d))

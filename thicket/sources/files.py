@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from thicket.functions import scalars as fn
@@ -18,14 +19,47 @@ DELTA_COLUMNS = ["gbifID", "scientificName", "taxonKey", "decimalLatitude", "dec
 STORE_TEXTS = ["eventDate", "countryCode", "stateProvince", "basisOfRecord", "datasetKey", "license"]
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder path in the folder that driver and executors share (spark.checkpoint.dir), or in a local one where there is no cluster."""
+def _scratch_top(spark: SparkSession) -> str:
+    """The folder that driver and executors share (spark.checkpoint.dir), or a local one where there is no cluster."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir names no shared folder")
         top = tempfile.gettempdir()
-    return f"{top.rstrip('/')}/thicket-{uuid.uuid4().hex}"
+    return top.rstrip("/")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder path in the shared folder; sweep_scratch takes old ones away."""
+    return f"{_scratch_top(spark)}/thicket-{uuid.uuid4().hex}"
+
+
+def sweep_scratch(spark: SparkSession, hours: float = 24, now: float | None = None) -> list[str]:
+    """Delete scratch folders last written to more than so many hours ago, whose readers should be done; their names.
+
+    Times are the file system's, now too: that of a file that is written for it.
+    """
+    p, fs = _fs(spark, _scratch_top(spark))
+    if not fs.exists(p):
+        return []
+    if now is None:
+        clock, _ = _fs(spark, f"{_scratch_top(spark)}/thicket-clock-{uuid.uuid4().hex}")
+        fs.create(clock, True).close()
+        now = fs.getFileStatus(clock).getModificationTime() / 1000
+        fs.delete(clock, True)
+    newest = lambda s: max([s.getModificationTime(), *(x.getModificationTime() for x in fs.listStatus(s.getPath()))]) / 1000
+    old = [s.getPath() for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("thicket-") and now - newest(s) > hours * 3600]
+    for x in old:
+        fs.delete(x, True)
+    return [x.getName() for x in old]
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """The same rows, held in the folder that driver and executors share, without what they were made from."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch(spark))
+    return df.checkpoint()
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -169,15 +203,61 @@ def write_document(df: DataFrame, path: str, gzip: bool = False) -> str:
     return path
 
 
+#: The marker of a document of lines: there when all lines are. Spark's readers pass over names that begin so.
+MARKER = "_document"
+
+
+def write_lines(profiles: DataFrame, path: str, info: dict | None = None, gzip: bool = False) -> dict:
+    """sci, profile (JSON text) as one profile a line, each an object with the species as its only key, in as many files as there are partitions.
+
+    The marker is written last: info, the number of species, and scanned_rows, the sum of their totals, both counted while
+    lines are written. A folder without it is no document. Returns what the marker says.
+    """
+    seen = Observation()
+    key = F.to_json(F.array("sci"))
+    line = F.concat(F.lit("{"), F.substr(key, F.lit(2), F.length(key) - 2), F.lit(":"), F.col("profile"), F.lit("}"))
+    total = F.coalesce(F.get_json_object("profile", "$.total").try_cast("bigint"), F.lit(0))
+    counted = profiles.select(line.alias("value"), total.alias("total")).observe(seen, F.count(F.lit(1)).alias("species"), F.coalesce(F.sum("total"), F.lit(0)).alias("scanned_rows"))
+    spark = profiles.sparkSession
+    marker, fs = _fs(spark, f"{path}/{MARKER}")
+    fs.delete(marker, True)  # while lines are replaced there is no document
+    counted.select("value").write.mode("overwrite").option("compression", "gzip" if gzip else "none").text(path)
+    told = dict(info or {}) | seen.get
+    out = fs.create(marker, True)
+    out.write(bytearray(json.dumps(told, ensure_ascii=False).encode()))
+    out.close()
+    return told
+
+
+def document_info(spark: SparkSession, path: str) -> dict | None:
+    """What the marker of a document of lines says; None if there is none."""
+    p, fs = _fs(spark, f"{path}/{MARKER}")
+    if not fs.exists(p):
+        return None
+    into = fs.open(p)
+    text = bytes(into.readAllBytes()).decode()
+    into.close()
+    return json.loads(text)
+
+
 def read_document(spark: SparkSession, path: str) -> DataFrame:
-    """The species of a profile document: sci, profile (JSON text); path + ".gz" is tried if path is missing."""
+    """The species of a profile document, one object or lines: sci, profile (JSON text); path + ".gz" is tried if path is missing.
+
+    A folder that Spark has not finished writing, or lines without their marker, are an error.
+    """
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         path += ".gz"
         p, fs = _fs(spark, path)
         if not fs.exists(p):
             raise FileNotFoundError(path)
-    return document_species(spark.read.text(path, wholetext=True))
+    if document_info(spark, path) is not None:
+        entries = F.from_json("value", "map<string,string>")
+        return spark.read.text(path).select(F.explode(entries).alias("sci", "profile"))
+    texts = spark.read.text(path, wholetext=True)
+    if fs.getFileStatus(p).isDirectory() and texts.filter(F.get_json_object("value", "$.plants").isNull()).limit(1).count():
+        raise ValueError(f"{path} is no whole document, and has no {MARKER}")
+    return document_species(texts)
 
 
 def document_species(texts: DataFrame) -> DataFrame:

@@ -1,23 +1,35 @@
-"""The occurrence store: whole-row upserts and versioned snapshots."""
+"""The occurrence store: whole-row upserts into snapshots of hash buckets, with retention."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import re
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from thicket.sources.files import POSITION, _fs
 
+#: A file's place under the store's folder: the version that wrote it, its bucket, its name.
+PLACE = re.compile(r"data/v=\d+/_bucket=(\d+)/[^/]+$")
+
+
+def latest(batch: DataFrame, key: str = "gbifID", order: list | None = None) -> DataFrame:
+    """The last row of each key of a batch. order (descending) ranks rows; by default it is their place in the source."""
+    order = order or [F.col(c).desc() for c in POSITION]
+    return batch.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rank = 1").drop("_rank", *POSITION)
+
 
 def upsert(store: DataFrame | None, batch: DataFrame, key: str = "gbifID", order: list | None = None) -> DataFrame:
     """The store with rows of batch in the place of those with their key; of equal keys the last row wins, whole, NULLs included.
 
-    order (descending) ranks rows of the batch; by default it is their place in the source. Applying a batch twice changes nothing.
+    Applying a batch twice changes nothing. The Store does this with files, and ranks the batch once.
     """
-    order = order or [F.col(c).desc() for c in POSITION]
-    last = batch.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rank = 1").drop("_rank", *POSITION)
+    last = latest(batch, key, order)
     if store is None:
         return last
     # one shuffle of either side on the key; the store's rows that stay don't pass the ranking
@@ -31,51 +43,164 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 class Store:
-    """Snapshots v=0, 1, ... under a folder and a pointer file; readers see whole snapshots only.
+    """Snapshots 0, 1, ... under a folder, and a pointer file; readers see whole snapshots only.
 
-    A new snapshot is written beside the old one and the pointer moves after it is complete,
-    so a run that fails leaves the store and its state as they were.
-    """
+    A snapshot is a manifest: for each bucket (hash of the key) the files that hold it. An upsert ranks its batch once,
+    reads and writes only the buckets that the batch touches, and names the other buckets' files again. The pointer moves
+    when all is written, so a run that fails leaves the store and its state as they were. Rows of a file are sorted by
+    sort, so that readers with a predicate on those columns skip row groups.
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
+    The newest keep snapshots can be read, and older ones while a reader holds them (hold); files that no such
+    snapshot names are deleted after each commit. One writer at a time.
 
-    def state(self) -> dict:
-        for name in ("state", "state.next"):  # a run may have ended between taking the old pointer away and moving the new one
-            p, fs = _fs(self.spark, f"{self.path}/{name}")
-            if fs.exists(p):
-                return json.loads(self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()[0])
-        return {"version": -1}
+        data/v=3/_bucket=5/...  files that version 3 wrote        manifest/3  schema, buckets, files
+        staged/...              a batch that is being applied     state       the pointer, and what callers note
+        holds/2_...             readers of version 2
+    """
 
-    def read(self) -> DataFrame | None:
-        version = self.state()["version"]
-        return None if version < 0 else self.spark.read.parquet(f"{self.path}/v={version}")
+    def __init__(self, spark: SparkSession, path: str, key: str = "gbifID", buckets: int = 16, sort: tuple[str, ...] = ("lastInterpreted",), keep: int = 3, options: dict[str, str] | None = None) -> None:
+        """buckets counts for a new store only, which keeps its number. A bucket should fit a few tasks: 20,000 of them for 100 TB. options are the Parquet writer's."""
+        self.spark, self.path, self.key, self.buckets, self.sort, self.keep, self.options = spark, path.rstrip("/"), key, buckets, sort, max(1, keep), options or {}
 
     def on(self, spark: SparkSession) -> Store:
         """The same store for another session; a stream's batches have one of their own."""
-        return Store(spark, self.path)
+        return Store(spark, self.path, self.key, self.buckets, self.sort, self.keep, self.options)
 
-    def commit(self, df: DataFrame, **state: object) -> None:
-        version = self.state()["version"] + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        self.note(**state, version=version)
+    # Small files
+
+    def _load(self, name: str) -> dict | None:
+        p, fs = _fs(self.spark, f"{self.path}/{name}")
+        return json.loads(self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()[0]) if fs.exists(p) else None
+
+    def _save(self, name: str, content: dict) -> None:
+        p, fs = _fs(self.spark, f"{self.path}/{name}")
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps(content).encode()))
+        out.close()
+
+    def _drop(self, name: str) -> None:
+        p, fs = _fs(self.spark, f"{self.path}/{name}")
+        fs.delete(p, True)
+
+    def _list(self, folder: str) -> list[tuple[str, float]]:
+        """Names in a folder, and when they were written (seconds)."""
+        p, fs = _fs(self.spark, f"{self.path}/{folder}")
+        return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in fs.listStatus(p)] if fs.exists(p) else []
+
+    # Reading
+
+    def state(self) -> dict:
+        # a run may have ended between taking the old pointer away and moving the new one
+        return self._load("state") or self._load("state.next") or {"version": -1}
+
+    def versions(self) -> list[int]:
+        """Snapshots that can be read, oldest first."""
+        return sorted(int(name) for name, _ in self._list("manifest") if name.isdigit() and int(name) <= self.state()["version"])
+
+    def manifest(self, version: int | None = None) -> dict:
+        version = self.state()["version"] if version is None else version
+        return (self._load(f"manifest/{version}") if version >= 0 else None) or {"buckets": self.buckets, "schema": None, "files": {}}
+
+    def _rows(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame | None:
+        if manifest["schema"] is None:
+            return None
+        schema = StructType.fromJson(manifest["schema"])
+        files = [f for b, own in manifest["files"].items() if buckets is None or int(b) in buckets for f in own]
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in files]) if files else self.spark.createDataFrame([], schema)
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The rows of a snapshot, of the newest if none is named; None if there is none. See hold for readers that take long."""
+        if version is not None and version not in self.versions():
+            raise ValueError(f"no snapshot {version}")
+        return self._rows(self.manifest(version))
+
+    @contextmanager
+    def hold(self, version: int | None = None) -> Iterator[DataFrame | None]:
+        """The rows of a snapshot, whose files stay until the block ends, whatever is applied meanwhile."""
+        while True:
+            held = self.state()["version"] if version is None else version
+            name = f"holds/{held}_{uuid.uuid4().hex}"
+            self._save(name, {})
+            if held < 0 or held in self.versions():  # else it went before it was held
+                break
+            self._drop(name)
+            if version is not None:
+                raise ValueError(f"no snapshot {version}")
+        try:
+            yield self._rows(self.manifest(held))
+        finally:
+            self._drop(name)
+
+    # Writing
 
     def note(self, **state: object) -> None:
         """Change entries of the state; readers see the old pointer or the new one."""
-        new = json.dumps(self.state() | state)
+        self._save("state.next", self.state() | state)
         p, fs = _fs(self.spark, f"{self.path}/state.next")
-        out = fs.create(p, True)
-        out.write(bytearray(new.encode()))
-        out.close()
         target, _ = _fs(self.spark, f"{self.path}/state")
         fs.delete(target, True)
         fs.rename(p, target)
 
     def apply(self, rows: DataFrame, order: list | None = None, check: Callable[[DataFrame], None] | None = None, **state: object) -> int:
-        """Upsert rows as a new snapshot, with entries of the state; the number of rows before equal keys met."""
+        """Upsert rows as a new snapshot, with entries of the state; the number of rows before equal keys met.
+
+        check may look at the rows that are written, those of touched buckets, and fail the run.
+        """
+        old, version = self.manifest(), self.state()["version"] + 1
+        bucket = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(old["buckets"])).cast("int")
         counted, seen = observed(rows)
-        new = upsert(self.read(), counted, order=order)
-        if check:
-            check(new)
-        self.commit(new, **state)
-        return int(seen.get["rows"])
+        staged = f"staged/{version}"
+        latest(counted, self.key, order).withColumn("_bucket", bucket).write.mode("overwrite").parquet(f"{self.path}/{staged}")
+        batch = self.spark.read.parquet(f"{self.path}/{staged}")
+        touched = [r[0] for r in batch.select("_bucket").distinct().collect()]  # as many as there are buckets, at most
+        kept = self._rows(old, touched)
+        new = batch if kept is None else kept.withColumn("_bucket", bucket).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+        new = new.repartition("_bucket")  # the one shuffle of old rows: a bucket's keys meet, and are written, where it is
+        if kept is not None:
+            first = F.row_number().over(Window.partitionBy("_bucket", self.key).orderBy(F.col("_new").desc_nulls_last()))
+            new = new.withColumn("_nth", first).filter("_nth = 1").drop("_nth", "_new")
+        schema = new.drop("_bucket").schema
+        files = dict(old["files"])
+        if touched:
+            if check:
+                check(new.drop("_bucket"))
+            by = [c for c in self.sort if c in schema.names]
+            new.sortWithinPartitions("_bucket", *by).write.mode("overwrite").options(**self.options).partitionBy("_bucket").parquet(f"{self.path}/data/v={version}")
+            made: dict[str, list[str]] = {}
+            for f in self.spark.read.schema(schema).parquet(f"{self.path}/data/v={version}").inputFiles():
+                place = PLACE.search(f)
+                made.setdefault(place[1], []).append(place[0])
+            files |= made
+        self._save(f"manifest/{version}", {"buckets": old["buckets"], "schema": schema.jsonValue(), "files": files})
+        self.note(**state, version=version)
+        self._drop(staged)
+        self.expire()
+        return int(seen.get["rows"]) if touched else 0
+
+    def expire(self, held_hours: float = 24) -> list[int]:
+        """Delete snapshots before the newest keep ones that no reader holds, and files that no other names; what was deleted.
+
+        A hold older than held_hours is one of a reader that died.
+        """
+        clock = max([t for _, t in self._list("")], default=0.0)  # the file system's: the pointer has just been written
+        held = set()
+        for name, when in self._list("holds"):
+            if clock - when > held_hours * 3600:
+                self._drop(f"holds/{name}")
+            else:
+                held.add(int(name.split("_")[0]))
+        there = self.versions()
+        gone = [v for v in there[: -self.keep] if v not in held]
+        if gone:
+            named = lambda versions: {f for v in versions for own in self.manifest(v)["files"].values() for f in own}
+            stay = named(set(there) - set(gone))
+            folders = {f.split("/")[1] for f in stay}
+            lost = named(gone) - stay
+            for folder in {f.split("/")[1] for f in lost} - folders:
+                self._drop(f"data/{folder}")
+            for f in lost:
+                if f.split("/")[1] in folders:
+                    self._drop(f)
+            for v in gone:
+                self._drop(f"manifest/{v}")
+        return gone
