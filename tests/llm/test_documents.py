@@ -238,6 +238,44 @@ def test_program_is_within_its_gap():
         assert max(got.dual, float(lengths @ counts) / 1024) - 1e-6 <= got.primal <= got.dual * 1.03
 
 
+def checked(lengths, counts, room=1024):
+    """The number of sequences of a plan that holds exactly the pieces, none too long; it is never above best fit."""
+    found, held = packing.plan(lengths, counts, room), np.zeros(len(lengths), np.int64)
+    for many, config in found:
+        assert sum(a * lengths[i] for i, a in config.items()) <= room
+        for i, a in config.items():
+            held[i] += many * a
+    assert (held == counts).all()
+    assert packing.sequences(found) <= packing.sequences(packing.best_fit(lengths, counts, room))
+    return packing.sequences(found)
+
+
+@pytest.mark.parametrize("least, most, equal, allowed", [(200, 600, False, 0.005), (300, 520, True, 96_681), (250, 450, False, None), (100, 500, False, None), (150, 700, False, None)])
+def test_plan_is_close_to_its_bound(least, most, equal, allowed):
+    rng = np.random.default_rng(0)
+    lengths = np.arange(least, most + 1)
+    rng.integers(1, 200, len(lengths))
+    counts = np.full(len(lengths), 1000) if equal else rng.integers(1, 200, len(lengths))
+    got = checked(lengths, counts)
+    if allowed == 0.005:
+        assert got <= 1.005 * max(packing.weigh(lengths, counts.astype(float), 1024)[1], float(lengths @ counts) / 1024)
+    elif allowed:
+        assert got <= allowed
+
+
+def test_plan_of_small_histograms_is_never_above_best_fit():
+    rng = np.random.default_rng(6)
+    for _ in range(25):
+        lengths = np.sort(rng.choice(np.arange(1, 129), rng.integers(1, 20), replace=False))
+        checked(lengths, rng.integers(1, 12, len(lengths)), 128)
+
+
+def test_sequences_of_the_table(spark):
+    got = QUERIES["op8_packing"](spark, "/root/testdata/sf0.01")
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert got.select("sequence_id").distinct().count() <= 964
+
+
 def test_columns_named_like_outputs(spark):
     """An output takes the place of a column of its name; nulls, empty and long texts, repeated rows and empty tables have their results."""
     from thicket.llm import pii

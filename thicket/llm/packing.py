@@ -30,8 +30,12 @@ from . import text as tx
 from . import tokens
 from .shared import checkpoint, hot_rank
 
-#: Share of the dual bound that a cover may lie above it before better prices are looked for, in so many steps at most.
-GAP, STEPS = 0.002, 400
+#: Share of the dual bound that a plan may lie above it before better prices are looked for.
+GAP = 0.0005
+#: Phases of the search for prices, and steps of each: after each phase it begins anew at the best prices, with half the share a step covers.
+PHASES, STEPS = 5, 300
+#: Steps in which whole configurations are taken at these prices, at most (best fit packs the rest), and the share that a step takes.
+DIVES, DIVE = 2500, 0.3
 
 
 def knapsack(prices: np.ndarray, lengths: np.ndarray, room: int) -> tuple[np.ndarray, float]:
@@ -92,28 +96,37 @@ def cover(lengths: np.ndarray, counts: np.ndarray, room: int, base: np.ndarray,
     return Program([(often, k, dict(config)) for (k, config), often in used.items()], sum(used.values()), dual)
 
 
-def weigh(lengths: np.ndarray, counts: np.ndarray, room: int, enough: float, steps: int = STEPS, share: float = 0.1, sharpness: float = 1.0) -> tuple[np.ndarray, float]:
-    """The prices with the best dual bound by multiplicative weights, and the bound; it ends when that is enough.
+def weigh(lengths: np.ndarray, counts: np.ndarray, room: int, enough: float = np.inf, phases: int = PHASES, steps: int = STEPS, share: float = 0.3) -> tuple[np.ndarray, float]:
+    """Prices by multiplicative weights, and their dual bound; it ends when that is enough.
 
     Each step uses the dearest sequence for a share of the length in it that it covers fastest; a price falls exponentially
-    as its length is covered, by this step and all before.
+    as its length is covered, by this step and all before. A phase's prices are the average over its steps, which is what
+    converges, and the next phase begins at the best ones so far.
     """
-    covered, best, dual = np.zeros(len(lengths)), lengths / room, 0.0
-    for _ in range(steps):
-        prices = lengths / room * np.exp(sharpness * (covered.min() - covered))
-        last, value = knapsack(prices, lengths, room)
-        bound = float(prices @ counts) / value
+    best, dual = lengths / room, 0.0
+    for _ in range(phases):
+        covered, total = np.zeros(len(lengths)), np.zeros(len(lengths))
+        for _ in range(steps):
+            prices = best * np.exp(covered.min() - covered)
+            last, value = knapsack(prices, lengths, room)
+            bound = float(prices @ counts)
+            if bound / value > dual and bound / value >= enough:
+                return prices / value, bound / value
+            total += prices / bound
+            config = config_of(None, last, lengths, room)
+            at, a = np.fromiter(config, np.int64), np.fromiter(config.values(), np.float64)
+            covered[at] += a / counts[at] * (share * (counts[at] / a).min())
+        _, value = knapsack(total, lengths, room)
+        bound = float(total @ counts) / value
         if bound > dual:
-            best, dual = prices / value, bound
+            best, dual = total / value, bound
         if dual >= enough:
             break
-        config = config_of(None, last, lengths, room)
-        at, a = np.fromiter(config, np.int64), np.fromiter(config.values(), np.float64)
-        covered[at] += a / counts[at] * (share * (counts[at] / a).min())
+        share /= 2
     return best, dual
 
 
-def solve(lengths: np.ndarray, counts: np.ndarray, room: int, sharpness: float = 0.2, gap: float = GAP) -> Program:
+def solve(lengths: np.ndarray, counts: np.ndarray, room: int, sharpness: float = 0.2, gap: float = 0.002) -> Program:
     """The better of two covers, and the best dual bound.
 
     The first starts from the share of a sequence that each length takes. If it isn't within gap of its bound, better prices
@@ -128,6 +141,28 @@ def solve(lengths: np.ndarray, counts: np.ndarray, room: int, sharpness: float =
     return Program(best.used, best.primal, max(first.dual, second.dual, dual))
 
 
+def dive(lengths: np.ndarray, counts: np.ndarray, room: int, prices: np.ndarray, steps: int = DIVES, share: float = DIVE, sharpness: float = 0.5) -> list[tuple[int, dict[int, int]]]:
+    """Whole configurations at prices: each step takes the dearest one for a share of what its scarcest length has left.
+
+    The price of a length whose share left is above the mean rises exponentially, below it falls, so that lengths run
+    out together. What is left after the steps is packed best fit.
+    """
+    left, out = counts.astype(np.int64).copy(), []
+    for _ in range(steps):
+        open_ = np.flatnonzero(left)
+        if not len(open_):
+            break
+        rest = left[open_] / counts[open_]
+        now = prices[open_] * np.exp(np.clip(sharpness * (rest / rest.mean() - 1), -3, 3))
+        last, _ = knapsack(now, lengths[open_], room)
+        config = {int(open_[i]): min(a, int(left[open_[i]])) for i, a in config_of(None, last, lengths[open_], room).items()}
+        many = max(1, int(share * min(left[i] // a for i, a in config.items())))
+        for i, a in config.items():
+            left[i] -= a * many
+        out.append((many, config))
+    return out + best_fit(lengths, left, room)
+
+
 def best_fit(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int, dict[int, int]]]:
     """Best fit of whole groups of pieces, longest first: (how many sequences, {index: pieces})."""
     open_: dict[int, list[list]] = {}
@@ -160,12 +195,10 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[i
     return [(many, config) for groups in open_.values() for many, config in groups]
 
 
-def plan(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int, dict[int, int]]]:
-    """Whole configurations that hold exactly counts pieces: the rounded program, then best fit of what is left."""
-    if not len(lengths):
-        return []
+def rounded(program: Program, lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int, dict[int, int]]]:
+    """Whole configurations: the cover rounded down, then best fit of what is left."""
     left, out, carried = counts.astype(np.int64).copy(), [], np.zeros(len(lengths))
-    for often, k, config in sorted(solve(lengths, counts.astype(float), room).used, key=lambda x: -x[0]):
+    for often, k, config in sorted(program.used, key=lambda x: -x[0]):
         # what rounding takes from one configuration of a length goes to its next one
         wanted = often + carried[k] + 1e-9
         many = min(int(wanted), *(int(left[i]) // a for i, a in config.items()))
@@ -177,6 +210,23 @@ def plan(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int,
     return out + best_fit(lengths, left, room)
 
 
+def sequences(found: list[tuple[int, dict[int, int]]]) -> int:
+    return sum(many for many, _ in found)
+
+
+def plan(lengths: np.ndarray, counts: np.ndarray, room: int) -> list[tuple[int, dict[int, int]]]:
+    """Whole configurations that hold exactly counts pieces: the best of the rounded cover, best fit, and, if neither is close to the bound, a dive at better prices."""
+    if not len(lengths):
+        return []
+    program = cover(lengths, counts.astype(float), room, lengths / room, 0.2)
+    best = min(rounded(program, lengths, counts, room), best_fit(lengths, counts, room), key=sequences)
+    close = lambda dual: sequences(best) <= max(dual, float(lengths @ counts) / room) * (1 + GAP) + 1
+    if close(program.dual):
+        return best
+    prices, dual = weigh(lengths, counts.astype(float), room)
+    return best if close(dual) else min(best, dive(lengths, counts, room, prices), key=sequences)
+
+
 def pieces(docs: DataFrame, key: str, text: str, room: int, end_id: int, path: str, with_ids: bool = False) -> DataFrame:
     """key, piece, start, length, ids_crc32 (of little-endian unsigned 32-bit ids), _salt; and ids (array) if asked for."""
     kind = docs.schema[key].dataType.simpleString()
