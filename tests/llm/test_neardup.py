@@ -1,6 +1,7 @@
 """Near-duplicate vectors against all pairs."""
 
 import numpy as np
+import pytest
 
 from thicket.llm import neardup
 
@@ -80,3 +81,38 @@ def test_passes_grow_with_the_rows(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = [near.filter("n_links = 1").count() / len(rows) for near in (neardup.near_duplicates(df, window=1, passes=p) for p in (None, neardup.PASSES))]
     assert found[0] >= 0.97 > found[1]
+
+
+def one_family(n, size, dim=64, seed=11):
+    """n vectors, of which size are one family of different vectors with a mean cosine of about 0.92, some pairs below 0.9."""
+    rng = np.random.default_rng(seed)
+    centre = rng.standard_normal(dim)
+    v = rng.standard_normal((n, dim))
+    spread = rng.uniform(0.2, 0.36, (size, 1))
+    v[:size] = centre / np.linalg.norm(centre) * np.sqrt(dim) + spread * rng.standard_normal((size, dim))
+    v = v[rng.permutation(n)].astype(np.float32).astype(float)
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = np.concatenate([(u[i : i + 500] @ u.T >= 0.9).sum(1) - 1 for i in range(0, n, 500)])
+    return v, want
+
+
+@pytest.mark.parametrize("n, size, window, tile", [(20_000, 10_000, 256, 4096), (5_000, 1_250, 64, 500), (5_000, 250, 64, 16384), (2_000, 1_600, 16, 300)])
+def test_links_in_families_larger_than_a_window(spark, n, size, window, tile):
+    v, want = one_family(n, size)
+    assert 0.5 * size < want.max() and want[want > 0].min() < size - 1
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+    got = np.zeros(n, np.int64)
+    for r in neardup.near_duplicates(df, window=window, block=max(window, 1024), tile=tile).select("vec_id", "n_links").collect():
+        got[r[0]] = r[1]
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum()
+    many = want >= 2 * window
+    assert (got[many] == want[many]).mean() > 0.99
+
+
+def test_classes_of_many_rows_weigh_in_dense_families(spark):
+    v, _ = one_family(300, 200, seed=12)
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    rows += [(1000 + i, rows[i % 7][1]) for i in range(500)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), window=16, block=64, tile=50).collect()
+    want = brute(rows)
+    assert sum(g["n_links"] for g in got) >= 0.99 * sum(w[1] for w in want) and all(g[1] <= w[1] for g, w in zip(sorted(map(tuple, got)), want, strict=True))

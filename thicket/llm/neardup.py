@@ -7,9 +7,11 @@ in an earlier pass as well counts there only, which its ranks tell, so that link
 counted without a table of pairs; components are contracted inside each task first.
 
 The number of passes grows with the number of distinct vectors, so that a pair at the
-threshold is found with the stated probability (passes_for). Windows are bounded: in a
-family of more vectors than a window holds some links may be missing from n_links. Recall
-against all pairs is measured in the README; no pair below the threshold is ever linked.
+threshold is found with the stated probability (passes_for). Windows are bounded, and in a
+family of more vectors than a window holds they miss links. So each vector for which as many
+partners as a window holds were found is compared with its whole component, in tiles, and
+those links are its count; nothing is emitted but sums. Recall against all pairs is measured
+in the README; no pair below the threshold is ever linked.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components
 link with nothing, and nor do vectors of different lengths; equal vectors are linked with
@@ -20,7 +22,7 @@ other columns' names don't matter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -39,6 +41,8 @@ WINDOW = 256
 #: Vectors of one pass that are compared in one task, besides the window that overlaps.
 BLOCK = 4096
 BITS = 64
+#: Vectors of a component on either side of a comparison, about.
+TILE = 16384
 
 
 def passes_for(n: int, threshold: float, window: int, recall: float = RECALL) -> int:
@@ -103,7 +107,36 @@ def compare(vectors: np.ndarray, ranks: np.ndarray, at: int, own: np.ndarray, we
     return links, np.concatenate(firsts), np.concatenate(seconds)
 
 
-def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, passes: int | None = None, window: int = WINDOW, block: int = BLOCK, seed: int = 23) -> DataFrame:
+def count_dense(members: DataFrame, threshold: float, matrix: Callable[[list[bytes]], np.ndarray], tile: int) -> DataFrame:
+    """node, exact: how many rows each dense node links to in its component.
+
+    members: component, node, size, raw, dense. Both sides are dealt into tiles by hash: dense nodes go to each tile of all
+    nodes and those to each tile of dense ones, so that a tile's size is bounded whatever the component's.
+    """
+    sizes = members.groupBy("component").agg(F.ceil(F.count_if("dense") / tile).cast("int").alias("_across"), F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_down")).filter("_across > 0")
+    held = members.join(sizes, "component").withColumn("_hash", F.xxhash64("node"))
+    part = lambda n: F.pmod("_hash", F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asked = held.filter("dense").select("component", "node", "size", "raw", F.lit(True).alias("asks"), part("_across").alias("a"), every("_down").alias("b"))
+    asked = asked.unionByName(held.select("component", "node", "size", "raw", F.lit(False).alias("asks"), part("_down").alias("b"), every("_across").alias("a")))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        asks = rows["asks"].to_numpy(bool)
+        mine, others = rows[asks], rows[~asks]
+        if mine.empty or others.empty:
+            return pd.DataFrame({"node": [], "exact": []}).astype("int64")
+        vectors, against, weight = matrix(mine["raw"].tolist()), matrix(others["raw"].tolist()), others["size"].to_numpy(np.int64)
+        total = np.zeros(len(mine), np.int64)
+        for i in range(0, len(mine), 256):
+            total[i : i + 256] = (vectors[i : i + 256] @ against.T >= threshold) @ weight
+        own = mine["node"].isin(others["node"]).to_numpy()
+        total[own] -= mine["size"].to_numpy(np.int64)[own]  # a node is linked with itself
+        return pd.DataFrame({"node": mine["node"].to_numpy(np.int64), "exact": total})
+
+    return asked.groupBy("component", "a", "b").applyInPandas(run, "node long, exact long").groupBy("node").agg(F.sum("exact").alias("exact"))
+
+
+def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9, passes: int | None = None, window: int = WINDOW, block: int = BLOCK, seed: int = 23, tile: int = TILE) -> DataFrame:
     """One row for each row of df: key, n_links, component_id, kept. Keys are integers; passes follow from the number of vectors."""
     if window > block:
         raise ValueError("a window must fit a block")
@@ -168,13 +201,16 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
             vectors = matrix(part["raw"].iloc[o].tolist())
             links, i, j = compare(vectors, ranks[o], at, own[o], weight[o], window, threshold)
             linked = np.flatnonzero(links)
+            pairs = np.bincount(i, minlength=len(o)) + np.bincount(j, minlength=len(o))
             found, root = local_components(node[o][i], node[o][j])
-            out.append(pd.DataFrame({"node": node[o][linked], "links": links[linked], "root": root[np.searchsorted(found, node[o][linked])]}))
+            out.append(pd.DataFrame({"node": node[o][linked], "links": links[linked], "pairs": pairs[linked], "root": root[np.searchsorted(found, node[o][linked])]}))
         return pd.concat(out)
 
-    found = checkpoint(each.groupBy("pass", "block").applyInPandas(run, "node long, links long, root long"))
-    linked = found.groupBy("node").agg(F.sum("links").alias("links"))
+    found = checkpoint(each.groupBy("pass", "block").applyInPandas(run, "node long, links long, pairs long, root long"))
+    linked = found.groupBy("node").agg(F.sum("links").alias("links"), (F.sum("pairs") >= window).alias("dense"))
     groups = components(found.select(F.col("node").alias("src"), F.col("root").alias("dst")))
+    exact = count_dense(groups.join(linked.select("node", "dense"), "node").join(nodes.select("node", "size", "raw"), "node"), threshold, matrix, tile)
+    linked = linked.join(exact, "node", "left").select("node", F.coalesce("exact", "links").alias("links"))
     known = classes.select("class", "node", "size").join(linked, "node", "left").join(groups, "node", "left")
     known = known.select("class", "size", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component"))
     alone = F.col("raw").isNull()
