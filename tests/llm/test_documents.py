@@ -238,6 +238,55 @@ def test_program_is_within_its_gap():
         assert max(got.dual, float(lengths @ counts) / 1024) - 1e-6 <= got.primal <= got.dual * 1.03
 
 
+def test_chat_of_very_many_turns(spark):
+    """Blocks and loss spans of a conversation of 30,000 turns, long texts and clashing columns."""
+    r = random.Random(13)
+    rows = [(1, i, r.choice(["user", "assistant", "assistant"]), f"t{i}" if i % 9000 else "x" * 300_000 + "[SEP]") for i in range(30_000)] + [(2, 0, None, None), (2, 1, "assistant", "a</s>"), (3, 0, "assistant", "")]
+    df = spark.createDataFrame([(*x, "clash") for x in rows], "conv_id long, turn long, role string, text string, formatted string").repartition(4)
+    got = {x["conv_id"]: x for x in chat.format_chats(df).withColumn("t", chat.read_turns("formatted")).collect()}
+    plain = lambda t: t.replace("&lsqb;", "[").replace("&lt;", "<").replace("&amp;", "&")
+    for k in (1, 2, 3):
+        mine = [(role or "", text or "") for c, _, role, text in rows if c == k]
+        assert [tuple(t) for t in got[k]["t"]] == mine
+        assert [plain(got[k]["formatted"][s["start"] : s["start"] + s["length"]]) for s in got[k]["loss_spans"]] == [t for role, t in mine if role == "assistant"]
+        assert got[k]["formatted"].count("<s>") == 1 + sum(a[0] != b[0] for a, b in zip(mine, mine[1:]))
+    assert chat.format_chats(df.limit(0)).collect() == []
+
+
+QUERY_COLUMNS = {
+    "op2_pii": ["doc_id", "text", "n_replaced", "pii"], "op5_mixing": ["doc_id", "size", "source_size", "target", "taken", "copies"],
+    "op7_media": ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile_sha256"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(QUERY_COLUMNS))
+def test_queries_return_their_columns_and_rows(spark, name):
+    got = QUERIES[name](spark, SF)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert got.columns == QUERY_COLUMNS[name]
+    found, texts = {r["doc_id"]: r for r in got.collect()}, {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert set(found) == set(texts)
+    for k, t in texts.items():
+        r, raw = found[k], t.encode()
+        if name == "op5_mixing":
+            assert r["size"] == len([w for w in t.translate(str.maketrans("\t\n\v\f\r", "     ")).split(" ") if w]) and 0 <= r["taken"] <= 2 * r["size"]
+        elif name == "op7_media":
+            padded = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
+            assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-32:]))
+        else:
+            assert (r["n_replaced"] > 0) == (r["text"] != t) or r["n_replaced"] > 0
+
+
+def test_labels_of_one_key_do_not_crowd_out_others(spark):
+    """A key with most of the labels is one key of the sample."""
+    rows = labelled()
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, quality int")
+    crowded = labels.unionByName(spark.range(5000).select(F.lit(rows[1][0]).alias("doc_id"), F.lit(rows[1][2]).alias("quality")))
+    scores = lambda given: {r["doc_id"]: r["score"] for r in quality.score(docs, quality.fit_on(docs, given, fit_rows=150)).collect()}
+    assert scores(crowded) == scores(labels)
+
+
 def checked(lengths, counts, room=1024):
     """The number of sequences of a plan that holds exactly the pieces, none too long; it is never above best fit."""
     found, held = packing.plan(lengths, counts, room), np.zeros(len(lengths), np.int64)

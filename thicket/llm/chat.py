@@ -1,7 +1,7 @@
 """Chat formatting with Spark expressions only.
 
 Turns of a conversation are collected as structs, sorted, adjacent turns of one role
-merged by an array aggregation, and the blocks concatenated:
+merged by array aggregation into blocks, and the blocks concatenated:
 
     <s>[INST]role[/INST]text[SEP]text of the next turn of the same role</s>
 
@@ -11,8 +11,10 @@ the formatted string alone. loss_spans has the place of each assistant text.
 
 Defined cases: null roles and texts count as empty; null turns come first; ties of turn
 are ordered by role, then text; repeated rows are turns of their own; rows with a null
-conversation key form one conversation. A conversation is one output row, so it must fit
-a row; conversations are never merged or split.
+conversation key form one conversation; an empty table gives no rows; other columns, whatever
+their names, are left alone; texts of any length are written whole, and the work grows with
+the number of turns. A conversation is one output row, so it must fit a row; conversations
+are never merged or split.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Parts of a conversation whose places are summed one by one.
+CHUNK = 500
 OPEN, HEAD, TAIL, SEP, CLOSE = "<s>", "[INST]", "[/INST]", "[SEP]", "</s>"
 
 
@@ -43,16 +47,16 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
         F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), empty).alias("role"), F.coalesce(F.col(text), empty).alias("text")).alias("_turn"),
     )
     sorted_turns = each.groupBy("_conv").agg(F.sort_array(F.collect_list("_turn")).alias("_turns"))
-    block = "struct<role:string,texts:array<string>>"
+    # a block begins where the role changes, and holds the turns up to where the next one begins
+    role_at = lambda i: F.get("_turns", i)["role"]
+    begins = F.filter(F.sequence(F.lit(0), F.size("_turns") - 1), lambda i: (i == 0) | (role_at(i) != role_at(i - 1)))
+    begun = sorted_turns.select("_conv", "_turns", begins.alias("_begins"))
 
-    def merge(done: Column, t: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(escape(t["text"]))).alias("texts"))
-        started = F.struct(t["role"].alias("role"), F.array(escape(t["text"])).alias("texts"))
-        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["role"] == t["role"]), F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(started)))
+    def block(begin: Column, k: Column) -> Column:
+        end = F.coalesce(F.get("_begins", k + 1), F.size("_turns"))
+        return F.struct(role_at(begin).alias("role"), F.transform(F.sequence(begin, end - 1), lambda i: escape(F.get("_turns", i)["text"])).alias("texts"))
 
-    blocks = F.aggregate("_turns", F.array().cast(f"array<{block}>"), merge)
-    merged = sorted_turns.select("_conv", blocks.alias("_blocks"))
+    merged = begun.select("_conv", F.transform("_begins", block).alias("_blocks"))
     written = F.transform("_blocks", lambda b: F.concat(F.lit(OPEN + HEAD), escape(b["role"]), F.lit(TAIL), F.array_join(b["texts"], SEP), F.lit(CLOSE)))
     # lengths of all parts in order: before the first text of a block, then each text with what follows it
     parts = F.flatten(
@@ -69,14 +73,20 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
             ),
         )
     )
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
 
     def place(s: Column, p: Column) -> Column:
         start = s["at"] + p["skip"]
         span = F.struct(start.alias("start"), p["length"].alias("length"))
         return F.struct((start + p["length"] + p["end"]).alias("at"), F.when(p["learn"], F.concat(s["spans"], F.array(span))).otherwise(s["spans"]).alias("spans"))
 
-    return merged.select(F.col("_conv").alias(conv), F.array_join(written, "").alias("formatted"), F.aggregate(parts, state, place)["spans"].alias("loss_spans"))
+    # an aggregation copies what it has gathered at each step, so that parts are placed in chunks, which begin at the sums of those before
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("_parts") - 1) / CHUNK).cast("int")), lambda k: F.slice("_parts", k * CHUNK + 1, CHUNK))
+    chunked = merged.select("_conv", F.array_join(written, "").alias("formatted"), parts.alias("_parts")).select("_conv", "formatted", cut.alias("_chunks"))
+    long = F.transform("_chunks", lambda c: F.aggregate(c, F.lit(0), lambda n, p: n + p["skip"] + p["length"] + p["end"]))
+    starts = F.aggregate(long, F.array(F.lit(0)), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n)))
+    none = F.array().cast("array<struct<start:int,length:int>>")
+    placed = F.transform("_chunks", lambda c, k: F.aggregate(c, F.struct(F.get("_starts", k).alias("at"), none.alias("spans")), place)["spans"])
+    return chunked.withColumn("_starts", starts).select(F.col("_conv").alias(conv), "formatted", F.flatten(placed).alias("loss_spans"))
 
 
 def read_turns(formatted: str | Column) -> Column:
