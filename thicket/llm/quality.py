@@ -124,8 +124,8 @@ def examples_of(texts: DataFrame, bits: int = BITS) -> DataFrame:
 def fit_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5, held_out: int = 0, fit_rows: int = FIT_ROWS) -> QualityModel:
     """Fit on about fit_rows labelled rows, chosen by a hash of their keys, whose crc32(key) mod folds is not held_out."""
     known = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).filter(F.col("_y").isin(0, 1) & F.col("_k").isNotNull() & (fold("_k", folds) != held_out))
-    chosen = hash_sample(known, "_k", fit_rows, 11)
-    # chosen has about fit_rows rows, so that it can be broadcast whatever the input's size
+    chosen = hash_sample(known.distinct(), "_k", fit_rows, 11)
+    # chosen has about fit_rows keys with two labels at most, so that it can be broadcast whatever the input's size, and whatever keys repeat
     rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_k").orderBy(F.xxhash64("_k", F.lit(11)), "_k", "_y", F.xxhash64("_t")).limit(fit_rows)
     found = sorted(examples_of(rows).collect(), key=lambda r: (r["packed"], r["label"]))  # an order that does not depend on how rows came
     cut = [len(r["packed"]) // 2 for r in found]
