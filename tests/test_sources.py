@@ -177,3 +177,47 @@ def test_document(spark, tmp_path, dense):
     assert tuple(stats.counts(species).first()) == (2, 2) and [tuple(r) for r in stats.years(species).collect()] == [("2020", 1)]
     summary = json.loads(stats.summary(species).first()[0])
     assert summary["counts"] == {"plants": 2, "sampled_points_total": 2} and len(summary["top_by_total"]) == 2
+
+
+def test_profiles_by_line(spark, tmp_path):
+    rows = [(i, f'n"{i} ä', 5, 1.5, 2.0, 2020, 1, "DE", "", "") for i in range(40)] + [(100, "n\"0 ä", 5, 1.5, 2.0, 2021, 1, "DE", "", "")]
+    made = profiles.profile_json(profiles.sparse(tables.normalize(spark.createDataFrame(rows, OCC), "sparse")))
+    want = {r["sci"]: json.loads(r["profile"]) for r in made.collect()}
+    for gzip in (False, True):
+        path = str(tmp_path / f"lines{gzip}")
+        told = files.write_lines(made.repartition(7), path, {"country": "DE"}, gzip)
+        assert told == files.document_info(spark, path) == {"country": "DE", "species": 40, "scanned_rows": 41}
+        assert len([f for f in (tmp_path / f"lines{gzip}").iterdir() if f.name.startswith("part-") and f.name.endswith(".gz" if gzip else ".txt")]) == 7
+        assert {r["sci"]: json.loads(r["profile"]) for r in files.read_document(spark, path).collect()} == want
+    # lines without their marker are no document; neither are they while they are replaced
+    marker = tmp_path / "linesFalse" / files.MARKER
+    marker.unlink()
+    with pytest.raises(ValueError, match="no whole document"):
+        files.read_document(spark, str(tmp_path / "linesFalse"))
+    marker.write_text("{}")
+    with pytest.raises(Exception, match="broken"):
+        files.write_lines(made.withColumn("profile", F.raise_error(F.lit("broken")).cast("string")), str(tmp_path / "linesFalse"))
+    assert not marker.exists()
+    with pytest.raises(FileNotFoundError):
+        files.read_document(spark, str(tmp_path / "nowhere"))
+    assert files.write_lines(made.limit(0), str(tmp_path / "none")) == {"species": 0, "scanned_rows": 0} and files.read_document(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_scanned_rows_in_the_document(spark):
+    rows = [(i, "a" if i < 5 else None if i < 7 else "b", 5, 1.5, 2.0 if i else None, 2020, 1, "DE", "", "") for i in range(9)]
+    df = tables.normalize(spark.createDataFrame(rows, OCC), "sparse")
+    names = spark.createDataFrame([(0, "a", "A"), (1, "none", "N")], files.NAMES_SCHEMA)
+    of = lambda made: json.loads(profiles.envelope(made, profiles.Config(), {"source": "s"}, scanned=True).first()[0])["meta"]
+    assert of(profiles.sparse(df, names=names)) == {"source": "s", "scanned_rows": 4}
+    assert of(profiles.sparse(df)) == {"source": "s", "scanned_rows": 6}
+    assert of(profiles.sparse(df.limit(0), names=names)) == {"source": "s", "scanned_rows": 0}
+
+
+def test_fuzzy_matches_are_taken_where_allowed(spark):
+    names = spark.createDataFrame([(i, n, "") for i, n in enumerate(["exact", "fuzzy", "weak", "keyless", "none"])], files.NAMES_SCHEMA)
+    match = "name string, usageKey long, matchType string, confidence string, canonicalName string, scientificName string, rank string, status string"
+    rows = [("exact", 1, "EXACT", "95"), ("fuzzy", 2, "FUZZY", "99"), ("weak", 3, "EXACT", "1"), ("keyless", None, "EXACT", "99")]
+    matches = spark.createDataFrame([(n, k, t, c, n, n, "SPECIES", "ACCEPTED") for n, k, t, c in rows], match)
+    ok = lambda fuzzy: {r["scientificName"] for r in taxa.resolve(names, matches, allow_fuzzy=fuzzy).filter("ok AND taxonKey IS NOT NULL").collect()}
+    assert ok(False) == {"exact"} and ok(True) == {"exact", "fuzzy", "weak"}
+    assert {tuple(r) for r in taxa.unresolved(taxa.resolve(names, matches, allow_fuzzy=True)).collect()} == {("keyless", "EXACT"), ("none", "NONE")}

@@ -57,6 +57,37 @@ def test_upserts_equal_a_dictionary(spark, tmp_path):
         assert {x["gbifID"]: (x["species"], x["lastInterpreted"]) for x in store.read().collect()} == want
 
 
+def test_layers_are_written_alone_and_folded(spark, tmp_path):
+    r, store, want = random.Random(2), Store(spark, str(tmp_path), buckets=4, keep=3, layers=2), {}
+    held, count = {}, []
+    for day in range(8):
+        batch = {r.randrange(80): f"d{day}" for _ in range(60 if day == 0 else 9)}
+        before = names(store)
+        store.apply(rows(spark, batch).drop("species").join(spark.createDataFrame(list(batch.items()), "gbifID long, species string"), "gbifID"), order=newest())
+        want |= batch
+        held[day] = dict(want)
+        count.append(len(store.manifest()["layers"]))
+        if count[-1]:  # the batch is all that was written
+            assert names(store) == before and all(f"/v={day}/" not in f for own in before.values() for f in own)
+        for v in store.versions():
+            assert {x["gbifID"]: x["species"] for x in store.read(v).collect()} == held[v]
+    assert count == [0, 1, 2, 0, 1, 2, 0, 1]
+    assert on_disk(tmp_path) == {f for v in store.versions() for m in [store.manifest(v)] for own in [*m["files"].values(), *m["layers"]] for f in own}
+    assert store.read().filter("lastInterpreted >= '2000'").count() == len(want) and store.read().columns == store.read(5).columns
+
+
+def test_what_a_failed_fold_left_is_not_read(spark, tmp_path):
+    store = Store(spark, str(tmp_path), buckets=2)
+    store.apply(rows(spark, range(30)), order=newest())
+    real, store.note = store.note, None  # the run ends after its files are written
+    with pytest.raises(TypeError):
+        store.apply(rows(spark, range(5), "lost", "2021-01-01"), order=newest())
+    store.note = real
+    store.apply(rows(spark, range(9, 12), "kept", "2021-01-01"), order=newest())
+    got = [x["species"] for x in store.read().collect()]
+    assert len(got) == 30 and got.count("kept") == 3 and "lost" not in got
+
+
 def test_a_snapshot_that_is_held_stays_and_others_go(spark, tmp_path):
     store = Store(spark, str(tmp_path), buckets=4, keep=2)
     store.apply(rows(spark, range(50)), order=newest())

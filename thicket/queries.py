@@ -322,6 +322,15 @@ def apply_delta(spark: SparkSession, d: str) -> DataFrame:
     return store.read().drop("l_shipdate", "l_partkey", "l_suppkey")
 
 
+@query(_OCC)
+def apply_layers(spark: SparkSession, d: str) -> DataFrame:
+    """Deltas that are kept as layers beside the buckets and left out or added by the reader; the fourth one folds the first three."""
+    raw, store = fixture.raw(spark, d), Store(spark, files.scratch(spark), layers=2)
+    for part in ("year < 1998", "year = 1998", "year = 1999", "year = 2000", "year > 2000"):
+        store.apply(raw.filter(part), order=fixture.latest())
+    return store.read().drop("l_shipdate", "l_partkey", "l_suppkey")
+
+
 @query("SELECT gbifID, sci AS scientificName, taxonKey, lat AS decimalLatitude, lon AS decimalLongitude, y::BIGINT AS year, m::BIGINT AS month, country AS countryCode, eventDate, lastInterpreted FROM f")
 def stream_delta(spark: SparkSession, d: str) -> DataFrame:
     top, store = files.scratch(spark), Store(spark, files.scratch(spark))

@@ -222,7 +222,8 @@ def write_lines(profiles: DataFrame, path: str, info: dict | None = None, gzip:
     marker, fs = _fs(spark, f"{path}/{MARKER}")
     fs.delete(marker, True)  # while lines are replaced there is no document
     counted.select("value").write.mode("overwrite").option("compression", "gzip" if gzip else "none").text(path)
-    told = dict(info or {}) | seen.get
+    # the optimizer leaves an observation out with the rows of a relation that is known to be empty
+    told = dict(info or {}) | ({"species": 0, "scanned_rows": 0} if spark.read.text(path).isEmpty() else seen.get)
     out = fs.create(marker, True)
     out.write(bytearray(json.dumps(told, ensure_ascii=False).encode()))
     out.close()

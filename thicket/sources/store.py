@@ -8,14 +8,14 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from thicket.sources.files import POSITION, _fs
 
-#: A file's place under the store's folder: the version that wrote it, its bucket, its name.
-PLACE = re.compile(r"data/v=\d+/_bucket=(\d+)/[^/]+$")
+#: A file's place under the store's folder: the version that wrote it, its bucket (or that it is a layer), its name.
+PLACE = re.compile(r"data/v=\d+/(?:_bucket=(\d+)|layer)/[^/]+$")
 
 
 def latest(batch: DataFrame, key: str = "gbifID", order: list | None = None) -> DataFrame:
@@ -50,21 +50,26 @@ class Store:
     when all is written, so a run that fails leaves the store and its state as they were. Rows of a file are sorted by
     sort, so that readers with a predicate on those columns skip row groups.
 
+    Small batches with keys from everywhere touch all buckets. With layers above 0 up to so many batches are kept as they
+    are, ranked, beside the buckets: applying one writes the batch only, readers leave out the buckets' rows whose keys are
+    in a layer (an anti join with few keys, which Spark broadcasts while they are small) and add the layers' newest rows.
+    The batch after them folds all into the buckets.
+
     The newest keep snapshots can be read, and older ones while a reader holds them (hold); files that no such
     snapshot names are deleted after each commit. One writer at a time.
 
-        data/v=3/_bucket=5/...  files that version 3 wrote        manifest/3  schema, buckets, files
-        staged/...              a batch that is being applied     state       the pointer, and what callers note
+        data/v=3/_bucket=5/...  files that version 3 wrote        manifest/3  schema, buckets, files, layers
+        data/v=3/layer/...      the batch of version 3, ranked    state       the pointer, and what callers note
         holds/2_...             readers of version 2
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str = "gbifID", buckets: int = 16, sort: tuple[str, ...] = ("lastInterpreted",), keep: int = 3, options: dict[str, str] | None = None) -> None:
+    def __init__(self, spark: SparkSession, path: str, key: str = "gbifID", buckets: int = 16, sort: tuple[str, ...] = ("lastInterpreted",), keep: int = 3, layers: int = 0, options: dict[str, str] | None = None) -> None:
         """buckets counts for a new store only, which keeps its number. A bucket should fit a few tasks: 20,000 of them for 100 TB. options are the Parquet writer's."""
-        self.spark, self.path, self.key, self.buckets, self.sort, self.keep, self.options = spark, path.rstrip("/"), key, buckets, sort, max(1, keep), options or {}
+        self.spark, self.path, self.key, self.buckets, self.sort, self.keep, self.layers, self.options = spark, path.rstrip("/"), key, buckets, sort, max(1, keep), layers, options or {}
 
     def on(self, spark: SparkSession) -> Store:
         """The same store for another session; a stream's batches have one of their own."""
-        return Store(spark, self.path, self.key, self.buckets, self.sort, self.keep, self.options)
+        return Store(spark, self.path, self.key, self.buckets, self.sort, self.keep, self.layers, self.options)
 
     # Small files
 
@@ -99,15 +104,34 @@ class Store:
 
     def manifest(self, version: int | None = None) -> dict:
         version = self.state()["version"] if version is None else version
-        return (self._load(f"manifest/{version}") if version >= 0 else None) or {"buckets": self.buckets, "schema": None, "files": {}}
+        return (self._load(f"manifest/{version}") if version >= 0 else None) or {"buckets": self.buckets, "schema": None, "files": {}, "layers": []}
 
-    def _rows(self, manifest: dict, buckets: list[int] | None = None) -> DataFrame | None:
-        if manifest["schema"] is None:
-            return None
+    def _files(self, manifest: dict, files: list[str]) -> DataFrame:
         schema = StructType.fromJson(manifest["schema"])
-        files = [f for b, own in manifest["files"].items() if buckets is None or int(b) in buckets for f in own]
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in files]) if files else self.spark.createDataFrame([], schema)
 
+    def _buckets(self, manifest: dict, buckets: list[int]) -> DataFrame:
+        return self._files(manifest, [f for b in buckets for f in manifest["files"].get(str(b), [])])
+
+    def _newest(self, layers: list[DataFrame]) -> DataFrame:
+        """The rows of layers, oldest first, of each key that of the last layer that has it."""
+        if len(layers) == 1:
+            return layers[0]
+        each = [rows.withColumn("_layer", F.lit(k)) for k, rows in enumerate(layers)]
+        whole = each[0]
+        for rows in each[1:]:
+            whole = whole.unionByName(rows, allowMissingColumns=True)
+        return latest(whole, self.key, [F.col("_layer").desc()]).drop("_layer")
+
+    def _rows(self, manifest: dict) -> DataFrame | None:
+        if manifest["schema"] is None:
+            return None
+        base = self._files(manifest, [f for own in manifest["files"].values() for f in own])
+        if not manifest["layers"]:
+            return base
+        newest = self._newest([self._files(manifest, files) for files in manifest["layers"]])
+        return base.join(newest.select(self.key), self.key, "left_anti").select(*base.columns).unionByName(newest)
+
     def read(self, version: int | None = None) -> DataFrame | None:
         """The rows of a snapshot, of the newest if none is named; None if there is none. See hold for readers that take long."""
         if version is not None and version not in self.versions():
@@ -149,33 +173,49 @@ class Store:
         old, version = self.manifest(), self.state()["version"] + 1
         bucket = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(old["buckets"])).cast("int")
         counted, seen = observed(rows)
-        staged = f"staged/{version}"
-        latest(counted, self.key, order).withColumn("_bucket", bucket).write.mode("overwrite").parquet(f"{self.path}/{staged}")
-        batch = self.spark.read.parquet(f"{self.path}/{staged}")
+        by = [c for c in self.sort if c in rows.columns]
+        layer = f"data/v={version}/layer"
+        self._drop(f"data/v={version}")  # what a run that failed may have left
+        ranked = latest(counted, self.key, order)
+        (ranked.sortWithinPartitions(*by) if by else ranked).write.mode("overwrite").options(**self.options).parquet(f"{self.path}/{layer}")
+        batch = self.spark.read.parquet(f"{self.path}/{layer}")
+        some = not batch.isEmpty()
+        files, layers = dict(old["files"]), list(old["layers"])
+        schema = batch.schema if old["schema"] is None else self.spark.createDataFrame([], StructType.fromJson(old["schema"])).unionByName(batch.limit(0), allowMissingColumns=True).schema
+        if some and len(layers) < self.layers and files:
+            if check:
+                check(batch)
+            layers.append([PLACE.search(f)[0] for f in batch.inputFiles()])
+        elif some:
+            batch = self._newest([*[self._files(old, f) for f in layers], batch])
+            files |= self._fold(old, batch.withColumn("_bucket", bucket), bucket, version, schema, by, check)
+            layers = []
+        self._save(f"manifest/{version}", {"buckets": old["buckets"], "schema": schema.jsonValue(), "files": files, "layers": layers})
+        self.note(**state, version=version)
+        if len(layers) <= len(old["layers"]):
+            self._drop(layer)
+        self.expire()
+        return int(seen.get["rows"]) if some else 0
+
+    def _fold(self, old: dict, batch: DataFrame, bucket: Column, version: int, schema: StructType, by: list[str], check: Callable[[DataFrame], None] | None) -> dict[str, list[str]]:
+        """Write the buckets that a batch (with _bucket) touches anew; their files."""
         touched = [r[0] for r in batch.select("_bucket").distinct().collect()]  # as many as there are buckets, at most
-        kept = self._rows(old, touched)
-        new = batch if kept is None else kept.withColumn("_bucket", bucket).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+        merged = old["schema"] is not None
+        new = batch
+        if merged:
+            new = self._buckets(old, touched).withColumn("_bucket", bucket).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
         new = new.repartition("_bucket")  # the one shuffle of old rows: a bucket's keys meet, and are written, where it is
-        if kept is not None:
+        if merged:
             first = F.row_number().over(Window.partitionBy("_bucket", self.key).orderBy(F.col("_new").desc_nulls_last()))
             new = new.withColumn("_nth", first).filter("_nth = 1").drop("_nth", "_new")
-        schema = new.drop("_bucket").schema
-        files = dict(old["files"])
-        if touched:
-            if check:
-                check(new.drop("_bucket"))
-            by = [c for c in self.sort if c in schema.names]
-            new.sortWithinPartitions("_bucket", *by).write.mode("overwrite").options(**self.options).partitionBy("_bucket").parquet(f"{self.path}/data/v={version}")
-            made: dict[str, list[str]] = {}
-            for f in self.spark.read.schema(schema).parquet(f"{self.path}/data/v={version}").inputFiles():
-                place = PLACE.search(f)
+        if check:
+            check(new.drop("_bucket"))
+        new.sortWithinPartitions("_bucket", *by).write.mode("append").options(**self.options).partitionBy("_bucket").parquet(f"{self.path}/data/v={version}")
+        made: dict[str, list[str]] = {}
+        for f in self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/data/v={version}").inputFiles():
+            if (place := PLACE.search(f)) and place[1]:
                 made.setdefault(place[1], []).append(place[0])
-            files |= made
-        self._save(f"manifest/{version}", {"buckets": old["buckets"], "schema": schema.jsonValue(), "files": files})
-        self.note(**state, version=version)
-        self._drop(staged)
-        self.expire()
-        return int(seen.get["rows"]) if touched else 0
+        return made
 
     def expire(self, held_hours: float = 24) -> list[int]:
         """Delete snapshots before the newest keep ones that no reader holds, and files that no other names; what was deleted.
@@ -192,7 +232,7 @@ class Store:
         there = self.versions()
         gone = [v for v in there[: -self.keep] if v not in held]
         if gone:
-            named = lambda versions: {f for v in versions for own in self.manifest(v)["files"].values() for f in own}
+            named = lambda versions: {f for m in map(self.manifest, versions) for own in [*m["files"].values(), *m["layers"]] for f in own}
             stay = named(set(there) - set(gone))
             folders = {f.split("/")[1] for f in stay}
             lost = named(gone) - stay
