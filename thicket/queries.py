@@ -160,8 +160,9 @@ def raw_line(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT least(count(*), 1000)::BIGINT AS n, 0::BIGINT AS unlimited FROM raw")
 def load_limit(spark: SparkSession, d: str) -> DataFrame:
     rows = files.read_archive(spark, _archive(spark, d), keep_raw=False)
-    every = rows.agg(F.count(F.lit(1)).alias("n")).select((F.col("n") - fixture.raw(spark, d).count()).alias("unlimited"))
-    return files.load_limit(rows, 1000).agg(F.count(F.lit(1)).alias("n")).withColumn("unlimited", F.lit(every.first()[0]).cast("bigint"))
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    both = count(files.load_limit(rows, 0), "all").join(count(fixture.raw(spark, d), "raw"), F.lit(True))  # one row each
+    return count(files.load_limit(rows, 1000), "n").join(both, F.lit(True)).select("n", (F.col("all") - F.col("raw")).alias("unlimited"))
 
 
 def _ordered_tsv(spark: SparkSession, d: str, df: DataFrame) -> str:

@@ -74,6 +74,25 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def load_json(spark: SparkSession, path: str) -> dict | None:
+    """The object in a small file, None if there is no such file; no job is run for it."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    into = fs.open(p)
+    try:
+        return json.loads(bytes(into.readAllBytes()).decode())
+    finally:
+        into.close()
+
+
+def save_json(spark: SparkSession, path: str, content: dict) -> None:
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps(content, ensure_ascii=False).encode()))
+    out.close()
+
+
 def archive_file(spark: SparkSession, folder: str) -> str:
     """occurrence.txt if it is there, else the largest .txt file, else an error."""
     path, fs = _fs(spark, folder)
@@ -224,21 +243,13 @@ def write_lines(profiles: DataFrame, path: str, info: dict | None = None, gzip:
     counted.select("value").write.mode("overwrite").option("compression", "gzip" if gzip else "none").text(path)
     # the optimizer leaves an observation out with the rows of a relation that is known to be empty
     told = dict(info or {}) | ({"species": 0, "scanned_rows": 0} if spark.read.text(path).isEmpty() else seen.get)
-    out = fs.create(marker, True)
-    out.write(bytearray(json.dumps(told, ensure_ascii=False).encode()))
-    out.close()
+    save_json(spark, f"{path}/{MARKER}", told)
     return told
 
 
 def document_info(spark: SparkSession, path: str) -> dict | None:
     """What the marker of a document of lines says; None if there is none."""
-    p, fs = _fs(spark, f"{path}/{MARKER}")
-    if not fs.exists(p):
-        return None
-    into = fs.open(p)
-    text = bytes(into.readAllBytes()).decode()
-    into.close()
-    return json.loads(text)
+    return load_json(spark, f"{path}/{MARKER}")
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from thicket.sources.files import POSITION, _fs
+from thicket.sources.files import POSITION, _fs, load_json, save_json
 
 #: A file's place under the store's folder: the version that wrote it, its bucket (or that it is a layer), its name.
 PLACE = re.compile(r"data/v=\d+/(?:_bucket=(\d+)|layer)/[^/]+$")
@@ -74,14 +73,10 @@ class Store:
     # Small files
 
     def _load(self, name: str) -> dict | None:
-        p, fs = _fs(self.spark, f"{self.path}/{name}")
-        return json.loads(self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()[0]) if fs.exists(p) else None
+        return load_json(self.spark, f"{self.path}/{name}")
 
     def _save(self, name: str, content: dict) -> None:
-        p, fs = _fs(self.spark, f"{self.path}/{name}")
-        out = fs.create(p, True)
-        out.write(bytearray(json.dumps(content).encode()))
-        out.close()
+        save_json(self.spark, f"{self.path}/{name}", content)
 
     def _drop(self, name: str) -> None:
         p, fs = _fs(self.spark, f"{self.path}/{name}")
@@ -100,7 +95,8 @@ class Store:
 
     def versions(self) -> list[int]:
         """Snapshots that can be read, oldest first."""
-        return sorted(int(name) for name, _ in self._list("manifest") if name.isdigit() and int(name) <= self.state()["version"])
+        newest = self.state()["version"]
+        return sorted(int(name) for name, _ in self._list("manifest") if name.isdigit() and int(name) <= newest)
 
     def manifest(self, version: int | None = None) -> dict:
         version = self.state()["version"] if version is None else version
