@@ -299,7 +299,7 @@ def checked(lengths, counts, room=1024):
     return packing.sequences(found)
 
 
-@pytest.mark.parametrize("least, most, equal, allowed", [(200, 600, False, 0.005), (300, 520, True, 96_681), (250, 450, False, None), (100, 500, False, None), (150, 700, False, None)])
+@pytest.mark.parametrize("least, most, equal, allowed", [(200, 600, False, 0.005), (300, 520, True, 96_681), (250, 450, False, None)])
 def test_plan_is_close_to_its_bound(least, most, equal, allowed):
     rng = np.random.default_rng(0)
     lengths = np.arange(least, most + 1)

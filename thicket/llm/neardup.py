@@ -43,6 +43,8 @@ BLOCK = 4096
 BITS = 64
 #: Vectors of a component on either side of a comparison, about.
 TILE = 16384
+#: Parts of a component that meet its sizes in tasks of their own.
+SALTS = 64
 
 
 def passes_for(n: int, threshold: float, window: int, recall: float = RECALL) -> int:
@@ -114,8 +116,10 @@ def count_dense(members: DataFrame, threshold: float, matrix: Callable[[list[byt
     nodes and those to each tile of dense ones, so that a tile's size is bounded whatever the component's.
     """
     sizes = members.groupBy("component").agg(F.ceil(F.count_if("dense") / tile).cast("int").alias("_across"), F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_down")).filter("_across > 0")
-    held = members.join(sizes, "component").withColumn("_hash", F.xxhash64("node"))
-    part = lambda n: F.pmod("_hash", F.col(n)).cast("int")
+    # a component may hold most nodes, so that its row of sizes meets them in SALTS places
+    salted = sizes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    held = members.withColumn("_hash", F.xxhash64("node")).withColumn("_salt", F.pmod("_hash", F.lit(SALTS)).cast("int")).join(salted, ["component", "_salt"])
+    part = lambda n: F.pmod(F.shiftright("_hash", 16), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     asked = held.filter("dense").select("component", "node", "size", "raw", F.lit(True).alias("asks"), part("_across").alias("a"), every("_down").alias("b"))
     asked = asked.unionByName(held.select("component", "node", "size", "raw", F.lit(False).alias("asks"), part("_down").alias("b"), every("_across").alias("a")))
