@@ -63,16 +63,18 @@ def with_cell(df: DataFrame, precision: int = 5) -> DataFrame:
 
 
 def grain(df: DataFrame, precision: int = 5) -> DataFrame:
-    """One row for each species, cell, year and month, with counts and extremes from which all aggregates of a dense profile follow.
+    """One row for each species, cell and year, with counts and extremes from which all aggregates of a dense profile follow.
 
-    sci, cell, y, m, n, lo, hi (the range of identifiers' places), min_lat, max_lat, min_lon, max_lon, first_id, taxon
-    (the least identifier with a taxon key, and that key). All are numbers, so that rows are combined before the shuffle.
+    sci, cell, y, n, m1 to m12 (rows of each month), last_m (the greatest valid month, or 0), lo, hi (the range of identifiers'
+    places), min_lat, max_lat, min_lon, max_lon, first_id, taxon (the least identifier with a taxon key, and that key). All are
+    numbers, so that rows are combined before the shuffle.
     """
     place = fn.place_of(F.col("gbifID"))
     keyed = F.when(F.col("taxonKey").isNotNull(), F.col("gbifID"))
-    return with_cell(df, precision).groupBy("sci", "cell", "y", "m").agg(
-        F.count(F.lit(1)).alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi"), F.min("lat").alias("min_lat"), F.max("lat").alias("max_lat"), F.min("lon").alias("min_lon"),
-        F.max("lon").alias("max_lon"), F.min(keyed).alias("first_id"), F.min_by("taxonKey", keyed).alias("taxon"),
+    return with_cell(df, precision).groupBy("sci", "cell", "y").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("m") == k).alias(f"m{k}") for k in range(1, 13)], F.max(F.coalesce(fn.valid_month(F.col("m")), F.lit(0))).alias("last_m"),
+        F.min(place).alias("lo"), F.max(place).alias("hi"), F.min("lat").alias("min_lat"), F.max("lat").alias("max_lat"), F.min("lon").alias("min_lon"), F.max("lon").alias("max_lon"),
+        F.min(keyed).alias("first_id"), F.min_by("taxonKey", keyed).alias("taxon"),
     )
 
 
@@ -93,9 +95,10 @@ def grain_years(grain: DataFrame) -> DataFrame:
 
 def grain_aggregates(grain: DataFrame) -> DataFrame:
     """sci, total, month_counts_all, last, bbox, taxonKey, as full_aggregates has them."""
-    months = F.array(*[F.coalesce(F.sum(F.when(F.col("m") == k, F.col("n"))), F.lit(0)).cast("bigint") for k in range(1, 13)])
+    months = F.array(*[F.sum(f"m{k}") for k in range(1, 13)])
+    last = F.max(F.when(F.col("y").isNotNull(), F.struct("y", F.col("last_m").alias("m"))))
     box = F.array(F.min("min_lat"), F.max("max_lat"), F.min("min_lon"), F.max("max_lon"))
-    return grain.groupBy("sci").agg(F.sum("n").alias("total"), months.alias("month_counts_all"), last_obs_full().alias("last"), box.alias("bbox"), F.min_by("taxon", "first_id").alias("taxonKey"))
+    return grain.groupBy("sci").agg(F.sum("n").alias("total"), months.alias("month_counts_all"), last.alias("last"), box.alias("bbox"), F.min_by("taxon", "first_id").alias("taxonKey"))
 
 
 def full_aggregates(df: DataFrame) -> DataFrame:
