@@ -15,9 +15,11 @@ from thicket.sources.files import POSITION, _fs, load_json, save_json
 
 #: A file's place under the store's folder: the version that wrote it, its bucket (or that it is a layer), its name.
 PLACE = re.compile(r"data/v=\d+/(?:_bucket=(\d+)|layer)/[^/]+$")
+#: The column by which rows are dealt to tasks: a bucket's piece.
+PART = "_part"
 
 
-def latest(batch: DataFrame, key: str = "gbifID", order: list | None = None) -> DataFrame:
+def latest(batch: DataFrame, key: str | list[str] = "gbifID", order: list | None = None) -> DataFrame:
     """The last row of each key of a batch. order (descending) ranks rows; by default it is their place in the source."""
     order = order or [F.col(c).desc() for c in POSITION]
     return batch.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("_rank = 1").drop("_rank", *POSITION)
@@ -44,8 +46,9 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 class Store:
     """Snapshots 0, 1, ... under a folder, and a pointer file; readers see whole snapshots only.
 
-    A snapshot is a manifest: for each bucket (hash of the key) the files that hold it. An upsert ranks its batch once,
-    reads and writes only the buckets that the batch touches, and names the other buckets' files again. The pointer moves
+    A snapshot is a manifest: for each bucket (hash of the key) the files that hold it. An upsert ranks its batch where
+    its buckets are, writes it there, reads only the buckets that the batch touches, writes what stays of them beside it,
+    and names the other buckets' files again. A bucket is worked on in pieces, by as many tasks as Spark's shuffles have. The pointer moves
     when all is written, so a run that fails leaves the store and its state as they were. Rows of a file are sorted by
     sort, so that readers with a predicate on those columns skip row groups.
 
@@ -167,51 +170,82 @@ class Store:
         check may look at the rows that are written, those of touched buckets, and fail the run.
         """
         old, version = self.manifest(), self.state()["version"] + 1
-        bucket = F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(old["buckets"])).cast("int")
+        files, layers = dict(old["files"]), list(old["layers"])
         counted, seen = observed(rows)
         by = [c for c in self.sort if c in rows.columns]
-        layer = f"data/v={version}/layer"
         self._drop(f"data/v={version}")  # what a run that failed may have left
-        ranked = latest(counted, self.key, order)
-        (ranked.sortWithinPartitions(*by) if by else ranked).write.mode("overwrite").options(**self.options).parquet(f"{self.path}/{layer}")
-        batch = self.spark.read.parquet(f"{self.path}/{layer}")
-        some = not batch.isEmpty()
-        files, layers = dict(old["files"]), list(old["layers"])
+        if files and len(layers) < self.layers:
+            ranked = latest(counted, self.key, order)
+            (ranked.sortWithinPartitions(*by) if by else ranked).write.mode("overwrite").options(**self.options).parquet(f"{self.path}/data/v={version}/layer")
+            batch, made = self._made(version, ranked.schema)
+            some = not batch.isEmpty()
+            layers += [made["layer"]] if some else []
+        else:
+            ranked = latest(self._dealt(counted, old["buckets"]), [PART, self.key], order)
+            self._write(ranked, version, by)
+            batch, made = self._made(version, ranked.drop("_bucket", PART).schema)
+            some = bool(made)
         schema = batch.schema if old["schema"] is None else self.spark.createDataFrame([], StructType.fromJson(old["schema"])).unionByName(batch.limit(0), allowMissingColumns=True).schema
-        if some and len(layers) < self.layers and files:
-            if check:
-                check(batch)
-            layers.append([PLACE.search(f)[0] for f in batch.inputFiles()])
-        elif some:
-            batch = self._newest([*[self._files(old, f) for f in layers], batch])
-            files |= self._fold(old, batch.withColumn("_bucket", bucket), bucket, version, schema, by, check)
-            layers = []
+        if some and "layer" not in made:
+            if files or layers:
+                self._fold(old, batch, list(made), version, by)
+                _, made = self._made(version, schema)
+            files, layers = files | made, []
+        if some and check:
+            check(self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for own in made.values() for f in own]))
         self._save(f"manifest/{version}", {"buckets": old["buckets"], "schema": schema.jsonValue(), "files": files, "layers": layers})
         self.note(**state, version=version)
-        if len(layers) <= len(old["layers"]):
-            self._drop(layer)
+        if not some:
+            self._drop(f"data/v={version}")
         self.expire()
         return int(seen.get["rows"]) if some else 0
 
-    def _fold(self, old: dict, batch: DataFrame, bucket: Column, version: int, schema: StructType, by: list[str], check: Callable[[DataFrame], None] | None) -> dict[str, list[str]]:
-        """Write the buckets that a batch (with _bucket) touches anew; their files."""
-        touched = [r[0] for r in batch.select("_bucket").distinct().collect()]  # as many as there are buckets, at most
-        merged = old["schema"] is not None
-        new = batch
-        if merged:
-            new = self._buckets(old, touched).withColumn("_bucket", bucket).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
-        new = new.repartition("_bucket")  # the one shuffle of old rows: a bucket's keys meet, and are written, where it is
-        if merged:
-            first = F.row_number().over(Window.partitionBy("_bucket", self.key).orderBy(F.col("_new").desc_nulls_last()))
-            new = new.withColumn("_nth", first).filter("_nth = 1").drop("_nth", "_new")
-        if check:
-            check(new.drop("_bucket"))
-        new.sortWithinPartitions("_bucket", *by).write.mode("append").options(**self.options).partitionBy("_bucket").parquet(f"{self.path}/data/v={version}")
+    def _dealt(self, rows: DataFrame, buckets: int, touched: list[int] | None = None) -> DataFrame:
+        """Rows with _bucket and PART, a partition for each piece of a bucket; rows of a key are in one.
+
+        Tasks are as many as Spark's shuffles have, so that what one of them holds doesn't grow with a bucket.
+        """
+        pieces = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
+        text = F.col(self.key).cast("string")
+        rows = rows.withColumn("_bucket", self._bucket(buckets))
+        nth = F.col("_bucket")
+        if touched is not None:
+            place = {b: k for k, b in enumerate(touched)}
+            nth = F.element_at(F.lit([place.get(b, 0) for b in range(buckets)]), nth + 1)
+        # another hash than the bucket's, so that its pieces are even
+        part = (nth * pieces + F.pmod(F.xxhash64(text, F.lit(5)), F.lit(pieces))).cast("int")
+        return rows.withColumn(PART, part).repartitionById((buckets if touched is None else len(touched)) * pieces, PART)
+
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, version: int, by: list[str]) -> None:
+        rows.drop(PART).sortWithinPartitions("_bucket", *by).write.mode("append").options(**self.options).partitionBy("_bucket").parquet(f"{self.path}/data/v={version}")
+
+    def _made(self, version: int, schema: StructType) -> tuple[DataFrame, dict[str, list[str]]]:
+        """The rows that a version has written, and their files by bucket (or layer)."""
+        rows = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/data/v={version}")
         made: dict[str, list[str]] = {}
-        for f in self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/data/v={version}").inputFiles():
-            if (place := PLACE.search(f)) and place[1]:
-                made.setdefault(place[1], []).append(place[0])
-        return made
+        for f in rows.inputFiles():
+            if place := PLACE.search(f):
+                made.setdefault(place[1] or "layer", []).append(place[0])
+        return rows, made
+
+    def _fold(self, old: dict, batch: DataFrame, buckets: list[str], version: int, by: list[str]) -> None:
+        """Write the rows of touched buckets, and of layers, that a batch leaves, beside the batch's own files.
+
+        Old rows are shuffled once, and of the batch its keys only.
+        """
+        layers = [self._files(old, f) for f in old["layers"]]
+        touched = set(map(int, buckets))
+        for rows in layers:
+            touched |= {r[0] for r in rows.select(self._bucket(old["buckets"])).distinct().collect()}  # as many as there are buckets, at most
+        rows = self._buckets(old, sorted(touched)).withColumn("_layer", F.lit(0))
+        for k, layer in enumerate([*layers, batch.select(self.key)], 1):
+            rows = rows.unionByName(layer.withColumn("_layer", F.lit(k)), allowMissingColumns=True)
+        first = F.row_number().over(Window.partitionBy(PART, self.key).orderBy(F.col("_layer").desc()))
+        left = self._dealt(rows, old["buckets"], sorted(touched)).withColumn("_nth", first).filter(F.col("_nth") == 1).filter(F.col("_layer") <= len(layers))
+        self._write(left.drop("_nth", "_layer"), version, [c for c in by if c in left.columns])
 
     def expire(self, held_hours: float = 24) -> list[int]:
         """Delete snapshots before the newest keep ones that no reader holds, and files that no other names; what was deleted.
