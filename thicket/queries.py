@@ -166,15 +166,16 @@ def load_limit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _ordered_tsv(spark: SparkSession, d: str, df: DataFrame) -> str:
-    """Rows of df in upsert order, oldest first, in several files whose names sort."""
-    return _write_tsv(df.repartitionByRange(6, "l_shipdate", "l_partkey", "l_suppkey", "gbifID").sortWithinPartitions("l_shipdate", "l_partkey", "l_suppkey", "gbifID").drop("l_shipdate", "l_partkey", "l_suppkey"))
+    """Rows of df in upsert order, oldest first, in several files whose names sort, as many as Spark's shuffles have tasks."""
+    return _write_tsv(df.repartitionByRange(max(6, int(spark.conf.get("spark.sql.shuffle.partitions"))), "l_shipdate", "l_partkey", "l_suppkey", "gbifID").sortWithinPartitions("l_shipdate", "l_partkey", "l_suppkey", "gbifID").drop("l_shipdate", "l_partkey", "l_suppkey"))
 
 
-def _small_splits(spark: SparkSession, run: Callable[[], None]) -> None:
-    """Run a job whose files are read in splits of 256 KB."""
+def _small_splits(spark: SparkSession, path: str, run: Callable[[], None]) -> None:
+    """Run a job whose files are read in splits of 256 KB, or of a quarter of a file where files are large, so that tasks are as many at any size."""
     name = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(1 << 18))
+    n, size = files.folder_size(spark, path)
+    spark.conf.set(name, str(max(1 << 18, size // (4 * max(n, 1)))))
     try:
         run()
     finally:
@@ -194,7 +195,7 @@ def source_order(spark: SparkSession, d: str) -> DataFrame:
     raw = fixture.raw(spark, d)
     path = _ordered_tsv(spark, d, raw.select("gbifID", F.col("species").alias("scientificName"), "taxonKey", F.col("lat").alias("decimalLatitude"), F.col("lon").alias("decimalLongitude"), "year", "month", "countryCode", "eventDate", "lastInterpreted", "l_shipdate", "l_partkey", "l_suppkey"))
     store = Store(spark, files.scratch(spark))
-    _small_splits(spark, lambda: store.apply(files.read_delta(spark, path)))
+    _small_splits(spark, path, lambda: store.apply(files.read_delta(spark, path)))
     return store.read()
 
 

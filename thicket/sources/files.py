@@ -74,6 +74,13 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of files in a folder that Spark has written, markers left out, and their bytes."""
+    p, fs = _fs(spark, path)
+    found = [s.getLen() for s in fs.listStatus(p) if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+    return len(found), sum(found)
+
+
 def load_json(spark: SparkSession, path: str) -> dict | None:
     """The object in a small file, None if there is no such file; no job is run for it."""
     p, fs = _fs(spark, path)
