@@ -354,3 +354,21 @@ def test_classifier_learns_from_few_rows(spark):
     for held_out in (False, True):
         mine = [r for r in got if r["held_out"] == held_out]
         assert sum(r["predicted"] == r["quality"] for r in mine) > max(sum(r["quality"] == q for r in mine) for q in (0, 1))
+
+
+def test_the_driver_gets_the_quality_model_alone(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i % 7} text number {i} of a {'good' if i % 2 else 'bad'} kind " * 5) for i in range(300)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    given, collect = [], type(docs).collect
+
+    def counting(df):
+        rows = collect(df)
+        given.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(docs), "collect", counting)
+    model = quality.fit_on(docs, labels)
+    monkeypatch.undo()
+    assert sum(given) <= 2 and model.weights.shape == (1 << quality.BITS,)
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert all((score > 0.5) == bool(i % 2) for i, score in got.items())

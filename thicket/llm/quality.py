@@ -4,7 +4,7 @@ A text becomes a sparse vector over 2**bits buckets: words, word pairs, the shap
 of words ("Ab9%" for "Haus42%%") and pairs of shapes, a pair of equal words having a
 shape of its own. Each family is divided by its number of n-grams. The model is
 fitted with FTRL-proximal updates, one example at a time, on the features of a bounded
-sample of labelled rows, which executors make; scoring is a sparse dot product for each text, inside Arrow batches,
+sample of labelled rows, in one task, which gives the driver the weights; scoring is a sparse dot product for each text, inside Arrow batches,
 and reads every whole text.
 
 Defined cases: a null or empty text is scored by the bias alone; null labels are not
@@ -107,18 +107,27 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray]], labels: list[int], bits:
     return QualityModel(bits, final[:-1].astype(np.float32), float(final[-1]))
 
 
-def examples_of(texts: DataFrame, bits: int = BITS) -> DataFrame:
-    """texts has _y, _t. Rows: label, packed (buckets, then shares), hash; a text of any length has at most 2**bits + 1 of each."""
+def _packed(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple[bytes, int]]:
+    """Packed examples (buckets, then shares) and labels of batches of _y, _t; a text of any length has at most 2**bits + 1 of each."""
+    powers = tx.Powers()
+    for batch in batches:
+        labels = batch.column(0).to_pylist()
+        for i, _, data, offsets in tx.slices(batch.column(1)):
+            buckets, first = features(data, offsets, bits, powers)
+            for k, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True), i):
+                yield b"".join(x.tobytes() for x in example(buckets[:, a:b], bits)), labels[k]
+
+
+def learn(texts: DataFrame, bits: int = BITS) -> DataFrame:
+    """texts has _y, _t, in one partition. One row: the weights, the bias; examples stay in the task, so that the driver gets the model alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = tx.Powers()
-        for batch in batches:
-            for i, j, data, offsets in tx.slices(batch.column(1)):
-                buckets, first = features(data, offsets, bits, powers)
-                packed = [b"".join(x.tobytes() for x in example(buckets[:, a:b], bits)) for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(packed, pa.binary())], names=["label", "packed"])
+        found = sorted(_packed(batches, bits))  # an order that does not depend on how rows came
+        cut = [len(packed) // 2 for packed, _ in found]
+        made = fit([(np.frombuffer(x, np.uint32, n // 4), np.frombuffer(x, np.float32, n // 4, n)) for (x, _), n in zip(found, cut, strict=True)], [y for _, y in found], bits)
+        yield pa.RecordBatch.from_arrays([pa.array([made.weights.tobytes()], pa.binary()), pa.array([made.bias])], names=["weights", "bias"])
 
-    return texts.select("_y", "_t").mapInArrow(tx.giving_back(run), "label int, packed binary")
+    return texts.select("_y", "_t").mapInArrow(tx.giving_back(run), "weights binary, bias double")
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: int = 5, held_out: int = 0, fit_rows: int = FIT_ROWS) -> QualityModel:
@@ -127,9 +136,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     chosen = hash_sample(known.distinct(), "_k", fit_rows, 11)
     # chosen has about fit_rows keys with two labels at most, so that it can be broadcast whatever the input's size, and whatever keys repeat
     rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_k").orderBy(F.xxhash64("_k", F.lit(11)), "_k", "_y", F.xxhash64("_t")).limit(fit_rows)
-    found = sorted(examples_of(rows).collect(), key=lambda r: (r["packed"], r["label"]))  # an order that does not depend on how rows came
-    cut = [len(r["packed"]) // 2 for r in found]
-    return fit([(np.frombuffer(r["packed"], np.uint32, n // 4), np.frombuffer(r["packed"], np.float32, n // 4, n)) for r, n in zip(found, cut, strict=True)], [r["label"] for r in found])
+    model = learn(rows.coalesce(1)).first()
+    return fit([], []) if model is None else QualityModel(BITS, np.frombuffer(model["weights"], np.float32), model["bias"])
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", out: str = "score") -> DataFrame:
