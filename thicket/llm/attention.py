@@ -25,6 +25,8 @@ SINGLE, GROUPS = 48, 48
 #: Class of the ids that no training document has, and the number of ids whose followers are counted.
 UNSEEN, COLUMNS = SINGLE + GROUPS, 256
 _OUTSIDE = 65535
+#: Scored places whose classes are looked at together, so that what is made of them stays in a processor's cache.
+BLOCK = 20 * STRIDE
 
 
 @dataclass
@@ -47,8 +49,13 @@ def windows(first: np.ndarray, chosen: np.ndarray | None = None) -> np.ndarray:
     nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
     if chosen is not None:
         text, nth = text[chosen], nth[chosen]
-    at = nth[:, None] * STRIDE - LEAD + np.arange(WINDOW)
-    return np.where((at >= 0) & (at < sizes[text][:, None]), at + first[text][:, None], -1)
+    at = (nth * STRIDE - LEAD + first[text])[:, None] + np.arange(WINDOW)
+    at[nth == 0, :LEAD] = -1
+    last = np.flatnonzero(nth == many[text] - 1)
+    ends = at[last]
+    ends[ends >= first[text[last] + 1][:, None]] = -1
+    at[last] = ends
+    return at
 
 
 #: The places that each scored one looks at.
@@ -71,90 +78,79 @@ class Room:
 def forward(p: dict[str, np.ndarray], ids: np.ndarray, begins: np.ndarray, room: Room) -> tuple[np.ndarray, ...]:
     """Hidden states of the scored places of windows of ids (batch, WINDOW), and what the gradient needs. The arrays are room's.
 
-    Windows that begin a text have nothing in their first LEAD places.
+    Windows that begin a text have nothing in their first LEAD places. Queries meet inputs by the product of the query's and
+    the key's weights, and weighted inputs go out by that of the value's and the output's, so that there are no keys or values.
     """
     b, d = len(ids), p["embed"].shape[1]
+    look, mix = folded(p)
     x = np.take(p["embed"], ids, axis=0, out=room.of("x", b, WINDOW, d), mode="clip")
     x += p["place"]
-    qkv = np.matmul(x.reshape(-1, d), p["qkv"], out=room.of("qkv", b * WINDOW, 3 * d)).reshape(b, WINDOW, 3 * d)
-    k, v = qkv[..., d : 2 * d], qkv[..., 2 * d :]
-    q = np.multiply(qkv[:, LEAD:, :d], np.float32(d**-0.5), out=room.of("q", b, STRIDE, d))
-    a = np.matmul(q, k.transpose(0, 2, 1), out=room.of("a", b, STRIDE, WINDOW))
+    own, across = room.of("own", b * STRIDE, d), room.of("across", b, d, WINDOW)
+    np.copyto(own.reshape(b, STRIDE, d), x[:, LEAD:])
+    np.copyto(across, x.transpose(0, 2, 1))
+    q = np.matmul(own, look, out=room.of("q", b * STRIDE, d))
+    a = np.matmul(q.reshape(b, STRIDE, d), across, out=room.of("a", b, STRIDE, WINDOW))
     if a.max(initial=0) > 60:
         np.minimum(a, 60, out=a)
     np.exp(a, out=a)
     a *= _CAUSAL
     a[begins, :, :LEAD] = 0
-    total = (a.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)).reshape(b, STRIDE, 1)
-    y = np.matmul(a, v, out=room.of("y", b, STRIDE, d))
-    y /= total
-    h = np.matmul(y.reshape(-1, d), p["out"], out=room.of("h", b * STRIDE, d)).reshape(b, STRIDE, d)
-    h += x[:, LEAD:]
-    t = np.matmul(h.reshape(-1, d), p["up"], out=room.of("t", b * STRIDE, p["up"].shape[1]))
-    np.maximum(t, 0, out=t)
-    g = np.matmul(t, p["down"], out=room.of("g", b * STRIDE, d)).reshape(b, STRIDE, d)
+    weight = 1 / (a.reshape(-1, WINDOW) @ np.ones((WINDOW, 1), np.float32))
+    y = np.matmul(a, x, out=room.of("y", b, STRIDE, d)).reshape(-1, d)
+    y *= weight
+    h = np.matmul(y, mix, out=room.of("h", b * STRIDE, d))
+    h += own
+    t, g = room.of("t", len(h), p["up"].shape[1]), room.of("g", len(h), d)
+    for i in range(0, len(h), BLOCK):
+        at = slice(i, i + BLOCK)
+        np.maximum(np.matmul(h[at], p["up"], out=t[at]), 0, out=t[at])
+        np.matmul(t[at], p["down"], out=g[at])
     g += h
-    return g, x, q, k, v, a, total, y, h, t
+    return g.reshape(b, STRIDE, d), x, own, across, q, a, weight, y, h, t
 
 
-def tables(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """What the layer makes of each id and of each place, for scoring: beside a scored place (input, query), and for a looked at one (key, output)."""
-    d = p["embed"].shape[1]
-    key, value = p["qkv"][:, d : 2 * d], p["qkv"][:, 2 * d :] @ p["out"]
-    query = p["qkv"][:, :d] * np.float32(d**-0.5)
-    both = [np.hstack([x, x @ query]) for x in (p["embed"], p["place"][LEAD:])]
-    seen = [np.hstack([x @ key, x @ value]) for x in (p["embed"], p["place"])]
-    return both[0], both[1], seen[0], seen[1]
+def folded(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The product of the query's weights, scaled, and the key's, and that of the value's and the output's."""
+    d = len(p["out"])
+    query, key, value = p["qkv"][:, :d], p["qkv"][:, d : 2 * d], p["qkv"][:, 2 * d :]
+    return query @ key.T * np.float32(d**-0.5), value @ p["out"]
 
 
-def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarray, batch: int = 128) -> np.ndarray:
-    """Natural log probability of each text; ids are those of all texts, each with its end id.
+def _largest(g: np.ndarray, classes: np.ndarray) -> float:
+    """No product of a row and a class is larger than this, nor less than it with its sign changed."""
+    ones = np.ones(len(classes), np.float32)
+    return math.sqrt(((g * g) @ ones).max(initial=0)) * math.sqrt((ones @ (classes * classes)).max())
 
-    The same model as forward's, with each id's part of the layer made once.
-    """
+
+def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarray, batch: int = 80) -> np.ndarray:
+    """Natural log probability of each text; ids are those of all texts, each with its end id."""
     before, places = befores(ids, first), windows(first)
+    own = model.class_of[ids]
     logs = np.zeros(len(ids))
     p, room = model.parts, Room()
     d, n = p["classes"].shape
-    at_id, at_place, seen_id, seen_place = tables(p)
-    often, longest = np.exp(p["bias"]), float(np.sqrt((p["classes"] ** 2).sum(0).max()))
-    ones, lines = np.ones(WINDOW, np.float32), np.arange(batch * STRIDE)
+    often = np.exp(p["bias"])
+    lines, z = np.arange(BLOCK), room.of("z", BLOCK, n)
     log_new, log_known = (np.log(model.unseen) if model.unseen else -np.inf), np.log1p(-model.unseen) if model.unseen < 1 else -np.inf
     for i in range(0, len(places), batch):
         at = places[i : i + batch]
-        into, b = before[at], len(at)
-        xq = np.take(at_id, into[:, LEAD:], axis=0, out=room.of("xq", b, STRIDE, 2 * d), mode="clip")
-        xq += at_place
-        kv = np.take(seen_id, into, axis=0, out=room.of("kv", b, WINDOW, 2 * d), mode="clip")
-        kv += seen_place
-        k = room.of("k", b, d, WINDOW)
-        np.copyto(k, kv[..., :d].transpose(0, 2, 1))
-        a = np.matmul(xq[..., d:], k, out=room.of("a", b, STRIDE, WINDOW))
-        if a.max(initial=0) > 60:
-            np.minimum(a, 60, out=a)
-        np.exp(a, out=a)
-        a *= _CAUSAL
-        a[at[:, 0] < 0, :, :LEAD] = 0
-        total = (a.reshape(-1, WINDOW) @ ones).reshape(b, STRIDE, 1)
-        h = np.matmul(a, kv[..., d:], out=room.of("h", b, STRIDE, d))
-        h /= total
-        h += xq[..., :d]
-        h = h.reshape(-1, d)
-        t = np.matmul(h, p["up"], out=room.of("t", len(h), p["up"].shape[1]))
-        np.maximum(t, 0, out=t)
-        g = np.matmul(t, p["down"], out=room.of("g", len(h), d))
-        g += h
-        z = np.matmul(g, p["classes"], out=room.of("z", len(h), n))
-        if longest * float(np.sqrt(np.einsum("ij,ij->i", g, g).max())) > 60:
-            np.clip(z, -60, 60, out=z)
+        g = forward(p, before[at], at[:, 0] < 0, room)[0].reshape(-1, d)
+        large = _largest(g, p["classes"]) > 60
         target = at[:, LEAD:].ravel()
-        own = model.class_of[ids[target]]
-        known = np.minimum(own, n - 1)
-        right = z[lines[: len(z)], known] + p["bias"][known]
-        found = np.where(own == UNSEEN, log_new, right - np.log(np.exp(z, out=z) @ often) + log_known)
+        known = np.minimum(own[target], n - 1)
+        right, total = np.empty(len(g), np.float32), np.empty(len(g), np.float32)
+        for j in range(0, len(g), BLOCK):
+            rows = slice(j, j + BLOCK)
+            part = np.matmul(g[rows], p["classes"], out=z[: len(g) - j])
+            if large:
+                np.clip(part, -60, 60, out=part)
+            right[rows] = part[lines[: len(part)], known[rows]]
+            np.matmul(np.exp(part, out=part), often, out=total[rows])
+        found = right + p["bias"][known] - np.log(total) + log_known
         if target.min(initial=0) < 0:
             found, target = found[target >= 0], target[target >= 0]
         logs[target] = found
+    logs[own == UNSEEN] = log_new
     logs += share_logs[ids]
     return np.bincount(np.repeat(np.arange(len(first) - 1), np.diff(first)), logs, len(first) - 1)
 
@@ -239,60 +235,90 @@ def start(class_of: np.ndarray, counts: np.ndarray, d: int = 16, hidden: int = 3
 def fit(model: Model, rows: np.ndarray, picks: Iterable[np.ndarray], steps: int, rate: float) -> np.ndarray:
     """Change the model by one step of Adam for each pick of rows; how often each id was used."""
     p, class_of = model.parts, model.class_of
-    d, used = p["embed"].shape[1], np.zeros(VOCAB, np.int64)
-    moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in p.items() if k != "embed"}
-    room, ones = Room(), np.ones(p["classes"].shape[1], np.float32)
+    (d, n), used = p["classes"].shape, np.zeros(VOCAB, np.int64)
+    whole, parts = _in_one({k: x for k, x in p.items() if k != "embed"})
+    p |= parts
+    slopes, grad = _in_one(parts)
+    m, s = np.zeros_like(whole), np.zeros_like(whole)
+    room, scale = Room(), np.float32(d**-0.5)
+    z = room.of("z", BLOCK, n)
+    query, key, value = p["qkv"][:, :d], p["qkv"][:, d : 2 * d], p["qkv"][:, 2 * d :]
     for step, pick in enumerate(picks, 1):
-        ids = rows[pick].astype(np.int64)
+        ids = np.take(rows, pick, axis=0)
         into, aim = np.minimum(ids[:, :-1], END), ids[:, LEAD + 1 :].ravel()
-        target = class_of[np.minimum(aim, END)]
+        target = np.take(class_of, aim, mode="clip")
         mine = ((aim != _OUTSIDE) & (target != UNSEEN)).astype(np.float32)
         if not mine.any():
             continue
         mine /= mine.sum()
+        target = np.minimum(target, n - 1)
+        cell = target + np.arange(0, n * BLOCK, n)[np.arange(len(target)) % BLOCK]
         b = len(ids)
-        g, x, q, k, v, a, total, y, h, t = forward(p, into, ids[:, 0] == _OUTSIDE, room)
-        a /= total
-        gs = g.reshape(-1, d)
-        dz = np.matmul(gs, p["classes"], out=room.of("z", len(gs), p["classes"].shape[1]))
-        dz += p["bias"]
-        np.clip(dz, -60, 60, out=dz)
-        np.exp(dz, out=dz)
-        dz *= (mine / (dz @ ones))[:, None]
-        dz[np.arange(len(dz)), np.minimum(target, len(ones) - 1)] -= mine
-        grad = {"classes": gs.T @ dz, "bias": np.ones(len(dz), np.float32) @ dz}
-        flat = dz @ p["classes"].T
-        grad["down"] = t.T @ flat
-        dt = flat @ p["down"].T
-        dt *= t > 0
-        grad["up"] = h.reshape(-1, d).T @ dt
-        dh = flat + dt @ p["up"].T
-        grad["out"] = y.reshape(-1, d).T @ dh
-        dy = (dh @ p["out"].T).reshape(y.shape)
-        da = np.matmul(dy, v.transpose(0, 2, 1), out=room.of("da", *a.shape))
-        da -= np.einsum("bij,bij->bi", da, a)[:, :, None]
+        g, x, own, across, q, a, weight, y, h, t = forward(p, into.astype(np.int64), ids[:, 0] == _OUTSIDE, room)
+        g = g.reshape(-1, d)
+        slopes[:] = 0
+        often = np.exp(np.minimum(np.maximum(p["bias"], -60), 60))
+        back, up_back, down_back = (p["classes"] * often).T.copy(), p["up"].T.copy(), p["down"].T.copy()
+        wants = 1 / often[target]
+        large = _largest(g, p["classes"]) > 60
+        dh = room.of("dh", len(g), d)
+        for i in range(0, len(g), BLOCK):
+            at = slice(i, i + BLOCK)
+            e = np.matmul(g[at], p["classes"], out=z[: len(g) - i])
+            if large:
+                np.clip(e, -60, 60, out=e)
+            np.exp(e, out=e)
+            total = e @ often
+            share = mine[at] / total  # the gradient of z is e * often * share, less mine at the target
+            flat_e = e.reshape(-1)
+            flat_e[cell[at]] -= total * wants[at]
+            grad["classes"] += (g[at] * share[:, None]).T @ e
+            grad["bias"] += share @ e
+            flat = np.matmul(e, back, out=dh[at])
+            flat *= share[:, None]
+            grad["down"] += t[at].T @ flat
+            dt = flat @ down_back
+            dt *= np.ceil(np.minimum(t[at], 1))  # 1 where t is above 0
+            grad["up"] += h[at].T @ dt
+            flat += dt @ up_back
+        grad["classes"] *= often
+        grad["bias"] *= often
+        look, mix = folded(p)
+        to_mix = y.T @ dh
+        dy = np.matmul(dh, mix.T, out=room.of("dy", len(g), d))
+        inner = np.einsum("ij,ij->i", dy, y)[:, None] * weight
+        dy *= weight
+        da = np.matmul(dy.reshape(b, STRIDE, d), across, out=room.of("da", *a.shape))
+        da -= inner.reshape(b, STRIDE, 1)
         da *= a  # of the scaled products
-        dqkv = room.of("dqkv", b, WINDOW, 3 * d)
-        dqkv[:, :LEAD, :d] = 0
-        dqkv[:, LEAD:, :d] = np.matmul(da, k) * np.float32(d**-0.5)
-        dqkv[..., d : 2 * d] = da.transpose(0, 2, 1) @ q
-        dqkv[..., 2 * d :] = a.transpose(0, 2, 1) @ dy
-        grad["qkv"] = x.reshape(-1, d).T @ dqkv.reshape(-1, 3 * d)
-        dx = (dqkv.reshape(-1, 3 * d) @ p["qkv"].T).reshape(b, WINDOW, d)
+        dq = np.matmul(da, x, out=room.of("dq", b, STRIDE, d)).reshape(-1, d)
+        dx = np.matmul(da.transpose(0, 2, 1), q.reshape(b, STRIDE, d), out=room.of("dx", b, WINDOW, d))
+        dx += np.matmul(a.transpose(0, 2, 1), dy.reshape(b, STRIDE, d), out=room.of("dx2", b, WINDOW, d))
+        to_look = own.T @ dq * scale
+        dh += dq @ look.T
         dx[:, LEAD:] += dh.reshape(b, STRIDE, d)
-        grad["place"] = dx.sum(0)
+        for i, x in enumerate((to_look @ key, to_look.T @ query, to_mix @ p["out"].T)):
+            grad["qkv"][:, i * d : i * d + d] = x
+        grad["out"][:] = value.T @ to_mix
+        grad["place"][:] = dx.sum(0)
         now = rate * min(1.0, step / 30) * (1 - 0.9 * step / steps)
-        for name, gr in grad.items():
-            m, s = moments[name]
-            m += 0.1 * (gr - m)
-            s += 0.01 * (gr * gr - s)
-            p[name] -= (now * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-        order = np.argsort(into.astype(np.uint16), None, kind="stable")
+        m += 0.1 * (slopes - m)
+        s += 0.01 * (slopes * slopes - s)
+        whole -= now * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
+        order = np.argsort(into, None, kind="stable")
         ordered = into.ravel()[order]
-        begin = np.flatnonzero(np.diff(ordered, prepend=-1))
-        own = ordered[begin]
-        gr = np.add.reduceat(dx.reshape(-1, d)[order], begin, axis=0)
-        model.squares[own] += gr * gr  # rare ids get larger steps
-        p["embed"][own] -= 10 * now * gr / (np.sqrt(model.squares[own]) + 1e-6)
-        used[own] += np.diff(begin, append=len(ordered))
+        begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        found = ordered[begin].astype(np.int64)
+        gr = np.add.reduceat(np.take(dx.reshape(-1, d), order, axis=0), begin, axis=0)
+        squares = np.take(model.squares, found, axis=0) + gr * gr  # rare ids get larger steps
+        model.squares[found] = squares
+        p["embed"][found] = np.take(p["embed"], found, axis=0) - 10 * now * gr / (np.sqrt(squares) + 1e-6)
+        used[found] += np.concatenate([begin[1:], [len(ordered)]]) - begin
     return used
+
+
+def _in_one(parts: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Copies of the arrays one after the other, and the view of each."""
+    whole = np.concatenate([x.ravel() for x in parts.values()])
+    ends = np.cumsum([x.size for x in parts.values()]).tolist()
+    return whole, {k: whole[end - x.size : end].reshape(x.shape) for (k, x), end in zip(parts.items(), ends, strict=True)}
