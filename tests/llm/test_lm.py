@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -110,6 +111,83 @@ def test_scores_are_those_of_the_model():
     assert np.allclose(nn.score(model, ids, first, np.zeros(nn.VOCAB)), want, rtol=1e-4)
 
 
+def test_a_step_follows_the_slope():
+    """The first step of Adam moves each parameter by the rate, against the sign of its slope as differences of the loss give it."""
+    ids, first = sample()
+    counts = np.bincount(ids, minlength=nn.VOCAB)
+    model, rows = nn.start(nn.classes(counts, *nn.contexts(ids, first, nn.columns(counts))), counts), nn.sequences(ids, first)[:50]
+
+    def loss(p):
+        p = {k: v.astype(np.float64) for k, v in p.items()}
+        into, d = np.minimum(rows[:, :-1], nn.END), 16
+        x = p["embed"][into] + p["place"]
+        q, k, v = (x @ p["qkv"][:, i * d : (i + 1) * d] for i in range(3))
+        seen = np.tri(nn.STRIDE, nn.WINDOW, nn.LEAD) * ~((rows[:, :1, None] == 65535) & (np.arange(nn.WINDOW) < nn.LEAD))
+        w = np.exp(q[:, nn.LEAD :] @ k.transpose(0, 2, 1) * d**-0.5) * seen
+        h = x[:, nn.LEAD :] + w @ v / w.sum(-1, keepdims=True) @ p["out"]
+        z = (h + np.maximum(h @ p["up"], 0) @ p["down"]) @ p["classes"] + p["bias"]
+        aim = rows[:, nn.LEAD + 1 :].astype(int)
+        own = np.take_along_axis(z, model.class_of[np.minimum(aim, nn.END)][..., None], -1)[..., 0]
+        return (np.log(np.exp(z).sum(-1)) - own)[aim != 65535].mean()
+
+    rng, before = np.random.default_rng(5), {k: v.copy() for k, v in model.parts.items()}
+    nn.fit(model, rows, [np.arange(len(rows))], 1, 0.03)
+    for name in before:
+        for _ in range(12):
+            at = tuple(rng.integers(0, n) for n in before[name].shape)
+            if name == "embed":
+                at = (int(rng.choice(rows[:, 10][rows[:, 10] < nn.END])), at[1])
+            near = [{**before, name: before[name].astype(np.float64)} for _ in range(2)]
+            near[0][name][at] += 1e-4
+            near[1][name][at] -= 1e-4
+            slope = (loss(near[0]) - loss(near[1])) / 2e-4
+            if abs(slope) > 1e-5:
+                assert np.sign(before[name][at] - model.parts[name][at]) == np.sign(slope), name
+
+
+def test_large_products_are_clipped_with_their_bias():
+    """A class's product may be above 60 where its bias brings it below; only the sum is held there."""
+    ids, first = sample()
+    counts = np.bincount(ids, minlength=nn.VOCAB)
+    model, rows = nn.start(nn.classes(counts, *nn.contexts(ids, first, nn.columns(counts))), counts), nn.sequences(ids, first)[:80]
+    p, end = model.parts, nn.END
+    p["classes"] *= 300
+    into = np.minimum(rows[:, :-1], end).astype(np.int64)
+    z = nn.forward(p, into, rows[:, 0] == 65535, nn.Room())[0].reshape(-1, 16) @ p["classes"]
+    assert z.max() > 61
+    p["bias"] -= np.float32(z.max() - 50)
+    w = np.exp(np.clip(z + p["bias"], -60, 60).astype(np.float64))
+    aim = rows[:, nn.LEAD + 1 :].ravel().astype(int)
+    mine = aim != 65535
+    slope = (w / w.sum(1, keepdims=True))[mine].sum(0) - np.bincount(model.class_of[aim[mine]], minlength=w.shape[1])
+    before = p["bias"].copy()
+    nn.fit(model, rows, [np.arange(len(rows))], 1, 0.03)
+    sure = np.abs(slope) > 1e-2
+    assert (np.sign(before - model.parts["bias"]) == np.sign(slope))[sure].all()
+
+
+def test_classes_are_looked_at_in_blocks():
+    """What a step holds for a window does not include a number for each scored place and class, nor keys and values."""
+    ids, first = sample()
+    counts = np.bincount(ids, minlength=nn.VOCAB)
+    model, rows = nn.start(nn.classes(counts, *nn.contexts(ids, first, nn.columns(counts))), counts), nn.sequences(ids, first)
+    pick = np.arange(2000) % len(rows)
+    tracemalloc.start()
+    nn.fit(model, rows, [pick], 1, 0.03)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / len(pick) < 40_000  # numbers of all places and classes would take 10,000 bytes more
+
+
+def test_spaced_words():
+    texts = ["", "A  b\tc", " \n", "d", "", "É x ", "e f"]
+    _, _, data, offsets = next(tx.slices(pa.array(texts)))
+    out, starts, ends, first = tx.spaced_words(data, offsets)
+    words = [[" " + "".join(c.lower() if c.isascii() else c for c in w) for w in t.split()] for t in texts]
+    assert [out[i:j].tobytes().decode() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)] == sum(words, [])
+    assert np.diff(first).tolist() == [len(w) for w in words]
+
+
 def test_training_lowers_the_loss():
     """More steps are better on the sample."""
     ids, first = sample()

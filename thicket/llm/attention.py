@@ -116,10 +116,9 @@ def folded(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return query @ key.T * np.float32(d**-0.5), value @ p["out"]
 
 
-def _largest(g: np.ndarray, classes: np.ndarray) -> float:
-    """No product of a row and a class is larger than this, nor less than it with its sign changed."""
-    ones = np.ones(len(classes), np.float32)
-    return math.sqrt(((g * g) @ ones).max(initial=0)) * math.sqrt((ones @ (classes * classes)).max())
+def _longest(rows: np.ndarray) -> float:
+    """The length of the longest row."""
+    return math.sqrt(((rows * rows) @ np.ones(rows.shape[1], np.float32)).max(initial=0))
 
 
 def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarray, batch: int = 80) -> np.ndarray:
@@ -129,13 +128,13 @@ def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarr
     logs = np.zeros(len(ids))
     p, room = model.parts, Room()
     d, n = p["classes"].shape
-    often = np.exp(p["bias"])
-    lines, z = np.arange(BLOCK), room.of("z", BLOCK, n)
+    often, longest = np.exp(p["bias"]), _longest(p["classes"].T)
+    lines, z = np.arange(0, n * BLOCK, n), room.of("z", BLOCK, n)
     log_new, log_known = (np.log(model.unseen) if model.unseen else -np.inf), np.log1p(-model.unseen) if model.unseen < 1 else -np.inf
     for i in range(0, len(places), batch):
         at = places[i : i + batch]
         g = forward(p, before[at], at[:, 0] < 0, room)[0].reshape(-1, d)
-        large = _largest(g, p["classes"]) > 60
+        large = _longest(g) * longest > 60
         target = at[:, LEAD:].ravel()
         known = np.minimum(own[target], n - 1)
         right, total = np.empty(len(g), np.float32), np.empty(len(g), np.float32)
@@ -144,7 +143,7 @@ def score(model: Model, ids: np.ndarray, first: np.ndarray, share_logs: np.ndarr
             part = np.matmul(g[rows], p["classes"], out=z[: len(g) - j])
             if large:
                 np.clip(part, -60, 60, out=part)
-            right[rows] = part[lines[: len(part)], known[rows]]
+            np.take(part.reshape(-1), known[rows] + lines[: len(part)], out=right[rows], mode="clip")
             np.matmul(np.exp(part, out=part), often, out=total[rows])
         found = right + p["bias"][known] - np.log(total) + log_known
         if target.min(initial=0) < 0:
@@ -241,7 +240,8 @@ def fit(model: Model, rows: np.ndarray, picks: Iterable[np.ndarray], steps: int,
     slopes, grad = _in_one(parts)
     m, s = np.zeros_like(whole), np.zeros_like(whole)
     room, scale = Room(), np.float32(d**-0.5)
-    z = room.of("z", BLOCK, n)
+    z, seen, above = room.of("z", BLOCK, n), room.of("seen", BLOCK, d + 1), room.of("above", BLOCK, p["up"].shape[1])
+    of_classes = np.zeros((d + 1, n), np.float32)  # the last line is the bias's
     query, key, value = p["qkv"][:, :d], p["qkv"][:, d : 2 * d], p["qkv"][:, 2 * d :]
     for step, pick in enumerate(picks, 1):
         ids = np.take(rows, pick, axis=0)
@@ -256,37 +256,35 @@ def fit(model: Model, rows: np.ndarray, picks: Iterable[np.ndarray], steps: int,
         b = len(ids)
         g, x, own, across, q, a, weight, y, h, t = forward(p, into.astype(np.int64), ids[:, 0] == _OUTSIDE, room)
         g = g.reshape(-1, d)
-        slopes[:] = 0
-        often = np.exp(np.minimum(np.maximum(p["bias"], -60), 60))
-        back, up_back, down_back = (p["classes"] * often).T.copy(), p["up"].T.copy(), p["down"].T.copy()
-        wants = 1 / often[target]
-        large = _largest(g, p["classes"]) > 60
+        slopes[:] = of_classes[:] = 0
+        back, up_back, down_back = p["classes"].T.copy(), p["up"].T.copy(), p["down"].T.copy()
+        large = _longest(g) * _longest(p["classes"].T) + np.abs(p["bias"]).max() > 60
         dh = room.of("dh", len(g), d)
         for i in range(0, len(g), BLOCK):
             at = slice(i, i + BLOCK)
             e = np.matmul(g[at], p["classes"], out=z[: len(g) - i])
+            e += p["bias"]
             if large:
                 np.clip(e, -60, 60, out=e)
             np.exp(e, out=e)
-            total = e @ often
-            share = mine[at] / total  # the gradient of z is e * often * share, less mine at the target
-            flat_e = e.reshape(-1)
-            flat_e[cell[at]] -= total * wants[at]
-            grad["classes"] += (g[at] * share[:, None]).T @ e
-            grad["bias"] += share @ e
+            total = e @ np.ones(n, np.float32)
+            e *= (mine[at] / total)[:, None]
+            e.reshape(-1)[cell[at]] -= mine[at]
+            seen[: len(e), :d] = g[at]
+            seen[: len(e), d] = 1
+            of_classes += seen[: len(e)].T @ e
             flat = np.matmul(e, back, out=dh[at])
-            flat *= share[:, None]
             grad["down"] += t[at].T @ flat
             dt = flat @ down_back
-            dt *= np.ceil(np.minimum(t[at], 1))  # 1 where t is above 0
+            up = np.minimum(t[at], 1, out=above[: len(e)])
+            dt *= np.ceil(up, out=up)  # 1 where t is above 0
             grad["up"] += h[at].T @ dt
             flat += dt @ up_back
-        grad["classes"] *= often
-        grad["bias"] *= often
+        grad["classes"][:], grad["bias"][:] = of_classes[:d], of_classes[d]
         look, mix = folded(p)
         to_mix = y.T @ dh
         dy = np.matmul(dh, mix.T, out=room.of("dy", len(g), d))
-        inner = np.einsum("ij,ij->i", dy, y)[:, None] * weight
+        inner = ((dy * y) @ np.ones((d, 1), np.float32)) * weight
         dy *= weight
         da = np.matmul(dy.reshape(b, STRIDE, d), across, out=room.of("da", *a.shape))
         da -= inner.reshape(b, STRIDE, 1)

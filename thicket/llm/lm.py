@@ -64,7 +64,7 @@ def word_starts(path: str) -> np.ndarray:
 
 def words_of(ids: np.ndarray, first: np.ndarray, begins: np.ndarray, powers: tx.Powers) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each word's ids, and the first word of each text."""
-    bounds = np.flatnonzero(begins[ids] | (ids == nn.END))  # each text's last id is the end
+    bounds = np.flatnonzero(np.take(begins, ids) | (ids == nn.END))  # each text's last id is the end
     starts = np.flatnonzero(ids[bounds] != nn.END)
     return tx.span_hash(ids, bounds[starts], bounds[starts + 1] if len(starts) else bounds[starts], powers), np.searchsorted(bounds[starts], first)
 
@@ -122,7 +122,7 @@ def _ask(chunks: DataFrame, ranges: int, path: str) -> DataFrame:
     """A chunk's distinct words in a range: hashes in order, and how often training documents have each."""
 
     def run(batches: Batches) -> Batches:
-        powers, begins = tx.Powers(), word_starts(path)
+        powers, begins = tokens.worker_ids(path).powers, word_starts(path)
         for row in chunk_rows(batches):
             ids, first, train = opened(row)
             found, texts = words_of(ids, first, begins, powers)
@@ -249,10 +249,10 @@ def _add_changes(packed: list[bytes]) -> bytes:
     """Values are rows of doubles, the first an id (or a place) and the others summed."""
     width = int.from_bytes(packed[0][:8], "little")
     rows = np.concatenate([np.frombuffer(raw, np.float64, -1, 8).reshape(-1, width) for raw in packed])
-    ids, at = np.unique(rows[:, 0], return_inverse=True)
-    sums = np.zeros((len(ids), width))
-    np.add.at(sums, at, rows)
-    sums[:, 0] = ids
+    rows = rows[np.argsort(rows[:, 0], kind="stable")]
+    begin = np.flatnonzero(np.diff(rows[:, 0], prepend=-1))
+    sums = np.add.reduceat(rows, begin, axis=0)
+    sums[:, 0] = rows[begin, 0]
     return width.to_bytes(8, "little") + sums.tobytes()
 
 
@@ -325,7 +325,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     schema = "_key long, _train boolean, n_tokens long, n_known long, base double, score double"
 
     def run(batches: Batches) -> Batches:
-        powers, begins = tx.Powers(), word_starts(path)
+        powers, begins = tokens.worker_ids(path).powers, word_starts(path)
         for row in chunk_rows(batches):
             ids, first, _ = opened(row)
             found, texts = words_of(ids, first, begins, powers)

@@ -67,6 +67,8 @@ SPACE = byte_set(b" \t\n\v\f\r")
 WORD = ~SPACE
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Lower case, with a space for each separator.
+SPACED = np.where(WORD, LOWER, 32).astype(np.uint8)
 
 
 def spans(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,13 +93,16 @@ def spans(member: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def spaced_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased (A-Z) words with one space before each: bytes, starts (of the spaces), ends, and the first word of each text."""
-    starts, ends, first = spans(WORD[data], offsets)
+    begins = offsets[:-1][np.diff(offsets) > 0]
+    data = np.insert(np.take(SPACED, data), begins, 32)  # a text's first word has a space before it as well
+    offsets = offsets + np.concatenate([[0], np.cumsum(np.diff(offsets) > 0)])
+    member = data != 32
+    starts, ends, first = spans(member, offsets)
     to = np.concatenate([[0], np.cumsum(ends - starts + 1)])
-    places = np.ones(to[-1], bool)
-    places[to[:-1]] = False
-    out = np.full(to[-1], 32, np.uint8)
-    out[places] = LOWER[data[WORD[data]]]
-    return out, to[:-1], to[1:], first
+    if to[-1] < len(data):
+        member[starts - 1] = True
+        data = data[member]
+    return data, to[:-1], to[1:], first
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -156,12 +156,14 @@ class Ids:
 
     def encode_spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all spans, one after another, and where each span's ids begin (one more at the end)."""
-        hashes, index, inverse = np.unique(tx.span_hash(data, starts, ends, self.powers), return_index=True, return_inverse=True)
+        hashes, inverse = np.unique(tx.span_hash(data, starts, ends, self.powers), return_inverse=True)
         at, known = self._find(hashes)
         if not known.all():
             if len(self.hashes) + len(hashes) - known.sum() > REMEMBERED:  # what is needed together is remembered together
                 self.forget()
                 known[:] = False
+            index = np.zeros(len(hashes), np.int64)
+            index[inverse] = np.arange(len(inverse))  # any span with the hash
             new = index[~known]
             self._learn(hashes[~known], data, starts[new], ends[new])
             at, _ = self._find(hashes)
