@@ -89,3 +89,43 @@ def test_word_spans_respect_text_borders():
     starts, ends, first = tx.spans(tx.WORD[data], offsets)
     assert [bytes(data[a:b]) for a, b in zip(starts, ends, strict=True)] == [b"ab", b"c", b"d", "É".encode(), b"e"]
     assert first.tolist() == [0, 2, 2, 2, 3, 5]
+
+
+def test_passages_alone_make_hardly_any_candidates(spark):
+    """Texts that share passages in common use and nothing else don't meet in blocks, but for few, however many they are."""
+    r = random.Random(5)
+    passages = [" ".join(f"p{k}_{i}" for i in range(12)) for k in range(8)]
+    rows = []
+    for i in range(400):
+        lines = [" ".join(f"t{i}_{k}_{j}" for j in range(r.randint(20, 40))) for k in range(5)]
+        for p in r.sample(passages, 3):
+            lines.insert(r.randrange(6), p)
+        rows.append((" ".join(lines),))
+    docs = spark.createDataFrame(rows, "text string").repartition(3)
+    assert jaccard._candidates(docs, "text", 5, jaccard.Signatures(4, 5), 3).count() <= 10
+
+
+def test_sets_whose_cut_hashes_agree_are_compared(spark):
+    base = " ".join(f"b{i}" for i in range(30))
+    rows = [(1, f"{base} x16690", ""), (2, f"{base} x68805", ""), (3, "one other text that is nobody's copy", "")]
+    words, first, _, _ = tx.word_hashes(*tx.utf8(__import__("pyarrow").array([r[1] for r in rows])), tx.Powers())
+    cut = [jaccard.fingerprint(np.unique(tx.shingles(words[a:b], 5)))[0] >> 32 for a, b in zip(first[:-1], first[1:], strict=True)]
+    assert cut[0] == cut[1] != cut[2]
+    assert sorted(map(tuple, jaccard.join(spark.createDataFrame(rows, SCHEMA)).collect())) == brute(rows, 5, 4, 5)
+
+
+def test_linked_sets_share_as_many_signatures_as_their_marks_say():
+    rng = np.random.default_rng(4)
+    signatures = jaccard.Signatures(4, 5)
+    told = 0
+    for _ in range(1000):
+        a = np.unique(rng.integers(0, 2**64, int(rng.integers(6, 300)), dtype=np.uint64))
+        drop = int(rng.integers(0, len(a) // 5 + 1))
+        b = np.sort(np.concatenate([rng.permutation(a)[drop:], rng.integers(0, 2**64, int(rng.integers(0, 3)), dtype=np.uint64)]))
+        if len(both := np.intersect1d(a, b)) == len(np.union1d(a, b)) or 5 * len(both) < 4 * len(np.union1d(a, b)):
+            continue
+        cuts = [[(set(t.tolist()), mark % 128) for t, mark in signatures.cuts(s)] for s in (a, b)]
+        pairs = [(t & u, max(j, k)) for t, j in cuts[0] for u, k in cuts[1] if t & u]
+        assert any(least and len(shared) >= least for shared, least in pairs)
+        told += 1
+    assert told > 300

@@ -1,5 +1,7 @@
 """The stages of the corpus pipeline against plain versions, on the smallest tables."""
 
+import random
+
 import corpus_pipeline as cp
 from tests.llm.test_jaccard import brute
 from thicket.llm import mixing, pii
@@ -79,3 +81,18 @@ def test_stages_keep_any_columns(spark):
         if name == "mixing":
             assert all(r["text"] for r in found) and {r["source"] for r in found} == {"s", "t", None}
             assert got.orderBy(*docs.columns).collect() == stage(spark, docs.repartition(5), SF).orderBy(*docs.columns).collect()
+
+
+def test_near_copies_keep_no_texts(spark, tmp_path):
+    """Texts without near copies are not written beside their table; of repeated rows one stays, of those without words all."""
+    text = lambda w: random.Random(w).randbytes(20_000).hex(" ", 4)
+    rows = [(i, text(i)) for i in range(60)] + [(7, text(7))] * 30 + [(None, " ")] * 3 + [(None, text(999))] * 3
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "docs"))
+    kept = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "kept"))
+    try:
+        got = cp.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "docs")), SF).collect()
+    finally:
+        spark.sparkContext.setCheckpointDir(kept or str(tmp_path / "other"))
+    assert sorted(map(tuple, got), key=str) == sorted([*{r for r in rows if r[1] != " "}, *[(None, " ")] * 3], key=str)
+    assert sum(p.stat().st_size for p in (tmp_path / "kept").rglob("part-*")) < 60 * 45_000

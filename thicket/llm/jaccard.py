@@ -10,9 +10,11 @@ num/den. The join is exact, up to collisions of 64-bit hashes of shingles:
    (by counters of fixed size over all of them) are left out of segments, so that passages
    in common use make no candidates; sets that are left with too few segments are cut whole,
    by other hashes, as well, until a cut has enough: of two linked sets one may stop first,
-   and the other has its cut as well. Signatures are packed into binary columns, one of a kind for
-   each batch (hot signatures shrink before the shuffle), and classes that share one are put
-   into one block by connected components.
+   and the other has its cut as well. A set with f filled segments in its last cut shares f - d of
+   its signatures with each set it links with, at least; so a set that shares fewer, with whatever sets, has no
+   links by that cut, and goes, before classes that share a signature are put into one block by connected
+   components. That keeps blocks apart whose sets share passages only, of which there are the more the larger the table.
+   Signatures are packed into binary columns, nine bytes each.
 3. Inside a block an inverted index from shingles to classes answers T-occurrence searches:
    the short lists of a query are merged with a heap, classes that occur often enough are
    probed in the long lists by binary search, and those that reach the overlap are linked.
@@ -55,6 +57,8 @@ BUCKET = 1_000_000
 _SEED = np.uint64(0xA0761D6478BD642F)
 #: Counters of shingles (powers of two), the pieces they are sent in, and the groups in which they are added up first.
 COUNTERS, PIECES, SALTS = 18, 16, 256
+#: Bits of the map of sets that share enough signatures (a power of two, at most), and its slices.
+MAP_BITS, SLICES = 25, 256
 
 
 def counter_of(s: np.ndarray) -> np.ndarray:
@@ -95,22 +99,29 @@ class Signatures:
         self.heavy = heavy if heavy is not None else np.zeros(1 << COUNTERS, bool)
 
     def of(self, s: np.ndarray) -> np.ndarray:
+        return np.concatenate([s[:0], *(cut for cut, _ in self.cuts(s))])
+
+    def cuts(self, s: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        """Signatures of each cut with its mark: 128 if they are of the set's own class, plus how many of them a set that links by
+        this cut shares at least (127 for all above; 0: not told, as it isn't the last)."""
         n = len(s)
         if n > self.firsts[-2]:
             self.firsts = size_classes(self.num, self.den, 2 * n)
         own = int(np.searchsorted(self.firsts, n, "right")) - 1
         light = s[~self.heavy[counter_of(s)]]
-        return np.concatenate([self._tagged(s, light, tag) for tag in (own - 1, own) if tag >= 0])
+        for tag in (own - 1, own):
+            if tag >= 0:
+                for cut, least in self._tagged(s, light, tag):
+                    yield cut, 128 * (tag == own) + min(127, least)
 
-    def _tagged(self, s: np.ndarray, light: np.ndarray, tag: int) -> np.ndarray:
-        """For pairs of class tag, or of it and the next: one signature for each segment with content."""
+    def _tagged(self, s: np.ndarray, light: np.ndarray, tag: int) -> Iterator[tuple[np.ndarray, int]]:
+        """For pairs of class tag, or of it and the next: one signature for each segment with content, and how many linked sets share."""
         top = self.firsts[tag + 1] - 1
         d = (self.den - self.num) * (top + top * self.den // self.num) // (self.den + self.num)
         if not d:
-            return s[:0]
-        segments = d + 2 + d // 16
+            return
+        segments = d + 2 + d // 8
         edges = (np.arange(segments + 1, dtype=np.float64) * (2.0**64 / segments)).clip(0, 2.0**64 - 2048).astype(np.uint64)
-        out = []
         # a set with few filled segments might agree on empty ones only: it is cut anew, whole and by other hashes, as well
         for turn in count():
             cut = light if not turn else np.sort(tx.mix(s + np.uint64(turn)))
@@ -118,10 +129,9 @@ class Signatures:
             at = np.searchsorted(cut, edges)
             at[-1] = len(cut)
             filled = np.flatnonzero(at[1:] > at[:-1])
-            out.append(tx.mix((sums[at[filled + 1]] - sums[at[filled]]) + filled.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.uint64((tag << 20) + turn)))
+            yield tx.mix((sums[at[filled + 1]] - sums[at[filled]]) + filled.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.uint64((tag << 20) + turn)), max(0, len(filled) - d)
             if len(filled) > d:
-                break
-        return np.concatenate(out)
+                return
 
 
 class Index:
@@ -198,8 +208,12 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     nodes = light.filter("n > 0").groupBy("f1", "f2", "n").agg(F.min("key").alias("node"))
     blocks = components(_candidates(docs, text, words, Signatures(num, den, heavy), max(1, int(total * 0.4 / BUCKET))))
     # one member of a class stands for it: its text is read again, once
-    active = nodes.filter("node IS NOT NULL").join(blocks.withColumnRenamed("node", "f1"), "f1")
-    active = active.select("node", F.col("component").alias("block"))
+    blocks = blocks.withColumnRenamed("node", "owner")
+    owners = nodes.filter("node IS NOT NULL").select("node", F.shiftrightunsigned("f1", 32).alias("owner"))
+    # sets whose hashes agree when they are cut are one owner there: they meet in its block or, if it has none, in one of their own
+    alike = owners.groupBy("owner").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").join(blocks, "owner", "left_anti")
+    blocks = blocks.unionByName(alike.select("owner", F.col("owner").alias("component")))
+    active = owners.join(blocks, "owner").select("node", F.col("component").alias("block"))
     sizes = active.groupBy("block").agg(F.countDistinct("node").alias("size"), F.min("node").alias("pivot")).withColumn("parts", F.ceil(F.col("size") / block_size))
     active = checkpoint(active.distinct().join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))))
     pivots = active.filter("node = pivot AND parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
@@ -262,65 +276,140 @@ def _heavy(pieces: DataFrame) -> tuple[np.ndarray, int]:
     return counters > 2 * counters.mean() + 100, int(counters.sum())
 
 
-def _pack(a: np.ndarray, b: np.ndarray) -> bytes:
-    return np.concatenate([a, b]).tobytes()
+#: What a signature is packed as: the part of its hash that isn't told by its bucket, the owner's first hash, cut, and the mark.
+_PACKED = (np.uint32, np.uint32, np.uint8)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    return b"".join(x.astype(kind, copy=False).tobytes() for x, kind in zip(columns, _PACKED, strict=True))
 
 
-def _unpack(rows: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(x, np.uint64).reshape(2, -1) for x in rows]
-    return tuple(np.concatenate([p[i] for p in parts]) for i in (0, 1)) if parts else (np.zeros(0, np.uint64),) * 2
+def _unpack(rows: Iterator[bytes]) -> list[np.ndarray]:
+    out = [[np.zeros(0, kind)] for kind in _PACKED]
+    for x in rows:
+        n, at = len(x) // sum(np.dtype(kind).itemsize for kind in _PACKED), 0
+        for to, kind in zip(out, _PACKED, strict=True):
+            to.append(np.frombuffer(x, kind, n, at))
+            at += to[-1].nbytes
+    return [np.concatenate(x) for x in out]
 
 
-def _stars(tokens: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """One owner for each token, and edges from it to the token's other owners."""
-    order = np.argsort(tokens, kind="stable")
-    tokens, owners = tokens[order], owners[order]
+def _repeated(tokens: np.ndarray) -> np.ndarray:
+    """Which tokens occur more than once."""
+    order = np.argsort(tokens)
+    same = np.concatenate([[False], tokens[order][1:] == tokens[order][:-1], [False]])
+    out = np.zeros(len(tokens), bool)
+    out[order] = same[1:] | same[:-1]
+    return out
+
+
+def _shared(tokens: np.ndarray, owners: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those that have a token in common with others, each once, by token and owner."""
+    twice = _repeated(tokens)
+    tokens, ids = tokens[twice], _id(owners[twice], marks[twice])
+    order = np.lexsort((ids, tokens))
+    tokens, ids = tokens[order], ids[order]
     new = np.ones(len(tokens), bool)
-    new[1:] = tokens[1:] != tokens[:-1]
-    centre = owners[new][np.cumsum(new) - 1]
-    other = centre != owners
-    return tokens[new], owners[new], centre[other], owners[other]
+    new[1:] = (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])
+    tokens, ids = tokens[new], ids[new]
+    twice = _repeated(tokens)
+    return tokens[twice], ids[twice] >> np.uint64(8), (ids[twice] & np.uint64(255)).astype(np.uint8)
+
+
+def _id(owners: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    return owners.astype(np.uint64) << np.uint64(8) | marks
+
+
+def _places(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (tx.mix(ids) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _candidates(docs: DataFrame, text: str, words: int, signatures: Signatures, buckets: int) -> DataFrame:
-    """Edges between (first hashes of) classes that share a signature: src, dst."""
+    """Edges between (first hashes, cut to 32 bits, of) classes that share a signature and may share enough: src, dst."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = tx.Powers()
-        tokens, owners, held = [], [], 0
+        powers, done = tx.Powers(), set()
+        tokens, owners, marks, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            t, o, a, b = _stars(np.concatenate(tokens), np.concatenate(owners))
+            t, o, m = np.concatenate(tokens), np.concatenate(owners), np.concatenate(marks)
             bucket = (t >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-            at = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
-            rows = [(k, False, _pack(t[i:j], o[i:j])) for k, (i, j) in enumerate(zip(at[:-1], at[1:], strict=True)) if j > i]
-            if len(a):
-                nodes, roots = local_components(a, b)
-                place = (tx.mix(roots) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                rows += [(int(k), True, _pack(nodes[place == k], roots[place == k])) for k in np.unique(place)]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "edges", "packed"])
+            order = np.argsort(bucket)
+            t, o, m = t[order], o[order], m[order]
+            at = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+            full = np.flatnonzero(at[1:] > at[:-1])
+            packed = [_pack(t[i:j] & np.uint64(0xFFFFFFFF), o[i:j], m[i:j]) for i, j in zip(at[full], at[full + 1], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "packed"])
 
         for batch in batches:
             for _, _, data, offsets in tx.slices(batch.column(0)):
                 for s in shingle_sets(data, offsets, words, powers):
-                    if len(s) and len(t := signatures.of(s)):
+                    if not len(s) or (whole := fingerprint(s)) in done:
+                        continue
+                    done.add(whole)
+                    for t, mark in signatures.cuts(s):
                         tokens.append(t)
-                        owners.append(np.full(len(t), np.int64(fingerprint(s)[0]).view(np.uint64)))
+                        owners.append(np.full(len(t), whole[0] >> 32 & 0xFFFFFFFF, np.uint32))
+                        marks.append(np.full(len(t), mark, np.uint8))
                         held += len(t)
                 if held > BUCKET:
                     yield flush()
-                    tokens, owners, held = [], [], 0
+                    tokens, owners, marks, held = [], [], [], 0
         if held:
             yield flush()
 
     def meet(part: pd.DataFrame) -> pd.DataFrame:
-        _, _, a, b = _stars(*_unpack(part.loc[~part["edges"], "packed"]))
-        more = _unpack(part.loc[part["edges"], "packed"])
-        nodes, roots = local_components(np.concatenate([a, more[0]]), np.concatenate([b, more[1]]))
-        other = nodes != roots
-        return pd.DataFrame({"src": nodes[other].view(np.int64), "dst": roots[other].view(np.int64)})
+        found = _shared(*_unpack(part["packed"]))
+        return pd.DataFrame({"packed": [_pack(*found)] if len(found[0]) else []})
+
+    signed = docs.select(text).mapInArrow(tx.giving_back(sign), "bucket int, packed binary")
+    shared = checkpoint(signed.groupBy("bucket").applyInPandas(meet, "packed binary"))
+    bits = min(MAP_BITS, max(16, (buckets * BUCKET // 32).bit_length()))
+    enough = _enough(shared, bits)
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                tokens, owners, marks = _unpack([x.as_py()])
+                at = _places(_id(owners, marks), bits)
+                stay = (enough[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+                tokens, owners, _ = _shared(tokens[stay], owners[stay], marks[stay])
+                new = np.ones(len(tokens), bool)
+                new[1:] = tokens[1:] != tokens[:-1]
+                nodes, roots = local_components(owners[new][np.cumsum(new) - 1], owners)
+                other = nodes != roots
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[other].astype(np.int64)), pa.array(roots[other].astype(np.int64))], names=["src", "dst"])
 
-    return docs.select(text).mapInArrow(tx.giving_back(sign), "bucket int, edges boolean, packed binary").groupBy("bucket").applyInPandas(meet, "src long, dst long")
+    return shared.mapInArrow(tx.giving_back(link), "src long, dst long")
+
+
+def _enough(shared: DataFrame, bits: int) -> np.ndarray:
+    """A map of bits, of bounded size, with the places of all cuts of sets that share as many signatures as links by them need, and of few others."""
+
+    def count_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                ids, times = np.unique(_id(*_unpack([x.as_py()])[1:]), return_counts=True)
+                place = _places(ids, bits)
+                order = np.argsort(place)
+                at = np.searchsorted(place[order], np.arange(SLICES + 1) << bits >> SLICES.bit_length() - 1)
+                full = np.flatnonzero(at[1:] > at[:-1])
+                packed = [_pack(ids[k] >> np.uint64(8), np.minimum(times[k], 127), ids[k] & np.uint64(255)) for k in (order[i:j] for i, j in zip(at[full], at[full + 1], strict=True))]
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(packed, pa.binary())], names=["slice", "packed"])
+
+    def mark(part: pd.DataFrame) -> pd.DataFrame:
+        owners, times, marks = _unpack(part["packed"])
+        ids, at = np.unique(_id(owners, marks), return_inverse=True)
+        stay = np.bincount(at, times) >= (ids & np.uint64(127)).astype(np.int64)
+        own = np.zeros((1 << bits) // SLICES, bool)
+        own[_places(ids[stay], bits) % len(own)] = True
+        return pd.DataFrame({"slice": part["slice"].iloc[:1], "bits": [np.packbits(own).tobytes()]})
+
+    counted = shared.mapInArrow(tx.giving_back(count_), "slice int, packed binary")
+    out = np.zeros((SLICES, (1 << bits) // SLICES // 8), np.uint8)
+    for r in counted.groupBy("slice").applyInPandas(mark, "slice int, bits binary").collect():
+        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
 
 
 def _link(docs: DataFrame, key: str, text: str, members: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -337,5 +426,7 @@ def _link(docs: DataFrame, key: str, text: str, members: DataFrame, words: int,
 
     # most texts have no likely partner and stay where they are
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    texts = mark_likely(texts, "node", members.select("node"), "likely").filter("likely").drop("likely")
+    texts = mark_likely(texts, "node", members.select("node"), "likely").filter("likely")
+    # rows may be repeated, any share of them: a task sends each text once
+    texts = texts.groupBy("node").agg(F.collect_set("text").alias("text")).select("node", F.explode("text").alias("text"))
     return members.join(texts, "node").groupBy("block", "part", "group").applyInPandas(run, "src long, dst long")
